@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import share
+from flowlens.plans.staging import stage
 from flowlens.roles import Roles
 
 CLUSTERS, SEED = 2, 42
@@ -43,11 +44,23 @@ def cluster_pipeline(
     return Pipeline(stages=[*stages, KMeans(k=k, seed=seed, featuresCol=source)])
 
 
+def _training_rows(df: DataFrame) -> DataFrame:
+    """A written copy of the feature columns, spread over all cores.
+
+    Training passes over the rows many times. The copy keeps it from repeating
+    the joins behind ``df``, and its rows are moved only when there are fewer
+    input files than cores.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = len(df.inputFiles())
+    return stage(df.repartition(cores) if 0 < files < cores else df, "features")
+
+
 def fit_clusters(
     df: DataFrame, roles: Roles, k: int = CLUSTERS, seed: int = SEED, scale: bool = False
 ) -> PipelineModel:
     columns = feature_columns(roles)
-    return cluster_pipeline(columns, k, seed, scale).fit(df.select(*columns))
+    return cluster_pipeline(columns, k, seed, scale).fit(_training_rows(df.select(*columns)))
 
 
 def cluster(

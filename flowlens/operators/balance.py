@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.plans.ordering import number_rows
+from flowlens.plans.small import small_table
 
 IMBALANCE = 5
 SEED = 42
@@ -51,7 +52,8 @@ def _repeat_in_order(
     starts = dict(
         tuple(row) for row in numbered.groupBy(label).agg(F.min(rank).alias("first")).collect()
     )
-    plan = df.sparkSession.createDataFrame(
+    plan = small_table(
+        df.sparkSession,
         [(c, starts[c], top // n, top % n) for c, n in sizes.items()],
         f"{label} {dict(df.dtypes)[label]}, _first bigint, _times bigint, _extra bigint",
     )

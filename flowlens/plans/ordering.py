@@ -8,6 +8,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.plans.small import small_table
 from flowlens.plans.staging import stage
 
 # monotonically_increasing_id keeps the partition in the bits above this one.
@@ -46,7 +47,8 @@ def number_rows(
     part = F.shiftright(_SLOT, _PARTITION_BIT)
     sizes = sorted(placed.groupBy(part.alias(_PART)).count().collect())
     starts = [0, *accumulate(size for _, size in sizes)]
-    offsets = placed.sparkSession.createDataFrame(
+    offsets = small_table(
+        placed.sparkSession,
         [(row[_PART], start) for row, start in zip(sizes, starts)],
         f"{_PART} bigint, {_OFFSET} bigint",
     )

@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.plans.small import small_table
+
 # A lookup table up to this many rows is sent to every executor.
 BROADCAST_ROWS = 1_000_000
 # A key with more than this share of the rows is joined apart from the rest.
@@ -34,7 +36,7 @@ def keys_above(df: DataFrame, keys: Sequence[str], rows: float) -> DataFrame | N
     found = heavy.collect()
     if not found:
         return None
-    return df.sparkSession.createDataFrame(found, df.select(*names).schema)
+    return small_table(df.sparkSession, found, df.select(*names).schema)
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

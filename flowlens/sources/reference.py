@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.columns import is_ipv4, plain_name
 from flowlens.functions.fixed import NORMAL, TAXONOMY
+from flowlens.plans.small import small_table
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
@@ -17,7 +18,7 @@ def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
         .filter(F.trim("value") != "")
         .select(plain_name(words[0]).alias("attack"), words[1].alias("category"))
     )
-    normal = listed.sparkSession.createDataFrame([(NORMAL, NORMAL)], listed.schema)
+    normal = small_table(spark, [(NORMAL, NORMAL)], listed.schema)
     # One row per name, so that a join to the table never multiplies rows.
     return listed.unionByName(normal).groupBy("attack").agg(F.max("category").alias("category"))
 
@@ -25,7 +26,7 @@ def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
 def default_taxonomy(spark: SparkSession) -> DataFrame:
     """The built-in taxonomy."""
     pairs = [tuple(line.split()) for line in TAXONOMY.split("\n") if line]
-    return spark.createDataFrame(pairs, "attack string, category string")
+    return small_table(spark, pairs, "attack string, category string")
 
 
 def first_word(line: Column) -> Column:
