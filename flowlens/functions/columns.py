@@ -84,11 +84,14 @@ def normalized_category(name: Column) -> Column:
 def is_attack(roles: Roles) -> Column:
     """True for rows that are not normal traffic."""
     if roles.has("category"):
-        return normalized_category(F.col(roles.category)) != NORMAL
-    if roles.has("attack"):
-        return normalized_category(plain_name(F.col(roles.attack))) != NORMAL
-    label = F.col(*roles.need("label")).cast("string")
-    return ~label.isin("0", *NORMAL_NAMES)
+        name = F.col(roles.category)
+    elif roles.has("attack"):
+        name = plain_name(F.col(roles.attack))
+    else:
+        label = F.col(*roles.need("label")).cast("string")
+        return label.isNotNull() & ~label.isin("0", *NORMAL_NAMES)
+    # Plain comparisons, which a scan can take over.
+    return name.isNotNull() & ~name.isin(*NORMAL_NAMES)
 
 
 def named_any(roles: Roles, names: tuple[str, ...]) -> Column:
@@ -111,21 +114,21 @@ def is_probe(roles: Roles) -> Column:
     return named_any(roles, PROBE_NAMES)
 
 
-def _octets(address: Column) -> Column:
-    return F.transform(F.split(address, r"\."), lambda part: part.try_cast("bigint"))
+_OCTET = r"(?:25[0-5]|2[0-4]\d|[01]?\d{1,2})"
+_IPV4_STRICT = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
 
 
 def is_ipv4(address: Column, strict: bool = False) -> Column:
     """Dotted-quad shape; ``strict`` also wants every octet below 256."""
-    shaped = address.rlike(IPV4_SHAPE)
-    if not strict:
-        return shaped
-    return shaped & F.forall(_octets(address), lambda octet: octet < 256)
+    return address.rlike(_IPV4_STRICT if strict else IPV4_SHAPE)
 
 
 def ip_number(address: Column) -> Column:
-    """The address as a number, null when it is not a valid IPv4 address."""
-    folded = F.aggregate(
-        _octets(address), F.lit(0).cast("bigint"), lambda acc, octet: acc * 256 + octet
-    )
-    return F.when(is_ipv4(address, strict=True), folded)
+    """The address as a number, null when it is not a valid IPv4 address.
+
+    An invalid address becomes an empty text first, whose parts are null, so
+    the sum needs no branches and its parts are split once.
+    """
+    parts = F.split(F.regexp_extract(address, _IPV4_STRICT, 0), r"\.")
+    octets = [F.get(parts, F.lit(i)).try_cast("bigint") for i in range(4)]
+    return ((octets[0] * 256 + octets[1]) * 256 + octets[2]) * 256 + octets[3]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float]) -> list[float]
     answers: dict[float, float] = {}
     open_: dict[float, tuple[float, float, int]] = {}
     for p in ps:
-        rank = min(max(1, -int(-(Decimal(str(p)) * n) // 1)), n)
+        rank = min(max(1, ceil(Decimal(str(p)) * n)), n)
         open_[p] = _locate(grid, rank)
     while True:
         for p, (low, high, _) in list(open_.items()):

@@ -1,0 +1,140 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowlens import Roles
+from flowlens.operators import sequence as s
+
+ROLES = Roles(src="src_ip", ts="timestamp", attack="attack_type")
+START = dt.datetime(2024, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    """Three sources; one holds most rows, one a single row, and time stamps tie."""
+    rng = random.Random(3)
+    data = []
+    for i in range(700):
+        source = "hot" if rng.random() < 0.7 else rng.choice(["warm", None])
+        seconds = rng.randrange(400)
+        data.append((i, source, START + dt.timedelta(seconds=seconds, milliseconds=900),
+                     rng.choice(["scan", "login", "flood"])))
+    data.append((9999, "once", START, "scan"))
+    return spark.createDataFrame(
+        data, "id int, src_ip string, timestamp timestamp, attack_type string"
+    ).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def expected(events):
+    by_source = {}
+    for row in sorted(events.collect(), key=lambda r: (r.timestamp, r.id)):
+        by_source.setdefault(row.src_ip, []).append(row)
+    out = {}
+    for rows in by_source.values():
+        for k, row in enumerate(rows):
+            previous = rows[k - 1].timestamp if k else None
+            gap = None if previous is None else int(
+                row.timestamp.replace(microsecond=0).timestamp()
+                - previous.replace(microsecond=0).timestamp()
+            )
+            steps = "->".join(r.attack_type for r in rows[max(0, k - 5) : k + 1])
+            out[row.id] = (previous, gap, steps)
+    return out
+
+
+@pytest.mark.parametrize("hot_rows", [s.HOT_ROWS, 100, 0])
+def test_gaps_and_sequences(events, expected, hot_rows):
+    found = s.correlate(events, ROLES, tiebreak=["id"], hot_rows=hot_rows)
+    got = {r.id: (r.prev_time, r.time_diff, r.attack_sequence) for r in found.collect()}
+    assert found.columns == [*events.columns, "prev_time", "time_diff", "attack_sequence"]
+    assert found.count() == 701 and got == expected
+
+
+def test_gaps_alone(events, expected):
+    found = s.gaps(events, ROLES, tiebreak=["id"], hot_rows=50)
+    assert {r.id: (r.prev_time, r.time_diff) for r in found.collect()} == {
+        k: v[:2] for k, v in expected.items()
+    }
+
+
+@pytest.mark.parametrize("sources_per_row", [s.SOURCES_PER_ROW, 1])
+def test_frequent_sequences(events, expected, sources_per_row):
+    sequences = s.rolling_sequence(events, ROLES, tiebreak=["id"])
+    found = s.frequent_sequences(sequences, ROLES, sources_per_row=sources_per_row).collect()
+    sources = {r.id: r.src_ip for r in events.collect()}
+    want = {}
+    for i, (_, _, steps) in expected.items():
+        if len(steps) > 10:
+            n, who = want.setdefault(steps, [0, set()])
+            want[steps][0] += 1
+            who.add(sources[i])
+    got = {}
+    for r in found:
+        assert list(r.source_ips) == sorted(r.source_ips)
+        entry = got.setdefault(r.attack_sequence, [r.frequency, set()])
+        assert entry[0] == r.frequency and not entry[1] & set(r.source_ips)
+        entry[1].update(r.source_ips)
+        named = len(want[r.attack_sequence][1] - {None})
+        assert r.source_count == named
+    assert got == {k: [n, who - {None}] for k, (n, who) in want.items()}
+
+
+def test_length_limit_counts_characters(spark):
+    texts = ["a" * 10, "b" * 11]
+    df = spark.createDataFrame([(t, "s") for t in texts], "attack_sequence string, src_ip string")
+    assert [r.attack_sequence for r in s.frequent_sequences(df, ROLES).collect()] == ["b" * 11]
+
+
+@pytest.fixture(scope="module")
+def flows(spark):
+    rng = random.Random(9)
+    data = [(i, rng.choice([0.0, 0.0, 0.5, 7.0]), rng.choice([None, *range(50)])) for i in range(1500)]
+    return spark.createDataFrame(data, "id int, duration double, total_bytes long").repartition(6)
+
+
+def centred(rows, half, key):
+    ordered = sorted(rows, key=lambda r: (r.duration, r.id))
+    out = []
+    for k in range(len(ordered)):
+        near = [key(r) for r in ordered[max(0, k - half) : k + half + 1] if key(r) is not None]
+        out.append((k + 1, ordered[k].id, sum(near) / len(near) if near else None))
+    return out
+
+
+def test_time_index(flows):
+    found = s.time_index(flows, ["duration", "id"], total_order=True).orderBy("time_index").collect()
+    want = sorted(flows.collect(), key=lambda r: (r.duration, r.id))
+    assert [(r.time_index, r.id) for r in found] == [(k + 1, r.id) for k, r in enumerate(want)]
+
+
+@pytest.mark.parametrize("half", [1, 20, 100])
+def test_moving_average(flows, half):
+    found = s.moving_average(flows, "total_bytes", ["duration", "id"], half, total_order=True)
+    got = [(r.time_index, r.id, r.bytes_moving_avg) for r in found.orderBy("time_index").collect()]
+    assert got == centred(flows.collect(), half, lambda r: r.total_bytes)
+
+
+def test_moving_average_of_fractions(flows):
+    df = flows.withColumn("x", F.col("total_bytes") / 3)
+    found = s.moving_average(df, "x", ["duration", "id"], 20, total_order=True)
+    got = [r.bytes_moving_avg for r in found.orderBy("time_index").collect()]
+    assert got == pytest.approx([v for _, _, v in centred(df.collect(), 20, lambda r: r.x)])
+
+
+@pytest.mark.parametrize("n", [1, 30, 101, 150])
+def test_fewer_rows_than_the_window(flows, n):
+    few = flows.filter(F.col("id") < n)
+    found = s.moving_average(few, "total_bytes", ["duration", "id"], total_order=True)
+    got = [(r.time_index, r.id, r.bytes_moving_avg) for r in found.orderBy("time_index").collect()]
+    assert got == centred(few.collect(), 100, lambda r: r.total_bytes)
+
+
+@pytest.mark.parametrize(("points", "step", "half"), [(100, 10, 100), (10, 7, 5), (1000, 10, 100)])
+def test_trend_points(flows, points, step, half):
+    found = s.trend_points(flows, "total_bytes", ["duration", "id"], points, step, half)
+    got = sorted((r.time_index, r.bytes_moving_avg) for r in found.collect())
+    every = centred(flows.collect(), half, lambda r: r.total_bytes)
+    assert got == [(k, v) for k, _, v in every if k % step == 0][:points]
