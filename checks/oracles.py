@@ -362,8 +362,8 @@ ORACLES: dict[str, str] = {
     ),
     "windowed_traffic": _events(
         "SELECT window_start, window_end, attack_type, connection_count, total_src_bytes, "
-        "total_dst_bytes, round(avg_duration, 6) AS avg_duration, "
-        "round(bytes_per_connection, 6) AS bytes_per_connection FROM windowed",
+        "total_dst_bytes, round(avg_duration, 9) AS avg_duration, "
+        "round(bytes_per_connection, 9) AS bytes_per_connection FROM windowed",
         WINDOWED,
     ),
     "windowed_counts": _events(

@@ -8,7 +8,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.tables import EVENT, FLOW, FLOW_ORDER, event_columns, events, flows, table
+from checks.tables import (
+    EVENT,
+    FLOW,
+    FLOW_ORDER,
+    SCHEMAS,
+    event_columns,
+    events,
+    flows,
+    table,
+)
 from flowlens import Roles
 from flowlens.functions.columns import byte_sum, ip_number, is_ipv4
 from flowlens.operators import (
@@ -198,15 +207,13 @@ MICROSECONDS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The event table as a stream of JSON lines, parsed like one from a broker."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    at_rest = table(spark, sf, "events")
     lines = (
-        spark.readStream.schema(at_rest.schema)
+        spark.readStream.schema(SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf)
         .select(F.to_json(F.struct("*"), MICROSECONDS).alias("value"))
     )
-    fields = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
-    parsed = parse_events(lines, fields + "value double, props string")
+    parsed = parse_events(lines, SCHEMAS["events"])
     return traffic.with_late_bound(parsed.select(*event_columns()), "ts")
 
 
@@ -235,7 +242,7 @@ def _bounds(df: DataFrame) -> DataFrame:
 def windowed_traffic(spark: SparkSession, sf: str) -> DataFrame:
     out = _bounds(run_stream(_windows(event_stream(spark, sf)), "windowed-traffic"))
     return out.withColumns(
-        {c: F.round(c, 6) for c in ("avg_duration", "bytes_per_connection")}
+        {c: F.round(c, 9) for c in ("avg_duration", "bytes_per_connection")}
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.plans.ordering import number_rows
@@ -14,6 +14,9 @@ from flowlens.plans.small import small_table
 
 IMBALANCE = 5
 SEED = 42
+MAX_CLASSES = 10_000
+# More copies of one row than this are made by several tasks.
+COPIES_PER_TASK = 100_000
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -39,12 +42,31 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
 
 
 def class_sizes(df: DataFrame, label: str) -> dict:
-    """Rows per class; classes are few, so their sizes fit on the driver."""
-    return {row[0]: row[1] for row in df.dropna(subset=[label]).groupBy(label).count().collect()}
+    """Rows per class, for at most ``MAX_CLASSES`` classes."""
+    counted = df.dropna(subset=[label]).groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+    if len(counted) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values, so it is not a class label")
+    return {row[0]: row[1] for row in counted}
+
+
+def _in_pieces(df: DataFrame, pieces: Column) -> DataFrame:
+    """Each row ``pieces`` times, dealt out over all tasks, numbered by ``_piece`` from 0.
+
+    For rows due for so many copies that one task should not make them all.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbers = F.sequence(F.lit(0).cast("bigint"), pieces.cast("bigint") - 1)
+    return df.withColumn("_piece", F.explode(numbers)).repartition(tasks)
 
 
 def _repeat_in_order(
-    df: DataFrame, label: str, sizes: dict, top: int, order: Sequence[str], total_order: bool
+    df: DataFrame,
+    label: str,
+    sizes: dict,
+    top: int,
+    order: Sequence[str],
+    total_order: bool,
+    per_task: int,
 ) -> DataFrame:
     """Every row ``top // n`` times, and the first ``top % n`` rows once more."""
     rank, columns = "_rank", df.columns
@@ -59,18 +81,31 @@ def _repeat_in_order(
     )
     one_more = (F.col(rank) - F.col("_first") < F.col("_extra")).cast("bigint")
     # One plan row per class.
-    return (
-        numbered.join(F.broadcast(plan), label)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times") + one_more)))
-        .select(*columns)
+    due = numbered.join(F.broadcast(plan), label).select(
+        *columns, (F.col("_times") + one_more).alias("_copies")
     )
+    here = F.col("_copies")
+    if top // min(sizes.values()) >= per_task:
+        due = _in_pieces(due, F.ceil(F.col("_copies") / per_task))
+        here = F.least(F.col("_copies") - F.col("_piece") * per_task, F.lit(per_task))
+    return due.withColumn("_copy", F.explode(F.sequence(F.lit(1), here))).select(*columns)
+
 
+def _draw(
+    df: DataFrame, label: str, sizes: dict, top: int, seed: int, per_task: int
+) -> DataFrame:
+    """Each class drawn with replacement to about ``top`` rows, never above it.
 
-def _draw(df: DataFrame, label: str, sizes: dict, top: int, seed: int) -> DataFrame:
-    """Each class drawn with replacement to about ``top`` rows, never above it."""
+    The number of copies of a row has a Poisson distribution, and a sum of
+    such numbers has one too, so a row may be drawn in pieces.
+    """
     drawn = []
     for name, n in sizes.items():
-        rows = df.filter(F.col(label) == F.lit(name)).sample(True, top / n, seed)
+        rows = df.filter(F.col(label) == F.lit(name))
+        pieces = -(-top // (n * per_task))
+        if pieces > 1:
+            rows = _in_pieces(rows, F.lit(pieces)).drop("_piece")
+        rows = rows.sample(True, top / n / pieces, seed)
         # The cap needs row numbers, not an order, so nothing is shuffled.
         numbered, _ = number_rows(rows, name="_rank")
         drawn.append(numbered.filter(F.col("_rank") <= top).drop("_rank"))
@@ -85,6 +120,7 @@ def oversample(
     total_order: bool = False,
     seed: int = SEED,
     only_if_imbalanced: bool = True,
+    copies_per_task: int = COPIES_PER_TASK,
 ) -> DataFrame:
     """Bring every class up to the size of the largest one.
 
@@ -103,7 +139,10 @@ def oversample(
     if not minority:
         return rest
     if mode == "exact":
-        grown = _repeat_in_order(df.filter(small), label, minority, top, order, total_order)
+        rows = df.filter(small)
+        grown = _repeat_in_order(
+            rows, label, minority, top, order, total_order, copies_per_task
+        )
     else:
-        grown = _draw(df, label, minority, top, seed)
+        grown = _draw(df, label, minority, top, seed, copies_per_task)
     return union_all([rest, grown])

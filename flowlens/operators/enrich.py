@@ -9,6 +9,7 @@ from flowlens.functions.columns import ip_number, plain_name
 from flowlens.functions.fixed import UNKNOWN
 from flowlens.plans.ordering import FRAME, HOME, frame_size, number_rows, with_frames
 from flowlens.plans.skew import BROADCAST_ROWS, fits, lookup_join
+from flowlens.plans.staging import stage
 from flowlens.roles import Roles
 
 GEO_COLUMNS = ("country", "city", "latitude", "longitude")
@@ -101,7 +102,7 @@ def range_lookup(
         .withColumn(_CELL, F.expr(f"shiftright({_POINT}, {_LEVEL})"))
     )
     answers = probes.join(grids, [_LEVEL, _CELL]).filter(within).select(_POINT, *values)
-    return lookup_join(points, answers, [_POINT], broadcast_rows).drop(_POINT)
+    return lookup_join(points, stage(answers, "answers"), [_POINT], broadcast_rows).drop(_POINT)
 
 
 def enrich_geo(

@@ -11,15 +11,29 @@ from pyspark.sql import functions as F
 
 from flowlens.plans.small import small_table
 
-# A lookup table up to this many rows is sent to every executor.
+# A lookup table within both bounds is sent to every executor.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 << 20
 # A key with more than this share of the rows is joined apart from the rest.
 HOT_SHARE = 0.01
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Rough size of a row: the length of its texts and a word or two per other column."""
+    fixed, texts = 0, F.lit(0)
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            texts = texts + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+        fixed += 16
+    return texts + fixed
+
+
 def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows, counted on the executors."""
-    return df.count() <= rows
+    """Whether ``df`` may be broadcast: both bounds are measured in one pass."""
+    if rows <= 0:
+        return False
+    found = df.agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return found[0] <= rows and found[1] <= BROADCAST_BYTES
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -54,8 +68,8 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a lookup table with unique ``keys``.
 
-    A table within ``broadcast_rows`` is broadcast, so the rows stay where
-    they are. A larger one is shuffled, and then keys holding more than
+    A table within ``broadcast_rows`` (and ``BROADCAST_BYTES``) is broadcast,
+    so the rows stay where they are. A larger one is shuffled, and then keys holding more than
     ``HOT_SHARE`` of the rows (at most ``1 / HOT_SHARE`` of them) are taken
     out and joined to their own few lookup rows by broadcast.
     """

@@ -38,6 +38,22 @@ def test_exact_oversampling_keeps_all_classes(spark):
     assert got == expected
 
 
+def test_many_copies_are_spread_over_tasks(spark, rows):
+    df = classes(spark, a=100, b=2, c=7)
+    whole = balance.oversample(df, "label", order=["i"], total_order=True)
+    pieces = balance.oversample(df, "label", order=["i"], total_order=True, copies_per_task=4)
+    assert rows(whole) == rows(pieces)
+    drawn = balance.oversample(df, "label", mode="poisson", copies_per_task=4)
+    sizes = {r.label: r["count"] for r in drawn.groupBy("label").count().collect()}
+    assert sizes["a"] == 100 and 60 < sizes["b"] <= 100 and 60 < sizes["c"] <= 100
+
+
+def test_too_many_classes_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(balance, "MAX_CLASSES", 2)
+    with pytest.raises(ValueError, match="class label"):
+        balance.oversample(classes(spark, a=9, b=1, c=1), "label", order=["i"])
+
+
 def test_exact_oversampling_of_copies(spark):
     """Rows that tie in the order are still all repeated evenly."""
     df = classes(spark, a=12).union(spark.createDataFrame([("b", 1)] * 2, "label string, i int"))
