@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.columns import ip_number, plain_name
 from flowlens.functions.fixed import UNKNOWN
+from flowlens.operators.balance import union_all
 from flowlens.plans.ordering import FRAME, HOME, frame_size, number_rows, with_frames
 from flowlens.plans.skew import BROADCAST_ROWS, fits, lookup_join
 from flowlens.plans.staging import stage
@@ -19,6 +20,9 @@ OWNER_COLUMNS = ("asn", "organization", "isp")
 # most _MAX_CELLS + 1 cells. Grid widths are powers of two, given by shift.
 _SHIFTS = range(0, 64, 4)
 _MAX_CELLS = 16
+# From this shift on, IPv4 has room for less than 70,000 ranges in all.
+_WIDE = 16
+WIDE_ROWS = 70_000 * (_MAX_CELLS + 1)
 _LEVEL, _CELL, _POINT, _LO, _HI = "_level", "_cell", "_point", "_lo", "_hi"
 
 
@@ -78,6 +82,9 @@ def range_lookup(
     points = df.withColumn(_POINT, point)
     within = F.col(_POINT).between(F.col(_LO), F.col(_HI))
 
+    if not levels:
+        kinds = dict(ranges.dtypes)
+        return df.withColumns({v: F.lit(None).cast(kinds[v]) for v in values})
     if fits(grids, broadcast_rows):
         found = []
         for level in levels:
@@ -88,20 +95,23 @@ def range_lookup(
             on = (F.shiftright(_POINT, level) == F.col(_CELL)) & within
             points = points.join(F.broadcast(grid), on, "left").drop(_CELL, _LO, _HI)
             found.append(F.col(hit))
-        hits = F.coalesce(*found) if found else None
-        if hits is None:
-            kinds = dict(ranges.dtypes)
-            return df.withColumns({v: F.lit(None).cast(kinds[v]) for v in values})
-        return points.withColumn("_hit", hits).select(*columns, "_hit.*")
-
-    probes = (
-        points.select(_POINT)
-        .dropna()
-        .distinct()
-        .withColumn(_LEVEL, F.explode(F.lit(levels)))
-        .withColumn(_CELL, F.expr(f"shiftright({_POINT}, {_LEVEL})"))
-    )
-    answers = probes.join(grids, [_LEVEL, _CELL]).filter(within).select(_POINT, *values)
+        return points.withColumn("_hit", F.coalesce(*found)).select(*columns, "_hit.*")
+
+    distinct = points.select(_POINT).dropna().distinct()
+
+    def answered(some: list[int]) -> DataFrame:
+        probes = distinct.withColumn(_LEVEL, F.explode(F.lit(some))).withColumn(
+            _CELL, F.expr(f"shiftright({_POINT}, {_LEVEL})")
+        )
+        grid = grids.filter(F.col(_LEVEL).isin(some))
+        # Cells of a wide grid can hold many points, but an address space has
+        # room for few wide ranges. A narrow cell cannot hold many points.
+        if min(some) >= _WIDE and fits(grid, WIDE_ROWS):
+            grid = F.broadcast(grid)
+        return probes.join(grid, [_LEVEL, _CELL]).filter(within).select(_POINT, *values)
+
+    groups = [[s for s in levels if s < _WIDE], [s for s in levels if s >= _WIDE]]
+    answers = union_all([answered(some) for some in groups if some])
     return lookup_join(points, stage(answers, "answers"), [_POINT], broadcast_rows).drop(_POINT)
 
 
