@@ -126,9 +126,9 @@ def is_ipv4(address: Column, strict: bool = False) -> Column:
 def ip_number(address: Column) -> Column:
     """The address as a number, null when it is not a valid IPv4 address.
 
-    An invalid address becomes an empty text first, whose parts are null, so
-    the sum needs no branches and its parts are split once.
+    An invalid address becomes null before it is split, so no part ever fails
+    to convert, and the sum needs no branches.
     """
-    parts = F.split(F.regexp_extract(address, _IPV4_STRICT, 0), r"\.")
-    octets = [F.get(parts, F.lit(i)).try_cast("bigint") for i in range(4)]
+    parts = F.split(F.when(is_ipv4(address, strict=True), address), r"\.")
+    octets = [F.get(parts, F.lit(i)).cast("bigint") for i in range(4)]
     return ((octets[0] * 256 + octets[1]) * 256 + octets[2]) * 256 + octets[3]
