@@ -176,7 +176,9 @@ HIGH = "(SELECT quantile_disc(conn_count, 0.95) FROM flows)"
 TOP = 'SELECT max(n) AS top FROM (SELECT count(*) AS n FROM flows GROUP BY label)'
 
 ORACLES: dict[str, str] = {
-    "overview": _flows(f"SELECT count(*) AS records, CAST({len(ALL)} AS BIGINT) AS columns FROM flows"),
+    "overview": _flows(
+        f"SELECT count(*) AS records, CAST({len(ALL)} AS BIGINT) AS columns FROM flows"
+    ),
     "numeric_profile": _flows(_union([_numeric(n) for n in NUMERIC])),
     "categorical_top": _top_values(TEXT, 10),
     "missing_counts": _flows(_union([_missing(n) for n in ALL])),
@@ -265,7 +267,8 @@ ORACLES: dict[str, str] = {
         "AS bytes_ratio FROM flows"
     ),
     "connection_intensity": _flows(
-        f"SELECT {BIGKEY}, CAST(conn_count + srv_count AS BIGINT) AS connection_intensity FROM flows"
+        f"SELECT {BIGKEY}, CAST(conn_count + srv_count AS BIGINT) AS connection_intensity "
+        "FROM flows"
     ),
     "traffic_segment": _flows(f"SELECT {BIGKEY}, {SEGMENT} AS traffic_segment FROM flows"),
     "ipv4_check": _flows(

@@ -374,7 +374,9 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "impute_mean": _flow_query(
-        lambda df: _keyed(clean.impute_mean(df, ["load_bytes", "duration"]), "load_bytes", "duration")
+        lambda df: _keyed(
+            clean.impute_mean(df, ["load_bytes", "duration"]), "load_bytes", "duration"
+        )
     ),
     "iqr_filter": _flow_query(
         lambda df: _keyed(clean.iqr_filter(df, "dst_bytes", rel_error=0), "dst_bytes")

@@ -73,7 +73,9 @@ def _kpi(row: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def kpis(
-    stats: DataFrame, high_frequency: DataFrame | None = None, anomaly_report: DataFrame | None = None
+    stats: DataFrame,
+    high_frequency: DataFrame | None = None,
+    anomaly_report: DataFrame | None = None,
 ) -> DataFrame:
     """Headline figures (``kpi``, ``value``) from the one-row reports."""
     table = _kpi(stats, {c: c for c in ("total", "attacks", "attack_ratio")})

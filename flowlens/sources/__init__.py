@@ -28,7 +28,9 @@ __all__ = [
 DATASETS = ("unsw_nb15", "kddcup99")
 
 
-def read_dataset(spark: SparkSession, dataset: str, path: str, names: str | None = None) -> DataFrame:
+def read_dataset(
+    spark: SparkSession, dataset: str, path: str, names: str | None = None
+) -> DataFrame:
     """Read a data set by name; ``names`` is the column file of the connection data."""
     kind = dataset.lower()
     if kind not in DATASETS:
