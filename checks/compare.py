@@ -22,7 +22,6 @@ def session(cpus: str = "8") -> SparkSession:
         .appName("flowlens")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "12g")
-        .config("spark.sql.codegen.maxFields", "300")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
