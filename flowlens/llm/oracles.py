@@ -5,6 +5,30 @@ from flowlens.llm.quality import STOP_WORDS
 _BLANK = r"\x20\x09-\x0D"
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP1 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_WORDS}') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_WORDS}') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[p : p + least(13, len(w)) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 11))) AS p FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+m AS (SELECT doc_id, item_id, n, p FROM dw JOIN bw USING (n, win)),
+h AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS x FROM m) GROUP BY doc_id),
+i AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
 OP4 = rf"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -51,6 +75,7 @@ FROM f
 """
 
 ORACLES = {
+    "op1_decontamination": OP1,
     "op4_line_dedup": OP4,
     "op6_quality_rules": OP6,
 }

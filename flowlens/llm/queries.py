@@ -5,22 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import lines, quality
+from flowlens.llm import bpe, decontam, lines, quality, tokens
 from flowlens.llm.oracles import ORACLES  # noqa: F401
 from flowlens.llm.text import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.suffix_sums(tokens.histogram(table(spark, sf_dir, "documents")))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.apply_rules(table(spark, sf_dir, "documents"))
     return rated.drop("broken_rules")
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op4_line_dedup": op4_line_dedup,
+    "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op7_bpe": op7_bpe,
 }
