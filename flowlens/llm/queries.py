@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, decontam, lines, quality, tokens
+from flowlens.llm import bpe, chat, decontam, lines, quality, tokens
 from flowlens.llm.oracles import ORACLES  # noqa: F401
 from flowlens.llm.text import table
 
@@ -47,10 +47,16 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_hostile_conversation(table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.format_conversations(rows)).drop("rewrites")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
+    "op9_chat_formatting": op9_chat_formatting,
 }
