@@ -88,7 +88,7 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(24 + length(esc_role) + length(esc)) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
-""".replace("\\\\", "\\")
+"""
 
 ORACLES = {
     "op1_decontamination": OP1,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, decontam, lines, quality, tokens
+from flowlens.llm import bpe, chat, decontam, langid, lines, quality, tokens, toxicity
 from flowlens.llm.oracles import ORACLES  # noqa: F401
 from flowlens.llm.text import table
 
@@ -23,6 +23,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.learn_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -47,6 +51,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.learn_and_identify(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.with_hostile_conversation(table(spark, sf_dir, "conversations"))
     return chat.read_back(chat.format_conversations(rows)).drop("rewrites")
@@ -54,9 +62,11 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
+    "op8_language_id": op8_language_id,
     "op9_chat_formatting": op9_chat_formatting,
 }
