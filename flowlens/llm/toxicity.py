@@ -38,6 +38,8 @@ SAMPLE = 1000
 LANDMARKS = 48
 DECAY = 0.6
 ORDER = 3
+#: The normalised kernel is raised to this power (still a kernel), which parts near from equal strings.
+POWER = 3
 #: Longer strings are compared window by window.
 WINDOW = 10
 BLOCK_CHARS = 1_000_000
@@ -136,7 +138,7 @@ def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
             for number, weight in _features(codes[part], int(length)):
                 total += np.float32(weight) * table[number]
             norm = np.sqrt(_squared_norm(codes[part], int(length)))
-            values[part] = total / np.maximum(norm, 1e-9)[:, None]
+            values[part] = (total / np.maximum(norm, 1e-9)[:, None]) ** POWER
     if not len(words):
         return values
     return np.maximum.reduceat(values, np.unique(owner, return_index=True)[1], axis=0)
@@ -215,9 +217,10 @@ def _fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float, round
 
 
 def _altered(words: list[str]) -> list[str]:
-    """Words with one character inserted or doubled, as further toxic examples."""
+    """Words alone, and with one character inserted or doubled, as further toxic examples."""
     found = []
     for word in words:
+        found += 3 * [word]
         at = len(word) // 2
         found += [word[:at] + c + word[at:] for c in ("*", "-", word[at])]
         found += [word[:2] + "." + word[2:], word + word[-1], "a" + word]
@@ -258,7 +261,7 @@ def train(rows: list[tuple[int, str | None]], reselect: int = 4, reg: float = 1.
     starts = np.cumsum(counts) - counts
     owner = np.repeat(np.arange(len(split)), counts)
     y = np.array([1 if label else -1 for label, _ in split])
-    gram = landmarks.astype(np.float64) @ landmarks.T
+    gram = (landmarks.astype(np.float64) @ landmarks.T) ** POWER
     vals, vecs = np.linalg.eigh(gram)
     root = vecs @ np.diag(1 / np.sqrt(np.maximum(vals, 1e-2))) @ vecs.T
     mapped = raw @ root
