@@ -29,6 +29,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
+OP2 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[{_BLANK}]+'),
+                             lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p : p + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 1))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
+"""
+
 OP4 = rf"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -92,6 +110,7 @@ FROM e GROUP BY conv_id
 
 ORACLES = {
     "op1_decontamination": OP1,
+    "op2_ngram_jaccard": OP2,
     "op4_line_dedup": OP4,
     "op9_chat_formatting": OP9,
     "op6_quality_rules": OP6,

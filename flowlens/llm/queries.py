@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, decontam, langid, lines, quality, tokens, toxicity
+from flowlens.llm import bpe, chat, decontam, jaccard, langid, lines, quality, tokens, toxicity
 from flowlens.llm.oracles import ORACLES  # noqa: F401
 from flowlens.llm.text import table
 
@@ -23,6 +23,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), jaccard.Space(words=3, near=90))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.learn_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,6 +66,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
