@@ -1,4 +1,11 @@
-"""Cleaning of a document corpus in named stages, each written and read again."""
+"""Cleaning of a document corpus in named stages, each written and read again.
+
+toxicity: rejected documents go. line_dedup: lines of earlier documents go, every document stays.
+near_duplicates: of each group linked by five-word shingles at a similarity of 0.8, the document with
+the smallest id stays. decontamination: documents contaminated by the benchmark go. bpe: the others
+are encoded. All but the last return the columns of documents; a null text counts as empty where it
+is rewritten.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +14,55 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm.lines import dedup_lines
+from flowlens.llm import bpe, decontam, jaccard, lines, toxicity
+from flowlens.llm.chunks import unused
 from flowlens.plans.staging import stage
 
+#: Most removed ids that are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go; every document stays with what is left of its text."""
-    return dedup_lines(docs, carry=True)
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learned from the labelled documents of the corpus, applied to ``docs``."""
+    corpus = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    name = unused(docs, "toxicity")
+    scored = toxicity.score(docs, toxicity.fit(corpus, labels), name)
+    return scored.where(F.col(name) < 0.5).select(docs.columns)
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    kept = lines.dedup_lines(docs, carry=others)
+    return kept.withColumn("text", F.col("kept_text")).select(docs.columns)
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(docs, jaccard.Space(words=5, near=80))
+    others = stage(found.where("doc_id > component_id OR component_id IS NULL").select("doc_id").distinct(), "others")
+    if others.count() <= BROADCAST_IDS:
+        others = F.broadcast(others)
+    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+
+
+def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("line_dedup", line_dedup),
+    ("toxicity", remove_toxic),
+    ("line_dedup", remove_repeated_lines),
+    ("near_duplicates", remove_near_duplicates),
+    ("decontamination", remove_contaminated),
+    ("bpe", encode),
 ]
 
-#: The stages with models and tokens have no SQL form.
+#: The stages with a model and with tokens have no SQL form.
 ORACLE_SQL: str | None = None
 
 

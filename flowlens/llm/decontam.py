@@ -21,10 +21,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.chunks import text_blocks
+from flowlens.llm.chunks import append_columns, unused
 
 WINDOW = 13
 SHARD_CHARS = 4_000_000
@@ -238,30 +238,28 @@ def search_shard(texts: list[str], windows: Windows) -> list[tuple[int, list[tup
     return empty
 
 
-_FOUND = "doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<long>"
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_FIELDS = {
+    "n_words": ("long", pa.int64()),
+    "spans": ("array<struct<start:long,end:long>>", _SPAN),
+    "items": ("array<long>", pa.list_(pa.int64())),
+}
 
 
-def _search(docs: DataFrame, items: list[tuple[int, str | None]], window: int) -> DataFrame:
+def _search(docs: DataFrame, items: list[tuple[int, str | None]], window: int, names: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         windows = Windows(shared.value, window)
-        for ids, texts in text_blocks(batches, SHARD_CHARS):
+
+        def process(texts: list[str]) -> list[list]:
             found = search_shard(texts, windows)
             spans = [[{"start": a, "end": b} for a, b in f[1]] for f in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()),
-                    pa.array([f[0] for f in found], pa.int64()),
-                    pa.array(spans, _SPAN),
-                    pa.array([f[2] for f in found], pa.list_(pa.int64())),
-                    pa.array(texts, pa.string()),
-                ],
-                ["doc_id", "n_words", "spans", "items", "text"],
-            )
+            return [[f[0] for f in found], spans, [f[2] for f in found]]
+
+        return process
 
-    return docs.select("doc_id", "text").mapInArrow(run, _FOUND + ", text string")
+    return append_columns(docs, dict(zip(names, _FIELDS.values())), start, SHARD_CHARS)
 
 
 def _blocks(benchmark: DataFrame, block_mb: float) -> Iterator[list[tuple[int, str | None]]]:
@@ -278,15 +276,40 @@ def find_benchmark(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_mb: float = BLOCK_MB
 ) -> DataFrame:
     """Every document with ``n_words``, merged word ``spans``, ``n_hit``, ``items`` and ``contaminated``."""
-    parts = [_search(docs, items, window) for items in _blocks(benchmark, block_mb)]
-    if len(parts) == 1:
-        found = parts[0]
+    docs = docs.select("doc_id", "text")
+    parts = [_search(docs, items, window, list(_FIELDS)) for items in _blocks(benchmark, block_mb)]
+    found = parts[0] if len(parts) == 1 else _merge_blocks(parts)
+    n_hit = hit_words(F.col("spans"))
+    return found.withColumn("n_hit", n_hit).withColumn("contaminated", is_contaminated(n_hit, F.col("n_words")))
+
+
+def hit_words(spans: Column) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+
+
+def is_contaminated(n_hit: Column, n_words: Column) -> Column:
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_mb: float = BLOCK_MB) -> DataFrame:
+    """``docs`` without the contaminated rows, all columns kept.
+
+    Blocks of a large benchmark are searched one after the other in the same pass.
+    """
+    names, marked = [], docs
+    for items in _blocks(benchmark, block_mb):
+        names.append([unused(marked, f"found_{n}") for n in _FIELDS])
+        marked = _search(marked, items, window, names[-1])
+    if len(names) == 1:
+        n_hit = hit_words(F.col(names[0][1]))
     else:
-        found = _merge_blocks(parts)
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return found.withColumn("n_hit", n_hit).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-    )
+        covered = F.flatten(F.array(*[F.transform(F.col(n[1]), _positions) for n in names]))
+        n_hit = F.size(F.array_distinct(F.flatten(covered))).cast("long")
+    return marked.where(~is_contaminated(n_hit, F.col(names[0][0]))).select(docs.columns)
+
+
+def _positions(span: Column) -> Column:
+    return F.sequence(span["start"], span["end"] - 1)
 
 
 def _merge_blocks(parts: list[DataFrame]) -> DataFrame:

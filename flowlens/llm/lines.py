@@ -104,11 +104,19 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, min_chars: int = MIN_KEY_CHARS, batches: int = BATCHES, fan_in: int = FAN_IN
+    docs: DataFrame,
+    min_chars: int = MIN_KEY_CHARS,
+    batches: int = BATCHES,
+    fan_in: int = FAN_IN,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Every document with ``n_lines``, ``n_dropped`` and the remaining lines as ``kept_text``."""
+    """Every document with ``n_lines``, ``n_dropped`` and the remaining lines as ``kept_text``.
+
+    ``carry`` names further columns that stay with the documents.
+    """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", *[F.col(c).alias(f"carried_{c}") for c in carry])
+    carried = [F.col(f"carried_{c}") for c in carry]
     quantiles = [i / batches for i in range(1, batches)]
     cuts = docs.select(F.percentile_approx("doc_id", quantiles, 10_000).alias("q")).first()["q"] if batches > 1 else []
     cuts = sorted(set(cuts or []))
@@ -131,10 +139,11 @@ def dedup_lines(
         "text",
         F.coalesce(F.col("doc_id"), F.lit(_LOWEST)).alias("ord"),
         F.xxhash64("text").alias("row"),
+        *carried,
     )
     joined = keyed.join(dropped, ["ord", "row"], "left")
     parts = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
-    split = joined.select("doc_id", "text", "dropped", F.size(parts).alias("n_lines"))
+    split = joined.select("doc_id", "text", "dropped", F.size(parts).alias("n_lines"), *carried)
     kept = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("dropped"))
     kept_lines = F.transform(F.array(F.split(F.col("text"), "\n")), lambda p: F.transform(kept, lambda i: F.get(p, i)))[0]
     return split.select(
@@ -144,4 +153,5 @@ def dedup_lines(
         F.when(F.col("dropped").isNull(), F.coalesce(F.col("text"), F.lit("")))
         .otherwise(F.array_join(kept_lines, "\n"))
         .alias("kept_text"),
+        *[column.alias(name) for column, name in zip(carried, carry)],
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, decontam, jaccard, langid, lines, quality, tokens, toxicity
+from flowlens.llm import bpe, chat, decontam, jaccard, langid, licenses, lines, quality, tokens, toxicity
 from flowlens.llm.oracles import ORACLES  # noqa: F401
 from flowlens.llm.text import table
 
@@ -64,6 +64,17 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows)).drop("rewrites")
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.learn_and_scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        F.size("findings").cast("long").alias("n_findings"),
+        F.array_join(F.array_sort(F.array_distinct(F.col("findings.family"))), ",").alias("families"),
+        F.coalesce(F.array_min(F.col("findings.probability")), F.lit(0.0)).alias("least_probability"),
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -74,4 +85,5 @@ QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_language_id": op8_language_id,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_license_scans": op10_license_scans,
 }

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.chunks import text_blocks
+from flowlens.llm.chunks import append_columns
 from flowlens.llm.text import fold
 
 SAMPLE = 1000
@@ -338,20 +338,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     return train(sorted(rows, key=lambda r: (r[0], crc32((r[1] or "").encode()), r[1] or "")))
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``doc_id``, ``text`` and ``score`` of every document."""
+def score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
+    """``docs`` with the score of every row as a further column."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value) if shared.value else None
-        for ids, texts in text_blocks(batches, BLOCK_CHARS):
-            values = scorer.score(texts) if scorer else np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(values)], ["doc_id", "score"])
+    def start():
+        if shared.value is None:
+            return lambda texts: [[0.0] * len(texts)]
+        scorer = Scorer(shared.value)
+        return lambda texts: [scorer.score(texts).tolist()]
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return append_columns(docs, {name: ("double", pa.float64())}, start, BLOCK_CHARS)
 
 
 def learn_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    docs = docs.select("doc_id", "text")
     found = score(docs, fit(docs, labels))
     return found.select(
         "doc_id",
