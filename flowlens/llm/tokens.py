@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.llm.bpe import VOCABULARY, count_tokens
+from flowlens.plans.staging import stage
 
 BLOCK = 256
 
 
 def histogram(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """``n_tokens`` and ``n_docs``, one row per length that occurs."""
-    return count_tokens(docs, path).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    # Staged: the sums below read it several times.
+    return stage(count_tokens(docs, path).groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "lengths")
 
 
 def suffix_sums(lengths: DataFrame) -> DataFrame:
