@@ -5,8 +5,8 @@ depth-first order. Along each path the last token of every prefix is found from
 shorter prefixes: the token that ends there and fits the one before it. Words with a common prefix
 share these states. An encoding is read back from the end by following the last tokens.
 
-A worker keeps the encodings of up to ``KNOWN_WORDS`` words and starts afresh beyond; this bounds
-memory and changes no result. No shuffle is needed.
+A worker keeps the encodings of about ``KNOWN_WORDS`` words; beyond, it keeps those of the current
+block. This bounds memory and changes no result. No shuffle is needed.
 
 Defined cases: a null text is empty and has no tokens; the special token's string inside a text is
 its one token, as in the tokenizer's own library; repeated rows are encoded one by one.
@@ -15,7 +15,7 @@ its one token, as in the tokenizer's own library; repeated rows are encoded one
 from __future__ import annotations
 
 import json
-from array import array
+import struct
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -28,7 +28,7 @@ from flowlens.llm.chunks import text_blocks
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 BLOCK_CHARS = 2_000_000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 #: Fixed value: how the byte-level pre-tokenizer cuts text.
 WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -62,7 +62,7 @@ class PrefixEncoder:
             self.merged[self.id_of[left], self.id_of[right]] = (rank, self.id_of[left + right])
         self.pattern = regex.compile(WORDS)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
         self._known: dict[str, bytes] = {}
 
     def merge(self, data: bytes) -> list[int]:
@@ -78,34 +78,45 @@ class PrefixEncoder:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether ``right`` can follow ``left`` (-1: stand first) in an encoding."""
-        known = self._fits.get((left, right))
+        key = (left + 1) * len(self.bytes_of) + right
+        known = self._fits.get(key)
         if known is None:
             whole = self.bytes_of[right] if left < 0 else self.bytes_of[left] + self.bytes_of[right]
             known = self.merge(whole) == ([right] if left < 0 else [left, right])
-            self._fits[left, right] = known
+            self._fits[key] = known
         return known
 
     def encode_words(self, words: Iterable[bytes]) -> Iterator[list[int]]:
-        """Ids of sorted byte strings; the states of a shared prefix are computed once."""
-        last, before = [-1], b""
-        id_of, fits, longest = self.id_of, self.fits, self.longest
+        """Ids of sorted byte strings; the states of a shared prefix are computed once.
+
+        Exactly one token ends a prefix and fits what is before it, so candidates can be tried in
+        any order: first the previous last token with one more byte, then from short to long.
+        """
+        last, begin, before = [-1], [0], b""
+        id_of, fits, longest = self.id_of.get, self.fits, self.longest
+        known, size = self._fits.get, len(self.bytes_of)
         for word in words:
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del last[shared + 1 :]
+            del last[shared + 1 :], begin[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    token = id_of.get(word[start:end])
-                    if token is not None and fits(last[start], token):
-                        last.append(token)
-                        break
+                start = begin[-1]
+                token = id_of(word[start:end])
+                if token is None or not (known((last[start] + 1) * size + token) or fits(last[start], token)):
+                    for start in range(end - 1, max(-1, end - 1 - longest), -1):
+                        token = id_of(word[start:end])
+                        if token is not None and fits(last[start], token):
+                            break
+                last.append(token)
+                begin.append(start)
             before = word
             ids, end = [], len(word)
             while end:
                 ids.append(last[end])
-                end -= len(self.bytes_of[last[end]])
-            yield ids[::-1]
+                end = begin[end]
+            ids.reverse()
+            yield ids
 
     def words(self, text: str) -> list[str]:
         """Pieces that are encoded apart; special strings stand alone."""
@@ -119,10 +130,11 @@ class PrefixEncoder:
     def encode_block(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [self.words(t) for t in texts]
+        present = set().union(*split)
         if len(self._known) > KNOWN_WORDS:
-            self._known = {}
+            self._known = {w: ids for w, ids in self._known.items() if w in present}
         known = self._known
-        new = sorted((w.encode(), w) for w in set().union(*split) if w not in known)
+        new = sorted((w.encode(), w) for w in present if w not in known)
         plain = [x for x in new if x[1] not in self.special]
         for (_, word), ids in zip(plain, self.encode_words(data for data, _ in plain)):
             known[word] = packed(ids)
@@ -135,14 +147,11 @@ class PrefixEncoder:
 
 
 def packed(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def unpacked(ids: bytes) -> memoryview | list[int]:
-    numbers = array("I", ids)
-    if numbers.itemsize != 4 or array("I", b"\1\0\0\0")[0] != 1:
-        return [int.from_bytes(ids[i : i + 4], "little") for i in range(0, len(ids), 4)]
-    return numbers
+def unpacked(ids: bytes) -> tuple[int, ...]:
+    return struct.unpack(f"<{len(ids) // 4}I", ids)
 
 
 @cache
