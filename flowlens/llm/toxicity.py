@@ -40,6 +40,8 @@ DECAY = 0.6
 ORDER = 3
 #: The normalised kernel is raised to this power (still a kernel), which parts near from equal strings.
 POWER = 3
+#: Weight of an altered toxic word against that of a sentence.
+ALTERED_WEIGHT = 2.0
 #: Longer strings are compared window by window.
 WINDOW = 10
 BLOCK_CHARS = 1_000_000
@@ -269,14 +271,21 @@ def train(rows: list[tuple[int, str | None]], reselect: int = 4, reg: float = 1.
     margin = raw[:, : LANDMARKS * 2 // 3].max(axis=1)
     weights, bias = np.zeros(mapped.shape[1]), 0.0
     altered = kernel(_altered([w for w in names[: LANDMARKS * 2 // 3] if w in number]), landmarks) @ root
+    # Clean words alone, and no words: a short text is not suspicious for what it lacks.
+    usual = Counter(w for doc in clean for s in doc for w in s)
+    usual = sorted(usual, key=lambda w: (-usual[w], w))[:200]
+    alone = np.concatenate([kernel(usual, landmarks) @ root, np.zeros((1, len(names)))])
     for _ in range(reselect):
         order = np.lexsort((-margin, owner))
         top = order[starts]  # the most suspicious sentence of each document
         second = order[np.minimum(starts + 1, starts + counts - 1)]
         picked = np.unique(np.concatenate([top, second[y[owner[second]] < 0]]))
-        labels = np.concatenate([y[owner[picked]], np.ones(len(altered))])
-        balance = np.where(labels > 0, 1.0, max(1.0, (labels > 0).sum() / max(1, (labels < 0).sum())))
-        weights, bias = _fit_svm(np.concatenate([mapped[picked], altered]), labels, balance, reg)
+        labels = np.concatenate([y[owner[picked]], np.ones(len(altered)), -np.ones(len(alone))])
+        positive = (labels > 0).sum()
+        balance = np.where(labels > 0, 1.0, max(1.0, positive / max(1, (labels < 0).sum() - len(alone))))
+        balance[len(picked) : len(picked) + len(altered)] = ALTERED_WEIGHT
+        balance[-len(alone) :] = 0.2 * positive / len(alone)
+        weights, bias = _fit_svm(np.concatenate([mapped[picked], altered, alone]), labels, balance, reg)
         margin = mapped @ weights + bias
     best = np.maximum.reduceat(margin, starts)
     slope, offset = _platt(best, (y > 0).astype(float))

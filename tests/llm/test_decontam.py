@@ -1,0 +1,109 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from flowlens.llm import decontam
+
+
+def tokens_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(pairs, items, window=13):
+    found = []
+    for i, text in pairs:
+        words = tokens_of(text)
+        hit, ids = set(), set()
+        for item, body in items:
+            ws = tokens_of(body)
+            if item is None or not ws:
+                continue
+            size = min(window, len(ws))
+            for at in range(len(ws) - size + 1):
+                for p in range(len(words) - size + 1):
+                    if words[p : p + size] == ws[at : at + size]:
+                        hit.update(range(p, p + size))
+                        ids.add(item)
+        found.append((i, len(words), len(hit), sorted(ids), len(hit) > 0 and 20 * len(hit) >= len(words)))
+    return sorted(found, key=repr)
+
+
+def sequences():
+    rng = random.Random(3)
+    vocabulary = "red green blue gold Gray PINK été".split()
+    items = [(n, " ".join(rng.choices(vocabulary, k=k))) for n, k in enumerate([1, 2, 5, 13, 14, 20, 20])]
+    items += [(6, items[5][1]), (None, "red green"), (8, None), (9, "..."), (10, items[5][1])]
+    pairs = []
+    for i in range(30):
+        text = " ".join(rng.choices(vocabulary + ["other", "word"], k=rng.randint(0, 60)))
+        if i % 3 == 0:
+            text += f" x {items[rng.randint(3, 6)][1].upper()}! y"
+        pairs.append((i, text))
+    return pairs, items
+
+
+def rows(found):
+    return sorted(((r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in found.collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def benchmark_of(spark):
+    return lambda items: spark.createDataFrame(items, "item_id long, text string")
+
+
+def test_against_brute_force(docs_of, benchmark_of, odd):
+    pairs, items = sequences()
+    expected = brute(pairs + odd[:5], items)
+    assert rows(decontam.find_benchmark(docs_of(pairs + odd[:5]), benchmark_of(items))) == expected
+
+
+def test_blocks_of_a_large_benchmark_agree(docs_of, benchmark_of):
+    pairs, items = sequences()
+    docs, bench = docs_of(pairs), benchmark_of(items)
+    whole = rows(decontam.find_benchmark(docs, bench))
+    assert rows(decontam.find_benchmark(docs, bench, block_mb=0.0001)) == whole
+    kept = {r[0] for r in whole if not r[4]}
+    for block_mb in (32, 0.0001):
+        left = decontam.drop_contaminated(docs, bench, block_mb=block_mb)
+        assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == kept
+
+
+def test_nothing_to_search(docs_of, benchmark_of, odd):
+    for items in ([], [(1, None)], [(None, "a b")]):
+        found = decontam.find_benchmark(docs_of(odd), benchmark_of(items)).collect()
+        assert len(found) == len(odd) and not any(r.contaminated or r["items"] for r in found)
+    assert decontam.find_benchmark(docs_of([]), benchmark_of([(1, "a b")])).count() == 0
+
+
+def test_spans_are_cut_from_the_text():
+    item = "one two three"
+    windows = decontam.Windows([(1, item)])
+    text = "Start: One, two -- THREE! end. one two"
+    (_, spans, ids), = decontam.search_shard([text], windows)
+    assert ids == [1] and spans == [(1, 4)]
+    assert decontam.cut_spans(text, spans) == "Start: ! end. one two"
+
+
+def test_index_counts_and_places_every_pattern():
+    rng = np.random.default_rng(0)
+    symbols = rng.integers(0, 5, 400)
+    symbols[-1] = 0
+    index = decontam.FMIndex(symbols, sample=7)
+    patterns = [rng.integers(1, 5, k) for k in (1, 1, 2, 3, 4, 6)]
+    padded = np.zeros((len(patterns), 6), np.int64)
+    for row, p in enumerate(patterns):
+        padded[row, : len(p)] = p
+    low, high = index.search(padded, np.array([len(p) for p in patterns]))
+    for p, a, b in zip(patterns, low, high):
+        places = [i for i in range(len(symbols) - len(p) + 1) if (symbols[i : i + len(p)] == p).all()]
+        assert sorted(index.locate(np.arange(a, b))) == places
+
+
+def test_suffix_order_is_a_sorted_order():
+    rng = np.random.default_rng(1)
+    symbols = np.append(rng.integers(0, 3, 200), 0)
+    zeros = np.cumsum(symbols == 0)
+    keyed = [(int(s), int(z) if s == 0 else 0) for s, z in zip(symbols, zeros)]
+    assert list(decontam.suffix_order(symbols)) == sorted(range(len(keyed)), key=lambda i: keyed[i:])
