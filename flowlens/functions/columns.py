@@ -82,16 +82,25 @@ def normalized_category(name: Column) -> Column:
 
 
 def is_attack(roles: Roles) -> Column:
-    """True for rows that are not normal traffic."""
+    """True for rows that are not normal traffic.
+
+    The category decides; where it is missing the attack name does, then the label. A row without
+    any of them is normal.
+    """
+    names = []
     if roles.has("category"):
-        name = F.col(roles.category)
-    elif roles.has("attack"):
-        name = plain_name(F.col(roles.attack))
-    else:
-        label = F.col(*roles.need("label")).cast("string")
-        return label.isNotNull() & ~label.isin("0", *NORMAL_NAMES)
-    # Plain comparisons, which a scan can take over.
-    return name.isNotNull() & ~name.isin(*NORMAL_NAMES)
+        names.append(F.col(roles.category))
+    if roles.has("attack"):
+        names.append(plain_name(F.col(roles.attack)))
+    tests = [~name.isin(*NORMAL_NAMES) for name in names]
+    if roles.has("label") or not names:
+        names.append(F.col(*roles.need("label")).cast("string"))
+        tests.append(~names[-1].isin("0", *NORMAL_NAMES))
+    if len(tests) == 1:
+        # Plain comparisons, which a scan can take over.
+        return names[0].isNotNull() & tests[0]
+    # The test of a missing name is null.
+    return F.coalesce(*tests, F.lit(False))
 
 
 def named_any(roles: Roles, names: tuple[str, ...]) -> Column:

@@ -13,6 +13,8 @@ from flowlens.plans.staging import stage
 from flowlens.roles import Roles
 
 CLUSTERS, SEED = 2, 42
+# Layout of the training rows, ending of the fit.
+PARTITIONS, TOLERANCE, ROUNDS = 64, 1e-9, 100
 MIN_FEATURES = 3
 PREDICTION = "prediction"
 
@@ -41,33 +43,58 @@ def cluster_pipeline(
     if scale:
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True))
     source = "scaled" if scale else "features"
-    return Pipeline(stages=[*stages, KMeans(k=k, seed=seed, featuresCol=source)])
+    means = KMeans(k=k, seed=seed, featuresCol=source, tol=TOLERANCE, maxIter=ROUNDS)
+    return Pipeline(stages=[*stages, means])
 
 
-def _training_rows(df: DataFrame) -> DataFrame:
-    """A written copy of the feature columns, spread over all cores.
+def _training_rows(df: DataFrame, partitions: int) -> DataFrame:
+    """A written copy of the feature columns, dealt out and sorted by value.
 
-    Training passes over the rows many times. The copy keeps it from repeating
-    the joins behind ``df``, and its rows are moved only when there are fewer
-    input files than cores.
+    Training passes over the rows many times, and starts from rows it picks by
+    place. The copy keeps it from repeating the joins behind ``df``, and gives
+    each row the same place whatever files and cores there are. Equal rows are
+    counted and numbered, so that a frequent one is spread over all tasks.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    return stage(df.repartition(cores) if 0 < files < cores else df, "features")
+    columns, copy = df.columns, "_copy"
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    numbered = counted.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
+    placed = numbered.repartition(partitions, *columns, copy).sortWithinPartitions(*columns, copy)
+    return stage(placed.select(*columns), "features")
 
 
 def fit_clusters(
-    df: DataFrame, roles: Roles, k: int = CLUSTERS, seed: int = SEED, scale: bool = False
+    df: DataFrame,
+    roles: Roles,
+    k: int = CLUSTERS,
+    seed: int = SEED,
+    scale: bool = False,
+    partitions: int = PARTITIONS,
 ) -> PipelineModel:
     columns = feature_columns(roles)
-    return cluster_pipeline(columns, k, seed, scale).fit(_training_rows(df.select(*columns)))
+    rows = _training_rows(df.select(*columns), partitions)
+    return cluster_pipeline(columns, k, seed, scale).fit(rows)
+
+
+def _by_size(model: PipelineModel) -> list[int]:
+    """Cluster numbers from the largest cluster to the smallest."""
+    sizes = model.stages[-1].summary.clusterSizes
+    return sorted(range(len(sizes)), key=lambda c: (-sizes[c], c))
 
 
 def cluster(
-    df: DataFrame, roles: Roles, k: int = CLUSTERS, seed: int = SEED, scale: bool = False
+    df: DataFrame,
+    roles: Roles,
+    k: int = CLUSTERS,
+    seed: int = SEED,
+    scale: bool = False,
+    partitions: int = PARTITIONS,
 ) -> DataFrame:
-    """Every row with the number of its k-means cluster in ``prediction``."""
-    return fit_clusters(df, roles, k, seed, scale).transform(df).drop("features", "scaled")
+    """Every row with the number of its k-means cluster in ``prediction``, 0 for the largest."""
+    model = fit_clusters(df, roles, k, seed, scale, partitions)
+    found = model.transform(df).drop("features", "scaled")
+    place = {number: rank for rank, number in enumerate(_by_size(model))}
+    numbers = F.create_map(*(F.lit(x) for pair in place.items() for x in pair))
+    return found.withColumn(PREDICTION, numbers[F.col(PREDICTION)])
 
 
 def cluster_sums(clustered: DataFrame, roles: Roles) -> DataFrame:

@@ -10,18 +10,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.plans.ordering import number_rows
-from flowlens.plans.small import small_table
+from flowlens.plans.skew import lookup_join
+from flowlens.plans.staging import stage
 
 IMBALANCE = 5
 SEED = 42
-MAX_CLASSES = 10_000
-# More copies of one row than this are made by several tasks.
+# Multiplier, addend and modulus of the drawn row numbers.
+DRAW_A, DRAW_C, DRAW_M = 1_103_515_245, 12_345, 2_147_483_647
+# More copies of one row, or draws of one class, than this are made by several tasks.
 COPIES_PER_TASK = 100_000
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
-    """Class count, largest and smallest class, and whether oversampling is due."""
-    classes = df.groupBy(label).agg(F.count("*").alias("n"))
+    """Class count, largest and smallest class, and whether oversampling is due.
+
+    Rows without a label are of no class.
+    """
+    classes = df.dropna(subset=[label]).groupBy(label).agg(F.count("*").alias("n"))
     ratio = F.col("largest") / F.col("smallest")
     return (
         classes.agg(
@@ -41,14 +46,6 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, dfs)
 
 
-def class_sizes(df: DataFrame, label: str) -> dict:
-    """Rows per class, for at most ``MAX_CLASSES`` classes."""
-    counted = df.dropna(subset=[label]).groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(counted) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values, so it is not a class label")
-    return {row[0]: row[1] for row in counted}
-
-
 def _in_pieces(df: DataFrame, pieces: Column) -> DataFrame:
     """Each row ``pieces`` times, dealt out over all tasks, numbered by ``_piece`` from 0.
 
@@ -60,89 +57,70 @@ def _in_pieces(df: DataFrame, pieces: Column) -> DataFrame:
 
 
 def _repeat_in_order(
-    df: DataFrame,
-    label: str,
-    sizes: dict,
-    top: int,
-    order: Sequence[str],
-    total_order: bool,
-    per_task: int,
+    numbered: DataFrame, plan: DataFrame, label: str, top: int, least: int, per_task: int
 ) -> DataFrame:
     """Every row ``top // n`` times, and the first ``top % n`` rows once more."""
-    rank, columns = "_rank", df.columns
-    numbered, _ = number_rows(df, [label, *order], rank, total_order)
-    starts = dict(
-        tuple(row) for row in numbered.groupBy(label).agg(F.min(rank).alias("first")).collect()
-    )
-    plan = small_table(
-        df.sparkSession,
-        [(c, starts[c], top // n, top % n) for c, n in sizes.items()],
-        f"{label} {dict(df.dtypes)[label]}, _first bigint, _times bigint, _extra bigint",
-    )
-    one_more = (F.col(rank) - F.col("_first") < F.col("_extra")).cast("bigint")
-    # One plan row per class.
-    due = numbered.join(F.broadcast(plan), label).select(
-        *columns, (F.col("_times") + one_more).alias("_copies")
+    columns = [c for c in numbered.columns if c != "_rank"]
+    one_more = (F.col("_rank") - F.col("_first") < F.lit(top) % F.col("_n")).cast("bigint")
+    due = lookup_join(numbered, plan, [label]).select(
+        *columns, (F.floor(F.lit(top) / F.col("_n")) + one_more).alias("_copies")
     )
     here = F.col("_copies")
-    if top // min(sizes.values()) >= per_task:
+    if top // least >= per_task:
         due = _in_pieces(due, F.ceil(F.col("_copies") / per_task))
         here = F.least(F.col("_copies") - F.col("_piece") * per_task, F.lit(per_task))
     return due.withColumn("_copy", F.explode(F.sequence(F.lit(1), here))).select(*columns)
 
 
-def _draw(
-    df: DataFrame, label: str, sizes: dict, top: int, seed: int, per_task: int
-) -> DataFrame:
-    """Each class drawn with replacement to about ``top`` rows, never above it.
+def _draw(numbered: DataFrame, plan: DataFrame, top: int, seed: int, per_task: int) -> DataFrame:
+    """``top`` rows of each class, drawn with replacement by a fixed formula of the draw's number.
 
-    The number of copies of a row has a Poisson distribution, and a sum of
-    such numbers has one too, so a row may be drawn in pieces.
+    All classes are drawn in one pass: row numbers first, then one join to the numbered rows.
     """
-    drawn = []
-    for name, n in sizes.items():
-        rows = df.filter(F.col(label) == F.lit(name))
-        pieces = -(-top // (n * per_task))
-        if pieces > 1:
-            rows = _in_pieces(rows, F.lit(pieces)).drop("_piece")
-        rows = rows.sample(True, top / n / pieces, seed)
-        # The cap needs row numbers, not an order, so nothing is shuffled.
-        numbered, _ = number_rows(rows, name="_rank")
-        drawn.append(numbered.filter(F.col("_rank") <= top).drop("_rank"))
-    return union_all(drawn)
+    columns = [c for c in numbered.columns if c != "_rank"]
+    pieces = _in_pieces(plan, F.lit(-(-top // per_task)))
+    start = F.col("_piece") * per_task
+    draws = F.sequence(start, F.least(start + per_task, F.lit(top)) - 1)
+    drawn = pieces.select("_first", "_n", F.explode(draws).alias("_j"))
+    place = (F.col("_j") % DRAW_M * DRAW_A + seed * DRAW_C) % DRAW_M % F.col("_n")
+    ranks = drawn.select((F.col("_first") + place).alias("_rank"))
+    return ranks.join(numbered, "_rank").select(*columns)
 
 
 def oversample(
     df: DataFrame,
     label: str,
-    mode: Literal["exact", "poisson"] = "exact",
+    mode: Literal["exact", "drawn"] = "exact",
     order: Sequence[str] = (),
     total_order: bool = False,
     seed: int = SEED,
     only_if_imbalanced: bool = True,
     copies_per_task: int = COPIES_PER_TASK,
 ) -> DataFrame:
-    """Bring every class up to the size of the largest one.
+    """Bring every class up to exactly the size of the largest one.
 
     ``exact`` repeats rows evenly, the remainder going to the first rows by
-    ``order``; ``poisson`` draws with replacement. Rows without a label go.
+    ``order``; ``drawn`` draws them with replacement, by their place in
+    ``order``. Rows without a label go. Class sizes stay a table, so there may
+    be any number of classes, and the number of jobs does not depend on it.
     """
-    sizes = class_sizes(df, label)
-    if len(sizes) < 2:
+    labelled = df.dropna(subset=[label])
+    sizes = stage(labelled.groupBy(label).agg(F.count("*").alias("_n")), "classes")
+    found = sizes.agg(F.count("*"), F.max("_n"), F.min("_n")).first()
+    classes, top, least = found
+    if classes < 2 or only_if_imbalanced and top <= IMBALANCE * least:
         return df
-    top = max(sizes.values())
-    if only_if_imbalanced and top <= IMBALANCE * min(sizes.values()):
-        return df
-    minority = {name: n for name, n in sizes.items() if n < top}
-    small = F.col(label).isin(*minority)
-    rest = df.filter(F.col(label).isNotNull() & ~small)
-    if not minority:
+    sized = lookup_join(labelled, sizes, [label])
+    rest = sized.filter(F.col("_n") == top).select(*df.columns)
+    if least == top:
         return rest
+    minority = sized.filter(F.col("_n") < top).select(*df.columns)
+    numbered, _ = number_rows(minority, [label, *order], "_rank", total_order)
+    plan = numbered.groupBy(label).agg(
+        F.min("_rank").alias("_first"), F.count("*").alias("_n")
+    )
     if mode == "exact":
-        rows = df.filter(small)
-        grown = _repeat_in_order(
-            rows, label, minority, top, order, total_order, copies_per_task
-        )
+        grown = _repeat_in_order(numbered, plan, label, top, least, copies_per_task)
     else:
-        grown = _draw(df, label, minority, top, seed, copies_per_task)
+        grown = _draw(numbered, plan, top, seed, copies_per_task)
     return union_all([rest, grown])

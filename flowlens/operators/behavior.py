@@ -76,13 +76,9 @@ def host_pairs(df: DataFrame, roles: Roles) -> DataFrame:
     )
 
 
-def _is_pairs(df: DataFrame) -> bool:
-    return "timed_connections" in df.columns
-
-
-def _host_sums(df: DataFrame, host: str, sums: dict[str, str]) -> DataFrame:
+def _host_sums(df: DataFrame, host: str, sums: dict[str, str], paired: bool) -> DataFrame:
     """Connections and byte sums per host, from rows or from ``host_pairs``."""
-    if _is_pairs(df):
+    if paired:
         connections = F.sum("connection_count")
         totals = [F.sum(total).alias(total) for total in sums]
     else:
@@ -91,23 +87,33 @@ def _host_sums(df: DataFrame, host: str, sums: dict[str, str]) -> DataFrame:
     return df.groupBy(host).agg(connections.alias("connection_count"), *totals)
 
 
-def top_sources(df: DataFrame, roles: Roles, k: int = TOP_HOSTS) -> DataFrame:
-    """Sources with most connections, and their bytes both ways."""
+def top_sources(
+    df: DataFrame, roles: Roles, k: int = TOP_HOSTS, paired: bool = False
+) -> DataFrame:
+    """Sources with most connections, and their bytes both ways.
+
+    ``paired``: ``df`` is the result of ``host_pairs``.
+    """
     src, src_bytes, dst_bytes = roles.need("src", "src_bytes", "dst_bytes")
     sums = {"total_src_bytes": src_bytes, "total_dst_bytes": dst_bytes}
-    return top_k(_host_sums(df, src, sums), "connection_count", [src], k)
+    return top_k(_host_sums(df, src, sums, paired), "connection_count", [src], k)
 
 
-def top_destinations(df: DataFrame, roles: Roles, k: int = TOP_HOSTS) -> DataFrame:
+def top_destinations(
+    df: DataFrame, roles: Roles, k: int = TOP_HOSTS, paired: bool = False
+) -> DataFrame:
     """Destinations with most connections, and the bytes they sent."""
     dst, dst_bytes = roles.need("dst", "dst_bytes")
-    return top_k(_host_sums(df, dst, {"total_dst_bytes": dst_bytes}), "connection_count", [dst], k)
+    hosts = _host_sums(df, dst, {"total_dst_bytes": dst_bytes}, paired)
+    return top_k(hosts, "connection_count", [dst], k)
 
 
-def top_pairs(df: DataFrame, roles: Roles, k: int = TOP_HOSTS) -> DataFrame:
+def top_pairs(
+    df: DataFrame, roles: Roles, k: int = TOP_HOSTS, paired: bool = False
+) -> DataFrame:
     """Host pairs with most connections, and their mean duration."""
     src, dst, duration = roles.need("src", "dst", "duration")
-    if _is_pairs(df):
+    if paired:
         mean = F.try_divide("total_duration", "timed_connections")
         pairs = df.select(src, dst, "connection_count", mean.alias("avg_duration"))
     else:

@@ -12,7 +12,7 @@ from flowlens.roles import Roles
 
 TOP_HOSTS = TOP_PORTS = TOP_VALUES = 10
 TOP_SERVICES = 20
-ROWS = "rows"
+ROWS = "_rows"
 
 
 def top_k(df: DataFrame, by: str, keys: Sequence[str], k: int | None = None) -> DataFrame:
@@ -21,62 +21,72 @@ def top_k(df: DataFrame, by: str, keys: Sequence[str], k: int | None = None) ->
     return ordered if k is None else ordered.limit(k)
 
 
-def counts(df: DataFrame, **keys: Column | str) -> DataFrame:
+def counts(df: DataFrame, keys: dict[str, Column | str], weight: str | None = None) -> DataFrame:
     """Rows per combination of the named keys.
 
-    A table that already holds counts per cell (column ``rows``, see
-    ``cell_counts``) is summed up instead of counted.
+    ``weight`` names a column that tells how many rows a row stands for (see ``cell_counts``).
     """
     named = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in keys.items()]
-    rows = F.sum(ROWS) if ROWS in df.columns else F.count("*")
+    rows = F.count("*") if weight is None else F.sum(weight)
     return df.groupBy(*named).agg(rows.alias("count"))
 
 
-def hour_distribution(df: DataFrame, roles: Roles) -> DataFrame:
-    return counts(df, hour=hour_of(roles)).orderBy("hour")
+def hour_distribution(df: DataFrame, roles: Roles, weight: str | None = None) -> DataFrame:
+    return counts(df, {"hour": hour_of(roles)}, weight).orderBy("hour")
 
 
-def weekday_distribution(df: DataFrame, roles: Roles) -> DataFrame:
-    return counts(df, day_of_week=weekday_of(roles)).orderBy("day_of_week")
+def weekday_distribution(df: DataFrame, roles: Roles, weight: str | None = None) -> DataFrame:
+    return counts(df, {"day_of_week": weekday_of(roles)}, weight).orderBy("day_of_week")
 
 
-def protocol_distribution(df: DataFrame, roles: Roles) -> DataFrame:
+def protocol_distribution(
+    df: DataFrame, roles: Roles, weight: str | None = None
+) -> DataFrame:
     (proto,) = roles.need("proto")
-    return top_k(counts(df, **{proto: proto}), "count", [proto])
+    return top_k(counts(df, {proto: proto}, weight), "count", [proto])
 
 
-def protocol_attack_relation(df: DataFrame, roles: Roles) -> DataFrame:
+def protocol_attack_relation(
+    df: DataFrame, roles: Roles, weight: str | None = None
+) -> DataFrame:
     proto, category = roles.need("proto", "category")
-    return top_k(counts(df, **{proto: proto, category: category}), "count", [proto, category])
+    cells = counts(df, {proto: proto, category: category}, weight)
+    return top_k(cells, "count", [proto, category])
 
 
-def service_distribution(df: DataFrame, roles: Roles, k: int = TOP_SERVICES) -> DataFrame:
+def service_distribution(
+    df: DataFrame, roles: Roles, k: int = TOP_SERVICES, weight: str | None = None
+) -> DataFrame:
     (service,) = roles.need("service")
-    return top_k(counts(df, **{service: service}), "count", [service], k)
+    return top_k(counts(df, {service: service}, weight), "count", [service], k)
 
 
-def label_distribution(df: DataFrame, roles: Roles) -> DataFrame:
+def label_distribution(df: DataFrame, roles: Roles, weight: str | None = None) -> DataFrame:
     (label,) = roles.need("label")
-    return top_k(counts(df, **{label: label}), "count", [label])
+    return top_k(counts(df, {label: label}, weight), "count", [label])
 
 
-def category_distribution(df: DataFrame, roles: Roles) -> DataFrame:
+def category_distribution(
+    df: DataFrame, roles: Roles, weight: str | None = None
+) -> DataFrame:
     (category,) = roles.need("category")
-    return top_k(counts(df, **{category: category}), "count", [category])
+    return top_k(counts(df, {category: category}, weight), "count", [category])
 
 
-def attack_hours(df: DataFrame, roles: Roles) -> DataFrame:
+def attack_hours(df: DataFrame, roles: Roles, weight: str | None = None) -> DataFrame:
     """Attack rows per hour, busiest hour first."""
     attacks = df.filter(is_attack(roles))
-    return top_k(counts(attacks, hour=hour_of(roles)), "count", ["hour"])
+    return top_k(counts(attacks, {"hour": hour_of(roles)}, weight), "count", ["hour"])
 
 
-def segment_distribution(df: DataFrame, roles: Roles) -> DataFrame:
+def segment_distribution(
+    df: DataFrame, roles: Roles, weight: str | None = None
+) -> DataFrame:
     if "traffic_segment" in df.columns:
         segment = F.col("traffic_segment")
     else:
         segment = segment_name(byte_sum(roles))
-    return top_k(counts(df, traffic_segment=segment), "count", ["traffic_segment"])
+    return top_k(counts(df, {"traffic_segment": segment}, weight), "count", ["traffic_segment"])
 
 
 def top_values(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:

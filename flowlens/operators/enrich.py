@@ -71,6 +71,8 @@ def range_lookup(
     grid cell, and the answers are joined back.
     """
     values = [c for c in ranges.columns if c not in ("lo", "hi")]
+    # A second look-up replaces the first.
+    df, point = df.drop(*values).withColumn(_POINT, point), F.col(_POINT)
     bounds = ranges.select(
         F.col("lo").cast("bigint").alias(_LO), F.col("hi").cast("bigint").alias(_HI), *values
     )
@@ -78,13 +80,13 @@ def range_lookup(
     grids = _on_grids(bounds)
     # At most one level per entry of _SHIFTS.
     levels = sorted(row[0] for row in grids.select(_LEVEL).distinct().collect())
-    columns = df.columns
-    points = df.withColumn(_POINT, point)
+    columns = [c for c in df.columns if c != _POINT]
+    points = df
     within = F.col(_POINT).between(F.col(_LO), F.col(_HI))
 
     if not levels:
         kinds = dict(ranges.dtypes)
-        return df.withColumns({v: F.lit(None).cast(kinds[v]) for v in values})
+        return df.drop(_POINT).withColumns({v: F.lit(None).cast(kinds[v]) for v in values})
     if fits(grids, broadcast_rows):
         found = []
         for level in levels:
@@ -115,31 +117,41 @@ def range_lookup(
     return lookup_join(points, stage(answers, "answers"), [_POINT], broadcast_rows).drop(_POINT)
 
 
+def _prefixed(columns: tuple[str, ...], prefix: str) -> list[Column]:
+    return [F.col(c).alias(prefix + c) for c in columns]
+
+
 def enrich_geo(
     df: DataFrame,
     ranges: DataFrame | None,
     ip: str = "src_ip",
     broadcast_rows: int = BROADCAST_ROWS,
+    prefix: str = "",
 ) -> DataFrame:
     """Country, city and position of an address; null where no range holds it.
 
-    Without a range table the input is returned unchanged.
+    Without a range table the input is returned unchanged. Columns of the same names are replaced;
+    ``prefix`` tells the two ends of a flow apart.
     """
     if ranges is None:
         return df
-    located = ranges.select("lo", "hi", *GEO_COLUMNS)
+    located = ranges.select("lo", "hi", *_prefixed(GEO_COLUMNS, prefix))
     return range_lookup(df, located, ip_number(F.col(ip)), broadcast_rows)
 
 
 def enrich_owner(
-    df: DataFrame, owners: DataFrame, ip: str = "src_ip", broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    owners: DataFrame,
+    ip: str = "src_ip",
+    broadcast_rows: int = BROADCAST_ROWS,
+    prefix: str = "",
 ) -> DataFrame:
     """Network owner of an address, from a table by ``ip`` or by ``lo``/``hi`` range."""
     if "lo" in owners.columns:
-        owned = owners.select("lo", "hi", *OWNER_COLUMNS)
+        owned = owners.select("lo", "hi", *_prefixed(OWNER_COLUMNS, prefix))
         return range_lookup(df, owned, ip_number(F.col(ip)), broadcast_rows)
     # One owner per address, so that the join never multiplies rows.
-    owner = F.min(F.struct(*OWNER_COLUMNS)).alias("owner")
+    owner = F.min(F.struct(*_prefixed(OWNER_COLUMNS, prefix))).alias("owner")
     unique = owners.dropna(subset=["ip"]).groupBy(F.col("ip").alias(ip)).agg(owner)
     return lookup_join(df, unique.select(ip, "owner.*"), [ip], broadcast_rows)
 
@@ -165,7 +177,9 @@ def categorize(
     if not roles.has("attack"):
         return df
     key = "_attack"
-    names = taxonomy.select(F.col("attack").alias(key), F.col("category").alias("_category"))
+    # One category per plain name, so that the join never multiplies rows.
+    named = taxonomy.select(plain_name(F.col("attack")).alias(key), "category").dropna()
+    names = named.groupBy(key).agg(F.min("category").alias("_category"))
     keyed = df.withColumn(key, plain_name(F.col(roles.attack)))
     joined = lookup_join(keyed, names, [key], broadcast_rows)
     category = F.col("_category") if default is None else F.coalesce("_category", F.lit(default))

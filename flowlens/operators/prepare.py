@@ -27,7 +27,7 @@ def prepare_flows(df: DataFrame, rel_error: float = REL_ERROR, balance: bool = F
     if encoded:
         derived = one_hot(derived, encoded)
     indexed = index_labels(derived, roles)
-    return oversample(indexed, "label_index", "poisson") if balance else indexed
+    return oversample(indexed, "label_index", "drawn") if balance else indexed
 
 
 def prepare_connections(df: DataFrame, taxonomy: DataFrame) -> DataFrame:

@@ -13,9 +13,6 @@ from flowlens.plans.measures import Measure, measure
 from flowlens.roles import Roles
 
 NUMERIC_TYPES = ("int", "bigint", "float", "double")
-NUMERIC_LIMIT = 10
-CATEGORICAL_LIMIT = 5
-
 # Statistic name and the aggregate behind it.
 STATISTICS: dict[str, Callable[[Column], Column]] = {
     "mean": F.avg,
@@ -50,11 +47,11 @@ def overview(df: DataFrame) -> DataFrame:
     return measure(df, overview_measure(df))
 
 
-def numeric_columns(df: DataFrame, limit: int | None = NUMERIC_LIMIT) -> list[str]:
+def numeric_columns(df: DataFrame, limit: int | None = None) -> list[str]:
     return [name for name, kind in df.dtypes if kind in NUMERIC_TYPES][:limit]
 
 
-def numeric_measure(df: DataFrame, limit: int | None = NUMERIC_LIMIT) -> Measure:
+def numeric_measure(df: DataFrame, limit: int | None = None) -> Measure:
     columns = numeric_columns(df, limit)
     kinds = {s: "bigint" if s == "count" else "double" for s in STATISTICS}
 
@@ -67,17 +64,19 @@ def numeric_measure(df: DataFrame, limit: int | None = NUMERIC_LIMIT) -> Measure
     )
 
 
-def numeric_profile(df: DataFrame, limit: int | None = NUMERIC_LIMIT) -> DataFrame:
-    """Mean, deviation, range and non-null count of the first numeric columns."""
+def numeric_profile(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Mean, deviation, range and non-null count of the numeric columns, or of the first ``limit``."""
     return measure(df, numeric_measure(df, limit))
 
 
-def categorical_columns(df: DataFrame, cols: int = CATEGORICAL_LIMIT) -> list[str]:
+def categorical_columns(df: DataFrame, cols: int | None = None) -> list[str]:
     return [name for name, kind in df.dtypes if kind == "string"][:cols]
 
 
-def categorical_top(df: DataFrame, cols: int = CATEGORICAL_LIMIT, k: int = TOP_VALUES) -> DataFrame:
-    """Most frequent values of the first text columns."""
+def categorical_top(
+    df: DataFrame, cols: int | None = None, k: int = TOP_VALUES
+) -> DataFrame:
+    """Most frequent values of the text columns, or of the first ``cols``."""
     return top_values(df, categorical_columns(df, cols), k)
 
 
@@ -125,7 +124,7 @@ def data_stats(df: DataFrame, roles: Roles) -> DataFrame:
     return measure(df, data_stats_measure(df, roles))
 
 
-def attack_type_counts(df: DataFrame, roles: Roles) -> DataFrame:
+def attack_type_counts(df: DataFrame, roles: Roles, weight: str | None = None) -> DataFrame:
     """Rows per attack name."""
     (attack,) = roles.need("attack")
-    return top_k(counts(df, **{attack: attack}), "count", [attack])
+    return top_k(counts(df, {attack: attack}, weight), "count", [attack])

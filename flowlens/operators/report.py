@@ -21,13 +21,13 @@ from flowlens.roles import Roles
 FINDINGS = {"label": "top_label", "hour": "peak_hour", "proto": "main_protocol"}
 
 
-def key_findings(df: DataFrame, roles: Roles) -> DataFrame:
+def key_findings(df: DataFrame, roles: Roles, weight: str | None = None) -> DataFrame:
     """Most frequent label, busiest hour and main protocol, with count and share.
 
     All three come from one set of cell counts.
     """
-    if ROWS in df.columns:
-        cells = df
+    if weight is not None:
+        cells = df.withColumnRenamed(weight, ROWS)
     else:
         narrow = Roles(
             label=roles.label, proto=roles.proto, hour=roles.hour, ts=roles.ts, epoch=roles.epoch
@@ -53,12 +53,14 @@ def key_findings(df: DataFrame, roles: Roles) -> DataFrame:
     )
 
 
-def summary(df: DataFrame, roles: Roles, features: int | None = None) -> DataFrame:
+def summary(
+    df: DataFrame, roles: Roles, features: int | None = None, weight: str | None = None
+) -> DataFrame:
     """Records, columns and number of distinct labels."""
     (label,) = roles.need("label")
     columns = len(df.columns) if features is None else features
     return (
-        distribution.counts(df, **{label: label})
+        distribution.counts(df, {label: label}, weight)
         .agg(
             F.coalesce(F.sum("count"), F.lit(0)).alias("records"),
             F.count("*").alias("labels"),
@@ -159,7 +161,7 @@ def analyze(
     if unknown:
         raise ValueError(f"unknown sections: {sorted(unknown)}")
     if balanced:
-        df = oversample(df, roles.need("label")[0], "poisson")
+        df = oversample(df, roles.need("label")[0], "drawn")
     wanted = set(sections)
     held: list[DataFrame] = []
 
@@ -200,27 +202,27 @@ def analyze(
         },
     )
     if cell_roles.has("hour") and "temporal" in wanted:
-        reports["hour_distribution"] = distribution.hour_distribution(cells, cell_roles)
+        reports["hour_distribution"] = distribution.hour_distribution(cells, cell_roles, weight=ROWS)
     if cell_roles.has("day_of_week") and "temporal" in wanted:
-        reports["weekday_distribution"] = distribution.weekday_distribution(cells, cell_roles)
+        reports["weekday_distribution"] = distribution.weekday_distribution(cells, cell_roles, weight=ROWS)
     if roles.has("proto") and "protocol" in wanted:
-        reports["protocol_distribution"] = distribution.protocol_distribution(cells, cell_roles)
+        reports["protocol_distribution"] = distribution.protocol_distribution(cells, cell_roles, weight=ROWS)
         if roles.has("category"):
-            relation = distribution.protocol_attack_relation(cells, cell_roles)
+            relation = distribution.protocol_attack_relation(cells, cell_roles, weight=ROWS)
             reports["protocol_attack_relation"] = relation
     if roles.has("service") and "protocol" in wanted:
-        reports["service_distribution"] = distribution.service_distribution(cells, cell_roles)
+        reports["service_distribution"] = distribution.service_distribution(cells, cell_roles, weight=ROWS)
     if "attack" in wanted:
         if roles.has("label"):
-            reports["label_distribution"] = distribution.label_distribution(cells, cell_roles)
+            reports["label_distribution"] = distribution.label_distribution(cells, cell_roles, weight=ROWS)
         if roles.has("category"):
-            reports["category_distribution"] = distribution.category_distribution(cells, cell_roles)
+            reports["category_distribution"] = distribution.category_distribution(cells, cell_roles, weight=ROWS)
         if roles.has("attack"):
-            reports["attack_type_counts"] = profile.attack_type_counts(cells, cell_roles)
+            reports["attack_type_counts"] = profile.attack_type_counts(cells, cell_roles, ROWS)
         if named and cell_roles.has("hour"):
-            reports["attack_hours"] = distribution.attack_hours(cells, cell_roles)
+            reports["attack_hours"] = distribution.attack_hours(cells, cell_roles, weight=ROWS)
     if bytes_known and "traffic" in wanted:
-        reports["segment_distribution"] = distribution.segment_distribution(cells, cell_roles)
+        reports["segment_distribution"] = distribution.segment_distribution(cells, cell_roles, weight=ROWS)
 
     texts = profile.categorical_columns(df) if "basic" in wanted else []
     ports = [p for p in (roles.src_port, roles.dst_port) if p is not None]
@@ -236,11 +238,11 @@ def analyze(
     hosts = None
     if roles.has("src", "dst") and measured and wanted & {"hosts", "summary"}:
         pairs = hold(behavior.host_pairs(df, roles))
-        hosts = behavior.top_sources(pairs, roles)
+        hosts = behavior.top_sources(pairs, roles, paired=True)
         if "hosts" in wanted:
             reports["top_sources"] = hosts
-            reports["top_destinations"] = behavior.top_destinations(pairs, roles)
-            reports["top_pairs"] = behavior.top_pairs(pairs, roles)
+            reports["top_destinations"] = behavior.top_destinations(pairs, roles, paired=True)
+            reports["top_pairs"] = behavior.top_pairs(pairs, roles, paired=True)
 
     if roles.has("count") and "traffic" in wanted:
         frequency = behavior.high_frequency(df, roles.count, rel_error=rel_error)
@@ -258,9 +260,9 @@ def analyze(
 
     if "summary" in wanted:
         if roles.has("label"):
-            reports["summary"] = summary(cells, cell_roles, len(df.columns))
+            reports["summary"] = summary(cells, cell_roles, len(df.columns), ROWS)
         if roles.has("label") or roles.has("proto") or cell_roles.has("hour"):
-            reports["key_findings"] = key_findings(cells, cell_roles)
+            reports["key_findings"] = key_findings(cells, cell_roles, ROWS)
         if "data_stats" in reports:
             reports["kpis"] = kpis(
                 reports["data_stats"], reports.get("high_frequency"), reports.get("anomaly_report")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -16,8 +17,6 @@ HALF_WIDTH = 100
 TREND_POINTS, TREND_STEP = 100, 10
 # A source with more rows than this is cut into frames instead of one window.
 HOT_ROWS = 4_000_000
-# Sources listed in one row of the frequent-sequence report.
-SOURCES_PER_ROW = 100_000
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -84,12 +83,23 @@ def trend_points(
     step: int = TREND_STEP,
     half: int = HALF_WIDTH,
     name: str = "bytes_moving_avg",
+    span: Literal["head", "all"] = "head",
+    total_order: bool = False,
 ) -> DataFrame:
-    """The moving average at every ``step``-th row, first ``n`` points.
+    """The moving average at chosen rows.
 
-    Only the first ``n * step + half`` rows can matter. They are found by a
-    bounded top-k over the rows, so nothing else is sorted or numbered.
+    ``head``: at every ``step``-th row, the first ``n`` points. Only the first
+    ``n * step + half`` rows can matter. They are found by a bounded top-k over
+    the rows, so nothing else is sorted or numbered. ``all``: at ``n`` evenly
+    spaced rows from the first part of the order to its last row.
     """
+    if span == "all":
+        averaged = moving_average(df.select(*order, value), value, order, half, total_order, name)
+        rows = df.count()
+        # The row at which the k-th of n equal parts ends.
+        part = F.ceil(F.col("time_index") * n / F.lit(max(rows, 1)))
+        ends = F.floor(part * rows / F.lit(n)) == F.col("time_index")
+        return averaged.filter(ends).select("time_index", name)
     head = df.select(*order, value).orderBy(*order).limit(n * step + half)
     rows = Window.partitionBy(F.lit(0)).orderBy(*order)
     indexed = head.withColumn("time_index", F.row_number().over(rows).cast("bigint"))
@@ -183,43 +193,42 @@ def correlate(
     return over_sources(df, src, [ts, *tiebreak], max(n - 1, 1), add, hot_rows)
 
 
+def sequence_sources(
+    sequences: DataFrame, roles: Roles, min_len: int = SEQUENCE_MIN_CHARS
+) -> DataFrame:
+    """Rows of every sequence longer than ``min_len`` characters, per sequence and source."""
+    (src,) = roles.need("src")
+    kept = sequences.filter(F.length("attack_sequence") > min_len)
+    return kept.groupBy("attack_sequence", src).agg(F.count("*").alias("frequency"))
+
+
+def sequence_totals(
+    sequences: DataFrame, roles: Roles, min_len: int = SEQUENCE_MIN_CHARS
+) -> DataFrame:
+    """Rows and number of distinct sources of every sequence longer than ``min_len`` characters."""
+    (src,) = roles.need("src")
+    return (
+        sequence_sources(sequences, roles, min_len)
+        .groupBy("attack_sequence")
+        .agg(F.sum("frequency").alias("frequency"), F.count(src).alias("source_count"))
+    )
+
+
 def frequent_sequences(
-    sequences: DataFrame,
-    roles: Roles,
-    min_len: int = SEQUENCE_MIN_CHARS,
-    sources_per_row: int = SOURCES_PER_ROW,
+    sequences: DataFrame, roles: Roles, min_len: int = SEQUENCE_MIN_CHARS
 ) -> DataFrame:
-    """Rows and sources of every sequence longer than ``min_len`` characters.
+    """``sequence_totals`` with the sorted list ``source_ips`` of all sources in the same row.
 
-    ``source_ips`` lists the distinct sources in order. A sequence with more
-    than ``sources_per_row`` of them spreads over several rows, numbered by
-    ``part``, which together hold all sources; ``frequency`` and
-    ``source_count`` are those of the whole sequence in each.
+    One row holds every source of its sequence. Where a sequence can have very
+    many, use ``sequence_totals`` and ``sequence_sources``, which stay flat.
     """
     (src,) = roles.need("src")
-    pairs = (
-        sequences.filter(F.length("attack_sequence") > min_len)
-        .groupBy("attack_sequence", src)
-        .agg(F.count("*").alias("n"))
-    )
-    totals = pairs.groupBy("attack_sequence").agg(
-        F.sum("n").alias("frequency"), F.count(src).alias("source_count")
-    )
-    # Few sequences can be this wide, so Spark broadcasts them on its own.
-    wide = totals.filter(F.col("source_count") > sources_per_row).select(
-        "attack_sequence",
-        F.ceil(F.col("source_count") / sources_per_row).alias("parts"),
-        F.col("frequency").alias("all_rows"),
-        F.col("source_count").alias("all_sources"),
-    )
-    parts = F.coalesce("parts", F.lit(1))
     return (
-        pairs.join(wide, "attack_sequence", "left")
-        .withColumn("part", F.pmod(F.xxhash64(src), parts))
-        .groupBy("attack_sequence", "part")
+        sequence_sources(sequences, roles, min_len)
+        .groupBy("attack_sequence")
         .agg(
-            F.coalesce(F.max("all_rows"), F.sum("n")).alias("frequency"),
-            F.coalesce(F.max("all_sources"), F.count(src)).alias("source_count"),
+            F.sum("frequency").alias("frequency"),
+            F.count(src).alias("source_count"),
             F.array_sort(F.collect_list(src)).alias("source_ips"),
         )
     )

@@ -16,10 +16,15 @@ _CELLS = 4096
 
 def _log_cell(x: Column) -> Column:
     """Cell number on a signed logarithmic scale, never falling as x grows."""
+    x = x.cast("double")
     return F.floor(F.signum(x) * F.log1p(F.abs(x)) * _LOG_CELLS)
 
 
 def _linear_cell(x: Column, low: float, high: float) -> Column:
+    if isinstance(low, int):
+        # Whole numbers stay whole: doubles would merge neighbours beyond 2^53.
+        step = (high - low) // _CELLS + 1
+        return F.expr(f"(CAST(x AS DECIMAL(38, 0)) - {low}) div {step}")
     width = (high - low) / _CELLS
     if width == 0:
         return x
@@ -52,8 +57,10 @@ def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float]) -> list[float]
     cells) and keeps the one cell that holds the rank. Whole rows are never
     sorted, shuffled or collected. Two or three passes are usual.
     """
-    x = F.col(col).cast("double")
-    values = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    whole = dict(df.dtypes)[col] in ("tinyint", "smallint", "int", "bigint")
+    x = F.col(col).cast("bigint" if whole else "double")
+    values = df.select(x.alias("x")).filter(F.col("x").isNotNull())
+    values = values if whole else values.filter(~F.isnan("x"))
     grid = _cells(values, _log_cell(F.col("x")))
     n = sum(row["n"] for row in grid)
     if n == 0:
@@ -70,11 +77,15 @@ def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float]) -> list[float]
                 answers[p] = open_.pop(p)[0]
         if not open_:
             return [answers[p] for p in ps]
-        by_range: dict[tuple[float, float], list[float]] = {}
-        for p, (low, high, _) in open_.items():
-            by_range.setdefault((low, high), []).append(p)
-        for (low, high), waiting in by_range.items():
-            inside = values.filter(F.col("x").between(low, high))
-            cells = _cells(inside, _linear_cell(F.col("x"), low, high))
-            for p in waiting:
-                open_[p] = _locate(cells, open_[p][2])
+        ranges = sorted({(low, high) for low, high, _ in open_.values()})
+        # Ranges come from one grid or from cells of one range, so they are disjoint.
+        which, cell, inside = F.lit(None).cast("int"), F.lit(None).cast("double"), F.lit(False)
+        for number, (low, high) in enumerate(ranges):
+            within = F.col("x").between(low, high)
+            which = F.when(within, number).otherwise(which)
+            cell = F.when(within, _linear_cell(F.col("x"), low, high).cast("double")).otherwise(cell)
+            inside = inside | within
+        found = _cells(values.filter(inside), F.struct(which.alias("range"), cell.alias("cell")))
+        for p, (low, high, rank) in open_.items():
+            number = ranges.index((low, high))
+            open_[p] = _locate([row for row in found if row["cell"]["range"] == number], rank)

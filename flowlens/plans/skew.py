@@ -14,6 +14,8 @@ from flowlens.plans.small import small_table
 # A lookup table within both bounds is sent to every executor.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 << 20
+# No more keys than this are taken for hot.
+MAX_HOT = 10_000
 # A key with more than this share of the rows is joined apart from the rest.
 HOT_SHARE = 0.01
 
@@ -41,20 +43,21 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def keys_above(df: DataFrame, keys: Sequence[str], rows: float) -> DataFrame | None:
-    """Keys that own more than ``rows`` rows, or None when there are none.
+    """Keys that own more than ``rows`` rows, the largest ``MAX_HOT`` at most; None without any.
 
-    At most ``n / rows`` keys can qualify, which bounds what is collected.
+    A key left out is joined or sorted like any other, and is a small part of
+    the rows: less than one in ``MAX_HOT``.
     """
     names = list(keys)
-    heavy = df.groupBy(*names).count().filter(F.col("count") > rows).select(*names)
-    found = heavy.collect()
+    heavy = df.groupBy(*names).count().filter(F.col("count") > rows)
+    found = heavy.orderBy(F.desc("count"), *names).limit(MAX_HOT).select(*names).collect()
     if not found:
         return None
     return small_table(df.sparkSession, found, df.select(*names).schema)
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with a hot key and the others; nulls compare equal."""
+    """Rows with a hot key (``hot`` has at most ``MAX_HOT`` of them) and the others; nulls compare equal."""
     small = F.broadcast(hot)
     on = same_keys(df, small, keys)
     return df.join(small, on, "left_semi"), df.join(small, on, "left_anti")
@@ -68,13 +71,17 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a lookup table with unique ``keys``.
 
+    Columns of ``df`` with the name of a looked-up one are replaced.
+
     A table within ``broadcast_rows`` (and ``BROADCAST_BYTES``) is broadcast,
     so the rows stay where they are. A larger one is shuffled, and then keys holding more than
     ``HOT_SHARE`` of the rows (at most ``1 / HOT_SHARE`` of them) are taken
     out and joined to their own few lookup rows by broadcast.
     """
     names = list(keys)
-    columns = [*df.columns, *(c for c in dim.columns if c not in names)]
+    added = [c for c in dim.columns if c not in names]
+    df = df.drop(*added)
+    columns = [*df.columns, *added]
 
     def joined(rows: DataFrame, table: DataFrame) -> DataFrame:
         return rows.join(table, names, "left").select(*columns)

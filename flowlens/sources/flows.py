@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowlens.functions.fixed import FLOW_FIELDS
 from flowlens.operators.derive import attack_category
@@ -28,21 +29,38 @@ def _first_line(spark: SparkSession, path: str) -> str:
     return lines[0].value if lines else ""
 
 
+def _headed(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """A first line, and whether the files begin with a header."""
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), place.alias("place"), "value"
+    )
+    heads = lines.groupBy("file").agg(F.min_by("value", "place").alias("head"))
+    is_header = F.lower(F.split("head", ",")[0]).contains("srcip")
+    found = heads.agg(F.count("*").alias("n"), F.count_if(is_header).alias("headed"), F.min("head").alias("head"))
+    row = found.first()
+    if row.headed not in (0, row.n):
+        raise ValueError(f"{row.headed} of {row.n} files begin with a header; read them apart")
+    return row.head or "", row.n > 0 and row.headed == row.n
+
+
 def read_flows(
     spark: SparkSession,
     path: str,
     header: bool | Literal["auto"] = "auto",
-    declared_types: bool = False,
+    declared_types: bool = True,
 ) -> DataFrame:
     """Flow CSV with ``attack_category`` added.
 
-    Without a header the fixed schema applies. With one, column types are
-    inferred, which reads the input twice; ``declared_types`` takes them from
-    the fixed schema by name instead (other columns become strings).
+    Without a header the fixed schema applies. With one, types come from the fixed schema by name
+    (other columns become strings); ``declared_types=False`` infers them, which reads the input
+    twice. ``auto`` looks at the first line of each file and refuses a mixed folder.
     """
-    first = _first_line(spark, path) if header == "auto" or (header and declared_types) else ""
+    first = ""
     if header == "auto":
-        header = "srcip" in first.split(",")[0].lower()
+        first, header = _headed(spark, path)
+    elif header and declared_types:
+        first = _first_line(spark, path)
     if not header:
         df = spark.read.schema(FLOW_SCHEMA).csv(path)
     elif declared_types:

@@ -43,15 +43,27 @@ def test_many_copies_are_spread_over_tasks(spark, rows):
     whole = balance.oversample(df, "label", order=["i"], total_order=True)
     pieces = balance.oversample(df, "label", order=["i"], total_order=True, copies_per_task=4)
     assert rows(whole) == rows(pieces)
-    drawn = balance.oversample(df, "label", mode="poisson", copies_per_task=4)
+    drawn = balance.oversample(df, "label", "drawn", ["i"], total_order=True, copies_per_task=4)
     sizes = {r.label: r["count"] for r in drawn.groupBy("label").count().collect()}
-    assert sizes["a"] == 100 and 60 < sizes["b"] <= 100 and 60 < sizes["c"] <= 100
+    assert sizes == {"a": 100, "b": 100, "c": 100}
+    assert rows(drawn) == rows(balance.oversample(df, "label", "drawn", ["i"], total_order=True))
 
 
-def test_too_many_classes_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(balance, "MAX_CLASSES", 2)
-    with pytest.raises(ValueError, match="class label"):
-        balance.oversample(classes(spark, a=9, b=1, c=1), "label", order=["i"])
+def test_jobs_do_not_depend_on_the_number_of_classes(spark):
+    jobs = []
+    for n in (2, 12):
+        df = classes(spark, a=100, **{f"c{i}": 3 for i in range(n)})
+        spark.sparkContext.setJobGroup(f"draw{n}", "")
+        balance.oversample(df, "label", "drawn", ["i"], total_order=True)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"draw{n}")))
+    assert jobs[0] == jobs[1]
+
+
+def test_missing_labels_are_no_class(spark):
+    missing = spark.createDataFrame([(None, 1)], "label string, i int")
+    df = classes(spark, a=10, b=8).union(missing)
+    found = balance.class_balance(df, "label").first()
+    assert (found.classes, found.smallest, found.oversample) == (2, 8, False)
 
 
 def test_exact_oversampling_of_copies(spark):
@@ -61,13 +73,13 @@ def test_exact_oversampling_of_copies(spark):
     assert Counter(r.label for r in found.collect()) == {"a": 12, "b": 12}
 
 
-def test_drawn_oversampling_never_exceeds_the_largest_class(spark):
+def test_drawn_classes_have_the_size_of_the_largest(spark):
     df = classes(spark, a=3000, b=100, c=40)
-    found = balance.oversample(df, "label", mode="poisson")
+    found = balance.oversample(df, "label", mode="drawn")
     sizes = {r.label: r["count"] for r in found.groupBy("label").count().collect()}
-    assert sizes["a"] == 3000
-    for name in ("b", "c"):
-        assert 2000 < sizes[name] <= 3000
+    assert sizes == {"a": 3000, "b": 3000, "c": 3000}
+    times = [r["count"] for r in found.filter("label <> 'a'").groupBy("label", "i").count().collect()]
+    assert len(times) > 130 and min(times) < 75 and max(times) < 150
     known = {(r.label, r.i) for r in df.collect()}
     assert {(r.label, r.i) for r in found.collect()} <= known
 

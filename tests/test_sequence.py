@@ -60,26 +60,22 @@ def test_gaps_alone(events, expected):
     }
 
 
-@pytest.mark.parametrize("sources_per_row", [s.SOURCES_PER_ROW, 1])
-def test_frequent_sequences(events, expected, sources_per_row):
+def test_frequent_sequences(events, expected):
     sequences = s.rolling_sequence(events, ROLES, tiebreak=["id"])
-    found = s.frequent_sequences(sequences, ROLES, sources_per_row=sources_per_row).collect()
     sources = {r.id: r.src_ip for r in events.collect()}
     want = {}
     for i, (_, _, steps) in expected.items():
         if len(steps) > 10:
-            n, who = want.setdefault(steps, [0, set()])
-            want[steps][0] += 1
-            who.add(sources[i])
-    got = {}
-    for r in found:
-        assert list(r.source_ips) == sorted(r.source_ips)
-        entry = got.setdefault(r.attack_sequence, [r.frequency, set()])
-        assert entry[0] == r.frequency and not entry[1] & set(r.source_ips)
-        entry[1].update(r.source_ips)
-        named = len(want[r.attack_sequence][1] - {None})
-        assert r.source_count == named
-    assert got == {k: [n, who - {None}] for k, (n, who) in want.items()}
+            want.setdefault(steps, []).append(sources[i])
+    known = {k: sorted({w for w in who if w is not None}) for k, who in want.items()}
+    found = s.frequent_sequences(sequences, ROLES).collect()
+    assert {r.attack_sequence: (r.frequency, r.source_count, r.source_ips) for r in found} == {
+        k: (len(who), len(known[k]), known[k]) for k, who in want.items()
+    }
+    totals = s.sequence_totals(sequences, ROLES).collect()
+    assert {tuple(r) for r in totals} == {(k, len(w), len(known[k])) for k, w in want.items()}
+    flat = s.sequence_sources(sequences, ROLES).collect()
+    assert {tuple(r) for r in flat} == {(k, x, w.count(x)) for k, w in want.items() for x in set(w)}
 
 
 def test_length_limit_counts_characters(spark):
