@@ -24,9 +24,10 @@ def _flow_counts(key: str, limit: int | None = None) -> str:
 
 NUMERIC = (
     "flow_id", "src", "dst", "src_port", "dst_port", "price", "duration", "src_bytes",
-    "dst_bytes", "load_bytes",
+    "dst_bytes", "load_bytes", "label", "conn_count", "srv_count", "dst_host_count",
+    "serror_rate", "rerror_rate",
 )
-TEXT = ("proto", "state", "service", "attack_cat", "category")
+TEXT = ("proto", "state", "service", "attack_cat", "category", "attack_type")
 ALL = (
     "flow_id", "src", "dst", "src_port", "dst_port", "proto", "state", "service", "price",
     "duration", "src_bytes", "dst_bytes", "load_bytes", "ts", "attack_cat", "category",
@@ -175,6 +176,20 @@ UNION ALL
 HIGH = "(SELECT quantile_disc(conn_count, 0.95) FROM flows)"
 TOP = 'SELECT max(n) AS top FROM (SELECT count(*) AS n FROM flows GROUP BY label)'
 
+CLUSTERED = """
+, clustered AS (
+  SELECT *, src_bytes + CASE WHEN label = 1 THEN 1000000000 ELSE 0 END AS far_bytes,
+         CAST(label AS BIGINT) AS prediction FROM flows)
+"""
+
+CSV_SQL = (
+    "SELECT CAST(src AS VARCHAR) AS srcip, CAST(src_port AS BIGINT) AS sport, "
+    "CAST(dst AS VARCHAR) AS dstip, CAST(dst_port AS BIGINT) AS dsport, proto, state, "
+    "duration AS dur, src_bytes AS sbytes, dst_bytes AS dbytes, service, price AS sload, "
+    "flow_id AS stcpb, CAST(label AS BIGINT) AS label, CASE WHEN attack_cat IS NULL "
+    "OR attack_cat = 'Normal' THEN 'normal' ELSE attack_cat END AS attack_category FROM flows"
+)
+
 ORACLES: dict[str, str] = {
     "overview": _flows(
         f"SELECT count(*) AS records, CAST({len(ALL)} AS BIGINT) AS columns FROM flows"
@@ -354,13 +369,13 @@ ORACLES: dict[str, str] = {
         "AS is_malicious_ip FROM flows"
     ),
     "categorize": _flows(
-        f"SELECT {BIGKEY}, attack_type, CASE attack_type WHEN 'neptune.' THEN 'DoS' "
-        "WHEN 'ipsweep.' THEN 'Reconnaissance' WHEN 'normal' THEN 'normal' "
+        f"SELECT {BIGKEY}, attack_type, CASE attack_type WHEN 'neptune.' THEN 'dos' "
+        "WHEN 'ipsweep.' THEN 'probe' WHEN 'normal' THEN 'normal' "
         "WHEN 'normal.' THEN 'normal' END AS attack_category FROM flows"
     ),
     "categorize_default": _flows(
-        f"SELECT {BIGKEY}, attack_type, CASE attack_type WHEN 'neptune.' THEN 'DoS' "
-        "WHEN 'ipsweep.' THEN 'Reconnaissance' WHEN 'normal' THEN 'normal' "
+        f"SELECT {BIGKEY}, attack_type, CASE attack_type WHEN 'neptune.' THEN 'dos' "
+        "WHEN 'ipsweep.' THEN 'probe' WHEN 'normal' THEN 'normal' "
         "WHEN 'normal.' THEN 'normal' ELSE 'unknown' END AS attack_category FROM flows"
     ),
     "windowed_traffic": _events(
@@ -399,3 +414,75 @@ ORACLES: dict[str, str] = {
     ),
     "chart_series": _flows(CHARTS, "," + EVENTS_SQL),
 }
+
+# Other plans, or another form, of queries above.
+for _name, _same in {
+    "enrich_geo_shuffled": "enrich_geo",
+    "enrich_owner_shuffled": "enrich_owner",
+    "flag_threats_shuffled": "flag_threats",
+    "categorize_shuffled": "categorize",
+    "gaps_of_hot_sources": "gaps",
+    "rolling_sequence_of_hot_sources": "rolling_sequence",
+    "index_categories_joined": "index_categories",
+    "oversample_in_pieces": "oversample",
+}.items():
+    ORACLES[_name] = ORACLES[_same]
+
+ORACLES |= {
+    "cluster_profile": _flows(
+        'SELECT prediction, count(*) AS "count", avg(far_bytes) AS avg_src_bytes, '
+        "avg(dst_bytes) AS avg_dst_bytes FROM clustered GROUP BY prediction",
+        CLUSTERED,
+    ),
+    "anomaly_report": _flows(
+        "SELECT count(*) FILTER (label = 1) AS anomaly_count, "
+        "count(*) FILTER (label = 1) / count(*) AS anomaly_ratio, "
+        "avg(far_bytes) FILTER (label = 1) AS avg_src_bytes, "
+        "avg(dst_bytes) FILTER (label = 1) AS avg_dst_bytes, "
+        "avg(duration) FILTER (label = 1) AS avg_duration FROM clustered",
+        CLUSTERED,
+    ),
+    "anomalies": _flows(
+        f"SELECT {BIGKEY}, prediction FROM clustered WHERE label = 1", CLUSTERED
+    ),
+    "attack_rows_by_name": _flows(
+        f"SELECT {BIGKEY}, attack_type FROM flows "
+        "WHERE attack_type = 'mystery' OR category <> 'normal'"
+    ),
+    "oversample_drawn": _flows(
+        f"SELECT {BIGKEY}, category, src_bytes FROM ranked WHERE n = top UNION ALL "
+        "SELECT r.flow_id, CAST(r.src_port AS BIGINT), r.dst, r.src, r.price, r.category, "
+        "r.src_bytes FROM draws d JOIN ranked r ON r.category = d.category AND r.rn = d.place",
+        ", sizes AS (SELECT category, count(*) AS n, max(count(*)) OVER () AS top FROM flows "
+        "GROUP BY category), ranked AS (SELECT f.*, n, top, row_number() OVER (PARTITION BY "
+        f"f.category ORDER BY {KEY}) - 1 AS rn FROM flows f JOIN sizes USING (category)), "
+        "draws AS (SELECT category, (j % 2147483647 * 1103515245 + 42 * 12345) % 2147483647 % n "
+        "AS place FROM (SELECT category, n, unnest(range(top)) AS j FROM sizes WHERE n < top))",
+    ),
+    "sequence_totals": _events(
+        "SELECT attack_sequence, count(*) AS frequency, count(DISTINCT src) AS source_count "
+        "FROM sequenced WHERE length(attack_sequence) > 10 GROUP BY attack_sequence",
+        SEQUENCED,
+    ),
+    "sequence_sources": _events(
+        "SELECT attack_sequence, src, count(*) AS frequency FROM sequenced "
+        "WHERE length(attack_sequence) > 10 GROUP BY attack_sequence, src",
+        SEQUENCED,
+    ),
+    "trend_points_all": _flows(
+        "SELECT time_index, bytes_moving_avg FROM averaged, (SELECT count(*) AS rows FROM flows) "
+        "WHERE time_index IN (SELECT k * (SELECT count(*) FROM flows) // 100 "
+        "FROM range(1, 101) t(k))",
+        INDEXED,
+    ),
+    "enrich_both_ends": _flows(
+        f"SELECT {BIGKEY}, a.n_name AS src_country, b.n_name AS dst_country FROM flows "
+        "LEFT JOIN (supplier JOIN nation ON s_nationkey = n_nationkey) a "
+        "ON src * 20 BETWEEN a.s_suppkey * 20 AND a.s_suppkey * 20 + 14 "
+        "LEFT JOIN (supplier JOIN nation ON s_nationkey = n_nationkey) b "
+        "ON dst BETWEEN b.s_suppkey * 20 AND b.s_suppkey * 20 + 14"
+    ),
+    "csv_flows": _flows(CSV_SQL),
+    "csv_flows_header": _flows(CSV_SQL),
+    "written_reports": _flow_counts("service"),
+}

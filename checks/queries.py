@@ -34,7 +34,10 @@ from flowlens.operators import (
     sequence,
 )
 from flowlens.plans.staging import fresh_path
-from flowlens.sources import parse_events
+from flowlens.sinks import write_reports
+from flowlens.sources import parse_events, read_flows
+from flowlens.sources.flows import FLOW_TYPES
+from flowlens.sources.reference import default_taxonomy
 from flowlens.streaming import alerts, traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,13 +130,32 @@ def with_total(df: DataFrame) -> DataFrame:
     return df.select(*FLOW_ORDER, byte_sum(FLOW).alias("total_bytes"))
 
 
+def flows_by_class(df: DataFrame) -> DataFrame:
+    """Flows whose source bytes tell the classes apart, so that two clusters must be the two labels."""
+    far = F.when(F.col("label") == 1, 10**9).otherwise(0)
+    return df.withColumn("src_bytes", F.col("src_bytes") + far)
+
+
+def without_category(df: DataFrame) -> DataFrame:
+    """Flows in which an attack that no taxonomy lists has no category."""
+    listed = F.coalesce(F.col("attack_type") != "mystery", F.lit(True))
+    return df.withColumn("category", F.when(listed, F.col("category")))
+
+
+def drawn(df: DataFrame) -> DataFrame:
+    rows = df.select(*FLOW_KEY, "category", "src_bytes")
+    return balance.oversample(
+        rows, "category", "drawn", FLOW_KEY, True, only_if_imbalanced=False, copies_per_task=1000
+    )
+
+
 def _sequenced(df: DataFrame) -> DataFrame:
     return sequence.rolling_sequence(df, EVENT, tiebreak=["event_id"])
 
 
 def frequent_sequences(df: DataFrame) -> DataFrame:
     found = sequence.frequent_sequences(_sequenced(df), EVENT)
-    return found.withColumn("source_ips", F.array_join("source_ips", ",")).drop("part")
+    return found.withColumn("source_ips", F.array_join("source_ips", ","))
 
 
 # --- reference tables -----------------------------------------------------
@@ -154,12 +176,24 @@ def geo_ranges(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def enrich_geo(spark: SparkSession, sf: str) -> DataFrame:
+def enrich_geo(spark: SparkSession, sf: str, **bound: int) -> DataFrame:
     addressed = flows(spark, sf).withColumn("dst_ip", dotted(F.lit(10 << 24) + F.col("dst")))
-    located = enrich.enrich_geo(addressed, geo_ranges(spark, sf), "dst_ip")
+    located = enrich.enrich_geo(addressed, geo_ranges(spark, sf), "dst_ip", **bound)
     return as_long(_keyed(located, "dst_ip", *enrich.GEO_COLUMNS))
 
 
+def enrich_both_ends(spark: SparkSession, sf: str) -> DataFrame:
+    """Countries of source and destination, by two look-ups of one table."""
+    base = F.lit(10 << 24)
+    addressed = flows(spark, sf).withColumns(
+        {"src_ip": dotted(base + F.col("src") * 20), "dst_ip": dotted(base + F.col("dst"))}
+    )
+    ranges = geo_ranges(spark, sf)
+    located = enrich.enrich_geo(addressed, ranges, "src_ip", prefix="src_")
+    located = enrich.enrich_geo(located, ranges, "dst_ip", prefix="dst_")
+    return as_long(_keyed(located, "src_country", "dst_country"))
+
+
 def owners(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation")
     suppliers = table(spark, sf, "supplier").filter(F.col("s_acctbal") >= 0)
@@ -171,30 +205,20 @@ def owners(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def enrich_owner(spark: SparkSession, sf: str) -> DataFrame:
-    owned = enrich.enrich_owner(flows(spark, sf), owners(spark, sf), "src")
+def enrich_owner(spark: SparkSession, sf: str, **bound: int) -> DataFrame:
+    owned = enrich.enrich_owner(flows(spark, sf), owners(spark, sf), "src", **bound)
     return as_long(_keyed(owned, *enrich.OWNER_COLUMNS))
 
 
-def flag_threats(spark: SparkSession, sf: str) -> DataFrame:
+def flag_threats(spark: SparkSession, sf: str, **bound: int) -> DataFrame:
     listed = table(spark, sf, "supplier").filter(F.col("s_acctbal") < 0)
     blocklist = listed.select(F.col("s_suppkey").alias("ip"))
-    flagged = enrich.flag_threats(flows(spark, sf), blocklist, "src")
+    flagged = enrich.flag_threats(flows(spark, sf), blocklist, "src", **bound)
     return as_long(_keyed(flagged, "is_malicious_ip"))
 
 
-def _taxonomy(df: DataFrame) -> DataFrame:
-    """The categories of the attack names, as the rows themselves show them."""
-    named = df.filter(F.col("attack_type").isNotNull() & (F.col("attack_type") != "mystery"))
-    return (
-        named.select(F.regexp_replace("attack_type", r"\.$", "").alias("attack"), "category")
-        .groupBy("attack")
-        .agg(F.max("category").alias("category"))
-    )
-
-
-def categorize(df: DataFrame, default: str | None = None) -> DataFrame:
-    known = enrich.categorize(df, _taxonomy(df), FLOW, default)
+def categorize(df: DataFrame, default: str | None = None, **bound: int) -> DataFrame:
+    known = enrich.categorize(df, default_taxonomy(df.sparkSession), FLOW, default, **bound)
     return _keyed(known, "attack_type", "attack_category")
 
 
@@ -304,7 +328,38 @@ def _findings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cluster_flows(spark: SparkSession, sf: str) -> DataFrame:
-    return anomaly.cluster(flows(spark, sf), FLOW)
+    return anomaly.cluster(flows_by_class(flows(spark, sf)), FLOW)
+
+
+# --- files ----------------------------------------------------------------
+
+CSV_FIELDS = {
+    "srcip": "src", "sport": "src_port", "dstip": "dst", "dsport": "dst_port", "proto": "proto",
+    "state": "state", "dur": "duration", "sbytes": "src_bytes", "dbytes": "dst_bytes",
+    "service": "service", "sload": "price", "stcpb": "flow_id", "attack_cat": "attack_cat",
+    "label": "label",
+}
+
+
+def csv_flows(spark: SparkSession, sf: str, header: bool = False) -> DataFrame:
+    """Flows written as 49-column CSV and read back."""
+    fields = [
+        (F.col(CSV_FIELDS[name]) if name in CSV_FIELDS else F.lit(None)).cast(kind).alias(name)
+        for name, kind in FLOW_TYPES.items()
+    ]
+    path = fresh_path(spark, "csv")
+    flows(spark, sf).select(*fields).write.csv(path, header=header)
+    kept = [c for c in CSV_FIELDS if c != "attack_cat"]
+    return as_long(read_flows(spark, path).select(*kept, "attack_category"))
+
+
+def written_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports written to files and read back."""
+    flow = flows(spark, sf)
+    found = {"services": distribution.service_distribution(flow, FLOW, None)}
+    path = write_reports(found, fresh_path(spark, "reports"), formats={"services": "csv"})
+    schema = "service string, count bigint"
+    return spark.read.schema(schema).csv(f"{path}/services", header=True)
 
 
 QUERIES: dict[str, Query] = {
@@ -332,6 +387,9 @@ QUERIES: dict[str, Query] = {
     "dos_profile": _flow_query(lambda df: behavior.dos_profile(df, FLOW)),
     "probe_profile": _flow_query(lambda df: behavior.probe_profile(df, FLOW)),
     "attack_rows": _flow_query(lambda df: _keyed(behavior.attack_rows(df, FLOW), "category")),
+    "attack_rows_by_name": _flow_query(
+        lambda df: _keyed(behavior.attack_rows(without_category(df), FLOW), "attack_type")
+    ),
     "top_sources": _flow_query(lambda df: behavior.top_sources(df, FLOW)),
     "top_destinations": _flow_query(lambda df: behavior.top_destinations(df, FLOW)),
     "top_pairs": _flow_query(lambda df: behavior.top_pairs(df, FLOW)),
@@ -408,6 +466,19 @@ QUERIES: dict[str, Query] = {
             df.select(*FLOW_KEY, "label", "src_bytes"), "label", order=FLOW_KEY, total_order=True
         )
     ),
+    "oversample_drawn": _flow_query(drawn),
+    "oversample_in_pieces": _flow_query(
+        lambda df: balance.oversample(
+            df.select(*FLOW_KEY, "label", "src_bytes"), "label", order=FLOW_KEY, total_order=True,
+            copies_per_task=3,
+        )
+    ),
+    "index_categories_joined": _flow_query(
+        lambda df: _keyed(
+            encode.index_categories(df, ["proto", "service", "state"], max_labels=0),
+            "proto_indexed", "service_indexed", "state_indexed",
+        )
+    ),
     # clustering
     "cluster_profile": lambda spark, sf: as_long(
         anomaly.cluster_profile(_cluster_flows(spark, sf), FLOW)
@@ -439,11 +510,37 @@ QUERIES: dict[str, Query] = {
         lambda df: _sequenced(df).select("event_id", "src", "attack_sequence")
     ),
     "frequent_sequences": _event_query(frequent_sequences),
+    "sequence_totals": _event_query(lambda df: sequence.sequence_totals(_sequenced(df), EVENT)),
+    "sequence_sources": _event_query(lambda df: sequence.sequence_sources(_sequenced(df), EVENT)),
+    "trend_points_all": _flow_query(
+        lambda df: sequence.trend_points(
+            with_total(df), "total_bytes", FLOW_ORDER, span="all", total_order=True
+        )
+    ),
+    "gaps_of_hot_sources": _event_query(
+        lambda df: sequence.gaps(df, EVENT, ["event_id"], hot_rows=20).select(
+            "event_id", F.col("prev_time").cast("timestamp_ntz").alias("prev_time"), "time_diff"
+        )
+    ),
+    "rolling_sequence_of_hot_sources": _event_query(
+        lambda df: sequence.rolling_sequence(
+            df, EVENT, tiebreak=["event_id"], hot_rows=20
+        ).select("event_id", "src", "attack_sequence")
+    ),
     # enrichment
     "enrich_geo": enrich_geo,
     "enrich_owner": enrich_owner,
     "flag_threats": flag_threats,
     "categorize": _flow_query(categorize),
+    "enrich_both_ends": enrich_both_ends,
+    "enrich_geo_shuffled": lambda spark, sf: enrich_geo(spark, sf, broadcast_rows=0),
+    "enrich_owner_shuffled": lambda spark, sf: enrich_owner(spark, sf, broadcast_rows=0),
+    "flag_threats_shuffled": lambda spark, sf: flag_threats(spark, sf, broadcast_rows=0),
+    "categorize_shuffled": _flow_query(lambda df: categorize(df, broadcast_rows=0)),
+    # files
+    "csv_flows": csv_flows,
+    "csv_flows_header": lambda spark, sf: csv_flows(spark, sf, True),
+    "written_reports": written_reports,
     "categorize_default": _flow_query(lambda df: categorize(df, "unknown")),
     # streams
     "windowed_traffic": windowed_traffic,
