@@ -16,7 +16,7 @@ minus their Jaccard similarity, a metric. Documents link when the distance is at
    part, and one between has links only to inner nodes whose distance to the pivot differs by at
    most the radius. These boundary nodes are compared with that window.
 5. *Recursion.* Outer nodes go on, cell by cell, with a new pivot from among them. After ``ROUNDS``
-   rounds what is left of a cell is compared in blocks.
+   rounds what is left of the regions is compared in blocks.
 6. Links are few (at most one per node, region and block); components come from star contraction.
 
 All steps are shuffles of narrow rows; sets travel only for nodes of shared cells. A region is cut
@@ -399,18 +399,13 @@ def _window_rows(measured: DataFrame, space: Space) -> DataFrame:
 
 
 def _rest_rows(cells: DataFrame) -> DataFrame:
-    """What is left of each cell, as held blocks against all its nodes; equal cells once."""
-    prints = cells.groupBy("sig").agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("k") % (1 << 40)).alias("h"), F.min("k").alias("low"), F.max("k").alias("high")
-    )
-    once = prints.where("n > 1").groupBy("n", "h", "low", "high").agg(F.min("sig").alias("sig"))
-    kept = cells.join(once.select("sig", _blocks(F.col("n"), HELD).alias("blocks")), "sig")
-    held = kept.select(
-        F.col("sig").alias("grp"), _salt(F.col("blocks")).alias("salt"), F.lit(0).alias("role"), "k", _no_d()
-    )
-    streamed = kept.select(
-        F.col("sig").alias("grp"), _every(F.col("blocks")).alias("salt"), F.lit(1).alias("role"), "k", _no_d()
-    )
+    """What is left of the cells, by pivot: held blocks of each region against all its nodes."""
+    pivots = cells.groupBy("sig").agg(F.min("k").alias("p"), F.max("k").alias("top")).where("p < top")
+    members = stage(cells.join(pivots.select("sig", "p"), "sig").select("p", "k").distinct(), "rest")
+    regions = members.groupBy("p").agg(_blocks(F.count("*"), HELD).alias("blocks"))
+    kept = members.join(regions, "p").select(F.col("p").alias("grp"), "k", "blocks")
+    held = kept.select("grp", _salt(F.col("blocks")).alias("salt"), F.lit(0).alias("role"), "k", _no_d())
+    streamed = kept.select("grp", _every(F.col("blocks")).alias("salt"), F.lit(1).alias("role"), "k", _no_d())
     return held.unionByName(streamed)
 
 
