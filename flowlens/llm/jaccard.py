@@ -119,8 +119,9 @@ class Shingler:
         if len(self.known) > KNOWN_WORDS:
             self.known = {}
         known = self.known
-        for word in set().union(*split) - known.keys():
-            known[word] = xxhash.xxh3_64_intdigest(word)
+        for word in set().union(*split):
+            if word not in known:
+                known[word] = xxhash.xxh3_64_intdigest(word)
         width = self.space.words
         for words in split:
             if not words:
@@ -161,42 +162,36 @@ def _ids(docs: DataFrame):
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc_id"), "text")
 
 
-def _keys(docs: DataFrame, space: Space) -> DataFrame:
-    """``doc_id``, set size and set key of every row."""
+_CELLS = "doc_id long, n long, k long, sigs array<long>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(space)
-        for ids, texts in text_blocks(batches, BLOCK_CHARS):
-            found = [(len(s), set_key(s)) for s in shingler.sets(texts)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in (ids, [f[0] for f in found], [f[1] for f in found])],
-                ["doc_id", "n", "k"],
-            )
-
-    return _ids(docs).mapInArrow(run, "doc_id long, n long, k long")
 
-
-def _cell_rows(docs: DataFrame, space: Space) -> DataFrame:
-    """(sig, k) of every node; a task leaves out sets that it has seen."""
+def _cells_of(docs: DataFrame, space: Space) -> DataFrame:
+    """``doc_id``, set size, set key and cells of every row; a task lists the cells of a set once."""
     light = space.light()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(space), set()
-        for _, texts in text_blocks(batches, BLOCK_CHARS):
-            sigs, keys = [], []
+        nothing = np.zeros(0, np.int64)
+        for ids, texts in text_blocks(batches, BLOCK_CHARS):
+            sizes, keys, cells = [], [], []
             for values in shingler.sets(texts):
-                if not len(values) or (key := set_key(values)) in seen:
-                    continue
-                if len(seen) < KNOWN_SETS:
+                key = set_key(values)
+                sizes.append(len(values))
+                keys.append(key)
+                new = len(values) and key not in seen
+                cells.append(signatures(values, space, light) if new else nothing)
+                if new and len(seen) < KNOWN_SETS:
                     seen.add(key)
-                found = signatures(values, space, light)
-                sigs.append(found)
-                keys.append(np.full(len(found), key, np.int64))
-            if sigs:
-                columns = [pa.array(np.concatenate(sigs)), pa.array(np.concatenate(keys))]
-                yield pa.RecordBatch.from_arrays(columns, ["sig", "k"])
+            offsets = np.concatenate([[0], np.cumsum([len(c) for c in cells])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[pa.array(x, pa.int64()) for x in (ids, sizes, keys)],
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(cells))),
+                ],
+                ["doc_id", "n", "k", "sigs"],
+            )
 
-    return _ids(docs).mapInArrow(run, "sig long, k long")
+    return _ids(docs).mapInArrow(run, _CELLS)
 
 
 def _with_sets(docs: DataFrame, todo: DataFrame, classes: DataFrame, space: Space) -> DataFrame:
@@ -409,9 +404,9 @@ def _rest_rows(cells: DataFrame) -> DataFrame:
     return held.unionByName(streamed)
 
 
-def find_links(docs: DataFrame, classes: DataFrame, space: Space) -> DataFrame:
+def find_links(docs: DataFrame, keys: DataFrame, classes: DataFrame, space: Space) -> DataFrame:
     """(a, b) node pairs within the radius whose components are those of all such pairs."""
-    rows = _cell_rows(docs, space)
+    rows = keys.select(F.explode("sigs").alias("sig"), "k")
     shared = rows.groupBy("sig").count().where("count > 1").select("sig")
     cells = stage(rows.join(shared, "sig").distinct(), "shared")
     links = []
@@ -464,9 +459,9 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, space: Space = Space()) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     docs = docs.select("doc_id", "text")
-    keys = stage(_keys(docs, space), "keys")
+    keys = stage(_cells_of(docs, space), "keys")
     classes = stage(keys.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("doc_id")), "classes")
-    roots = stage(components(find_links(docs, classes, space)), "roots")
+    roots = stage(components(find_links(docs, keys, classes, space)), "roots")
     labelled = classes.join(roots, "k", "left").select("k", "doc_id", F.coalesce("root", "k").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_key = labelled.join(smallest, "root").select("k", "component_id")
