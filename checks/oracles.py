@@ -486,3 +486,14 @@ ORACLES |= {
     "csv_flows_header": _flows(CSV_SQL),
     "written_reports": _flow_counts("service"),
 }
+ORACLES |= {
+    f"report_{name}": ORACLES[name]
+    for name in (
+        "overview", "numeric_profile", "missing_counts", "data_stats", "categorical_top",
+        "trend_points", "protocol_distribution", "protocol_attack_relation",
+        "service_distribution", "port_distribution", "label_distribution",
+        "category_distribution", "attack_type_counts", "dos_profile", "probe_profile",
+        "cluster_profile", "anomaly_report", "top_sources", "top_destinations", "top_pairs",
+        "segment_distribution", "high_frequency", "summary",
+    )
+}

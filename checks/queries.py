@@ -321,6 +321,39 @@ def chart_series(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Reports of the full set, by the section that holds them.
+REPORTS = {
+    "basic": ("overview", "numeric_profile", "missing_counts", "data_stats", "categorical_top"),
+    "temporal": ("trend_points",),
+    "protocol": (
+        "protocol_distribution", "protocol_attack_relation", "service_distribution",
+        "port_distribution",
+    ),
+    "attack": (
+        "label_distribution", "category_distribution", "attack_type_counts", "dos_profile",
+        "probe_profile",
+    ),
+    "anomaly": ("cluster_profile", "anomaly_report"),
+    "hosts": ("top_sources", "top_destinations", "top_pairs"),
+    "traffic": ("segment_distribution", "high_frequency"),
+    "summary": ("summary",),
+}
+
+
+def report_of(section: str, name: str) -> Query:
+    """One report read from the full report set of its section."""
+
+    def build(spark: SparkSession, sf: str) -> DataFrame:
+        df = flows(spark, sf)
+        df = flows_by_class(df) if section == "anomaly" else df
+        found = report.analyze(df, FLOW, [section], FLOW_ORDER, rel_error=0)[name]
+        if name == "numeric_profile":
+            found = found.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 4)})
+        return as_long(found)
+
+    return build
+
+
 def _findings(spark: SparkSession, sf: str) -> DataFrame:
     """Findings over events, whose time stamps have hours; the type plays the label."""
     roles = Roles(label="attack_type", proto="category", ts="ts")
@@ -549,6 +582,7 @@ QUERIES: dict[str, Query] = {
     "alert_json": alert_json,
     "score_stream": score_stream,
     # summary
+    **{f"report_{name}": report_of(s, name) for s, names in REPORTS.items() for name in names},
     "key_findings": _findings,
     "summary": _flow_query(lambda df: report.summary(df, FLOW)),
     "kpis": _flow_query(kpis),

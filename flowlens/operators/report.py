@@ -16,6 +16,7 @@ from flowlens.operators.clean import REL_ERROR
 from flowlens.operators.distribution import ROWS, TOP_HOSTS, TOP_PORTS, TOP_VALUES
 from flowlens.operators.sequence import trend_points
 from flowlens.plans.measures import measure_together
+from flowlens.plans.staging import stage
 from flowlens.roles import Roles
 
 FINDINGS = {"label": "top_label", "hour": "peak_hour", "proto": "main_protocol"}
@@ -153,10 +154,14 @@ def analyze(
     Reports are not computed from the rows one by one. One aggregation serves
     all scalar reports, one set of cell counts all distributions, one set of
     host pairs all host rankings, and one count of values all top-value
-    lists. Only these aggregates are cached, never the rows. The frequency
-    quantile, the clustering and the trend read the rows on their own.
-    ``balanced`` analyses the oversampled table instead.
+    lists. Only these aggregates are cached or, for host pairs, written, never
+    the rows. The frequency quantile, the clustering and the trend (by
+    ``order``, or else by duration) read the rows on their own. The reports
+    are lazy, but host pairs, quantiles and clusters are computed before this
+    returns. ``balanced`` analyses the oversampled table instead.
     """
+    if order is None and roles.has("duration"):
+        order = [roles.duration]
     unknown = set(sections) - set(SECTIONS)
     if unknown:
         raise ValueError(f"unknown sections: {sorted(unknown)}")
@@ -237,7 +242,8 @@ def analyze(
 
     hosts = None
     if roles.has("src", "dst") and measured and wanted & {"hosts", "summary"}:
-        pairs = hold(behavior.host_pairs(df, roles))
+        # As many rows as there are host pairs: written, not cached.
+        pairs = stage(behavior.host_pairs(df, roles), "pairs")
         hosts = behavior.top_sources(pairs, roles, paired=True)
         if "hosts" in wanted:
             reports["top_sources"] = hosts
