@@ -47,7 +47,7 @@ ROUNDS = 2
 #: Streamed rows of a region, and held rows, in one block.
 STREAMED, HELD = 20_000, 400
 #: Most documents in a broadcast list of what to compare.
-BROADCAST_DOCS = 1_000_000
+BROADCAST_DOCS = 200_000
 CLASS_RATIO = 1.5
 SPARE_GROUPS = 1.25
 BLOCK_CHARS = 1_000_000
