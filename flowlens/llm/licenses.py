@@ -249,9 +249,13 @@ def sample_lines(docs: DataFrame, most: int = SAMPLE_LINES) -> list[str]:
     """Ordinary lines: one line each, by a hash, of at most ``most`` documents; none that names a licence."""
     lines = F.filter(F.split("text", "\n"), lambda x: (F.length(x) > 0) & ~F.lower(x).rlike("licen[sc]e|copyright|spdx|permission"))
     order = F.xxhash64("doc_id")
-    drawn = docs.where("text IS NOT NULL").select("doc_id", "text").orderBy(order, "doc_id").limit(most)
-    picked = drawn.select(F.get(lines, F.pmod(order, F.greatest(F.size(lines), F.lit(1))).cast("int")).alias("line"))
-    return sorted(r["line"] for r in picked.where("line IS NOT NULL").collect())
+    texts = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text")
+    # Only ids are ordered; at most ``most`` of them are broadcast.
+    drawn = texts.select("doc_id").orderBy(order, "doc_id").limit(most).distinct()
+    picked = texts.join(F.broadcast(drawn), "doc_id").select(
+        F.get(lines, F.pmod(order, F.greatest(F.size(lines), F.lit(1))).cast("int")).alias("line")
+    )
+    return sorted(r["line"] for r in picked.where("line IS NOT NULL").limit(most).collect())
 
 
 _FINDINGS = pa.list_(
