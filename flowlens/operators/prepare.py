@@ -9,6 +9,7 @@ from flowlens.operators.clean import REL_ERROR, drop_unlabelled, impute_mean, re
 from flowlens.operators.derive import features
 from flowlens.operators.encode import index_categories, index_labels, one_hot
 from flowlens.operators.enrich import categorize
+from flowlens.plans.staging import stage
 from flowlens.roles import Roles
 
 # Categorical columns that are encoded where present.
@@ -21,7 +22,10 @@ def prepare_flows(df: DataFrame, rel_error: float = REL_ERROR, balance: bool = F
     ``balance`` also oversamples the small classes, for model training.
     """
     roles = Roles.resolve(df)
-    clean = remove_outliers(impute_mean(drop_unlabelled(df, roles), roles=roles), roles, rel_error)
+    # Written copies, so that the quantile and encoding passes do not go back to the CSV.
+    labelled = stage(drop_unlabelled(df, roles), "labelled")
+    clean = remove_outliers(impute_mean(labelled, roles=roles), roles, rel_error)
+    clean = stage(clean, "clean")
     derived = features(clean, roles)
     encoded = [c for c in ENCODED if c in derived.columns]
     if encoded:
