@@ -6,9 +6,11 @@ with the one before it, the template rewrites history, and the conversation is m
 inside a span is found by rendering the turn again with two probe texts: what all renderings share
 at either end belongs to the template.
 
-Turns of a conversation are sorted inside one partition and streamed, never gathered; a conversation
-of more than ``BLOCK_TURNS`` turns is rendered block by block, and marked as rewriting if two
-neighbouring blocks do not render as their concatenation.
+Turns of a conversation are sorted inside one partition. What a ``TurnByTurn`` template gives is by
+construction the concatenation of its turns, so its conversations are streamed in blocks of
+``BLOCK_TURNS`` turns. No finite number of renderings proves that of any other template: it is given
+every prefix of the whole conversation, which is held in memory and costs the square of its turns. The
+result comes in the same blocks, cut from the one text.
 
 Defined cases: null text and role are empty; turns with the same number are ordered by role and
 text; rows without conversation id form one conversation; other columns are ignored.
@@ -49,9 +51,22 @@ def unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], role, flags=re.S)
 
 
-def marked_turns(messages: list[Message]) -> str:
-    """The standard template."""
-    return "".join(f"{OPEN}{escape_role(role)}\n{escape(text)}{CLOSE}\n" for role, text in messages)
+class TurnByTurn:
+    """A template that joins the texts of single turns. ``turn`` depends on nothing but role and text."""
+
+    def __init__(self, turn: Callable[[str, str], str]):
+        self.turn = turn
+
+    def __call__(self, messages: list[Message]) -> str:
+        return "".join(self.turn(role, text) for role, text in messages)
+
+
+def _marked_turn(role: str, text: str) -> str:
+    return f"{OPEN}{escape_role(role)}\n{escape(text)}{CLOSE}\n"
+
+
+#: The standard template.
+marked_turns = TurnByTurn(_marked_turn)
 
 
 def read_turns(formatted: str) -> list[Message]:
@@ -88,13 +103,15 @@ _BLOCK = pa.schema(
 )
 
 
-def _sorted_turns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, int, list[Message]]]:
-    """Conversation, block number and messages, in order."""
+def _sorted_turns(
+    batches: Iterator[pa.RecordBatch], most: int | None
+) -> Iterator[tuple[int | None, int, list[Message]]]:
+    """Conversation, block number and messages, in order; blocks have at most ``most`` turns."""
     current, block, messages = None, -1, []
     for batch in batches:
         for conv, role, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
             new = block < 0 or conv != current
-            if messages and (new or len(messages) == BLOCK_TURNS):
+            if messages and (new or len(messages) == most):
                 yield current, block, messages
                 messages = []
                 block += 1
@@ -105,25 +122,35 @@ def _sorted_turns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | Non
         yield current, block, messages
 
 
+def _cut(text: str, spans: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, str, list[list[int]]]]:
+    """Number, text and spans of each block of a rendered conversation. Spans lie end to end."""
+    for n, at in enumerate(range(0, len(spans), BLOCK_TURNS)):
+        low = spans[at][0] if at else 0
+        high = spans[at + BLOCK_TURNS][0] if at + BLOCK_TURNS < len(spans) else len(text)
+        yield n, text[low:high], [[x - low for x in span] for span in spans[at : at + BLOCK_TURNS]]
+
+
 def format_conversations(rows: DataFrame, render: Template = marked_turns) -> DataFrame:
     """Blocks of formatted turns in order: text, role and spans of each turn, ``rewrites``.
 
+    The blocks of a conversation joined are its rendering; ``rewrites`` tells of the whole conversation.
     The rows of a conversation stay together and in order within their partition.
     """
     placed = rows.select("conv_id", "turn", "role", "text").repartition("conv_id")
     placed = placed.sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    most = BLOCK_TURNS if isinstance(render, TurnByTurn) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, before = [], None
-        for conv, block, messages in _sorted_turns(batches):
+        found = []
+        for conv, block, messages in _sorted_turns(batches, most):
             formatted, spans, rewrites = locate_turns(render, messages)
-            if block:
-                rewrites |= render(before + messages) != render(before) + formatted
-            found.append((conv, block, formatted, [m[0] for m in messages], [list(s) for s in spans], rewrites))
-            before = messages
-            if len(found) == 500:
-                yield pa.RecordBatch.from_pylist([dict(zip(_BLOCK.names, f)) for f in found], _BLOCK)
-                found = []
+            roles = [m[0] for m in messages]
+            for n, text, part in _cut(formatted, spans):
+                at = n * BLOCK_TURNS
+                found.append((conv, block + n, text, roles[at : at + BLOCK_TURNS], part, rewrites))
+                if len(found) == 500:
+                    yield pa.RecordBatch.from_pylist([dict(zip(_BLOCK.names, f)) for f in found], _BLOCK)
+                    found = []
         if found:
             yield pa.RecordBatch.from_pylist([dict(zip(_BLOCK.names, f)) for f in found], _BLOCK)
 

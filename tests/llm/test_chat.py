@@ -81,3 +81,27 @@ def test_long_conversations_of_templates_with_a_preamble_are_marked(spark):
     rows = [(1, n, "user", f"t{n}", "x") for n in range(40)] + [(2, 0, "user", "t", "x")]
     blocks = chat.format_conversations(spark.createDataFrame(rows, SCHEMA), with_preamble).collect()
     assert {(r.conv_id, r.block): r.rewrites for r in blocks} == {(1, 0): False, (1, 1): True, (2, 0): False}
+
+
+def test_long_conversations_are_rendered_whole(spark):
+    def with_preamble(messages):
+        return "BEGIN " + chat.marked_turns(messages)
+
+    def numbered(messages):
+        return "".join(f"[{n} {r}: {t}]" for n, (r, t) in enumerate(messages))
+
+    def forgets_the_first_turn(messages):
+        return "".join(f"<{r}>{'' if n == 0 and len(messages) > 66 else t}\n" for n, (r, t) in enumerate(messages))
+
+    turns = [("user", f"t{n}") for n in range(70)]
+    rows = spark.createDataFrame([(1, n, r, t, "x") for n, (r, t) in enumerate(turns)] + [(2, 0, "user", "t", "x")], SCHEMA)
+    for render, rewrites in ((chat.marked_turns, False), (with_preamble, False), (numbered, False), (forgets_the_first_turn, True)):
+        blocks = sorted(b for b in chat.format_conversations(rows, render).collect() if b.conv_id == 1)
+        assert [len(b.roles) for b in blocks] == [32, 32, 6]
+        assert "".join(b.formatted for b in blocks) == render(turns)
+        assert {b.rewrites for b in blocks} == {rewrites}
+        if not rewrites:
+            assert [b.formatted[s[1] : s[2]] for b in blocks for s in b.spans] == [t for _, t in turns]
+        digest = {d.conv_id: d for d in chat.read_back(chat.format_conversations(rows, render)).collect()}
+        assert digest[1].formatted_chars == len(render(turns)) and digest[1].rewrites == rewrites
+        assert not digest[2].rewrites
