@@ -13,8 +13,10 @@ from flowlens.plans.staging import stage
 from flowlens.roles import Roles
 
 CLUSTERS, SEED = 2, 42
-# Layout of the training rows, ending of the fit.
-PARTITIONS, TOLERANCE, ROUNDS = 64, 1e-9, 100
+# Layout of the training rows (least number of tasks, most rows of one), ending of the fit.
+PARTITIONS, ROWS_PER_PARTITION, TOLERANCE, ROUNDS = 64, 1_000_000, 1e-9, 100
+# More copies of one row than this are made by several tasks.
+COPIES_PER_TASK = 100_000
 MIN_FEATURES = 3
 PREDICTION = "prediction"
 
@@ -47,17 +49,36 @@ def cluster_pipeline(
     return Pipeline(stages=[*stages, means])
 
 
+def _numbered(counted: DataFrame, partitions: int, top: int, per_task: int = COPIES_PER_TASK) -> DataFrame:
+    """Each row ``_copies`` times (``top`` at most), numbered by ``_copy`` from 1.
+
+    No row makes more than ``per_task`` copies in one place: frequent rows are first cut into pieces of so
+    many copies, which are dealt out.
+    """
+    start, end = F.lit(1).cast("bigint"), F.col("_copies")
+    if top > per_task:
+        columns, last = [c for c in counted.columns if c != "_copies"], F.ceil(end / per_task) - 1
+        cut = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        counted = cut.repartition(partitions, *columns, "_piece")
+        start = F.col("_piece") * per_task + 1
+        end = F.least(end, start + per_task - 1)
+    return counted.withColumn("_copy", F.explode(F.sequence(start, end)))
+
+
 def _training_rows(df: DataFrame, partitions: int) -> DataFrame:
     """A written copy of the feature columns, dealt out and sorted by value.
 
     Training passes over the rows many times, and starts from rows it picks by
     place. The copy keeps it from repeating the joins behind ``df``, and gives
     each row the same place whatever files and cores there are. Equal rows are
-    counted and numbered, so that a frequent one is spread over all tasks.
+    counted and numbered, so that a frequent one is spread over all tasks, of
+    which there are ``partitions`` at least.
     """
     columns, copy = df.columns, "_copy"
-    counted = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    numbered = counted.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
+    counted = stage(df.groupBy(*columns).agg(F.count("*").alias("_copies")), "feature-counts")
+    total, top = counted.agg(F.coalesce(F.sum("_copies"), F.lit(0)), F.coalesce(F.max("_copies"), F.lit(0))).first()
+    partitions = max(partitions, -(-total // ROWS_PER_PARTITION))
+    numbered = _numbered(counted, partitions, top)
     placed = numbered.repartition(partitions, *columns, copy).sortWithinPartitions(*columns, copy)
     return stage(placed.select(*columns), "features")
 

@@ -45,3 +45,20 @@ def test_one_cluster_in_use_means_no_anomaly(flow, roles):
 def test_tie_goes_to_the_lower_cluster(flow, roles):
     halves = flow.filter("i < 60").selectExpr("*", "i % 2 AS prediction")
     assert {r.prediction for r in anomaly.anomalies(halves, roles).collect()} == {0}
+
+
+def test_copies_of_one_row_are_made_in_pieces(spark):
+    # More than an array can hold; only the first copies are made here.
+    flood = spark.createDataFrame([(1, 2, 3_000_000_000)], "a int, b int, _copies long")
+    assert anomaly._numbered(flood, 4, 3_000_000_000).limit(3).count() == 3
+    few = spark.createDataFrame([(1, None, 25), (2, 2, 1), (3, 2, 10)], "a int, b int, _copies long")
+    made = anomaly._numbered(few, 4, 25, per_task=10).collect()
+    assert sorted((r.a, r._copy) for r in made) == [(a, n) for a, most in ((1, 25), (2, 1), (3, 10)) for n in range(1, most + 1)]
+
+
+def test_training_tasks_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(anomaly, "ROWS_PER_PARTITION", 50)
+    df = spark.range(1000).selectExpr("IF(id < 400, 0, id) AS a", "IF(id < 400, NULL, id) AS b")
+    rows = anomaly._training_rows(df, 2)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, df.collect()))
+    assert len(rows.inputFiles()) == 20
