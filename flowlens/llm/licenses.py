@@ -1,15 +1,19 @@
 """Licence scans with a trained paragraph classifier.
 
-Lines of a document (windows of ``WINDOW_WORDS`` words of longer ones) are classified by sparse word
-1- and 2-gram multinomial logistic regression into licence families and *unknown*. It is trained on
-notice templates, cut and altered by rule, against a bounded sample of ordinary lines of the corpus
-and of texts about licences that grant none. Probabilities are calibrated by a temperature fitted on
-held-back examples; a line that is not surely of one family stays unknown. A finding counts when the
-word sequence of the best template of its family confirms it.
+Paragraphs of a document are runs of lines with words; the words of their lines are joined, so a
+wrapped notice is read as one. Three kinds of pieces are classified by sparse word 1- and 2-gram
+multinomial logistic regression into licence families and *unknown*: single lines, windows of
+``WINDOW_WORDS`` words of longer lines and of whole paragraphs, and the stretches in which the word
+pairs of a template follow each other. The model is trained on notice templates, cut and altered by
+rule, against a bounded sample of ordinary lines of the corpus and of texts about licences that grant
+none. Probabilities are calibrated by a temperature fitted on held-back examples; a piece that is not
+surely of one family stays unknown. A finding counts when the word sequence of the best template of
+its family confirms it. Of overlapping findings the one with most words of a template stays: a
+finding is a notice, with its first and last line.
 
 Training runs on the driver over at most ``SAMPLE_LINES`` lines. Scanning reads whole texts and
-needs no shuffle: word n-grams that no template has do not change a score, so a line costs one
-look-up per word.
+needs no shuffle: word n-grams that no template has do not change a score, so a paragraph costs one
+look-up per word. Hyphens part a word that no template has (``MIT-License``).
 
 Defined cases: null and empty texts have one empty line and no finding; repeated rows are scanned
 one by one; an empty table trains on the templates alone; other columns are never read.
@@ -17,7 +21,10 @@ one by one; an empty table trains on the templates alone; other columns are neve
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -33,6 +40,10 @@ SAMPLE_LINES = 2000
 WINDOW_WORDS, WINDOW_STEP = 48, 24
 #: A finding needs this calibrated probability and this share of its words in template order.
 SURE, OVERLAP = 0.7, 0.6
+#: Words between neighbouring word pairs of a template in one stretch: little and much altered notices.
+GAPS = (2, 8)
+#: Pairs of a long template that are as good as all of a short one.
+STRETCH_PAIRS = 12
 BLOCK_CHARS = 2_000_000
 UNKNOWN = "unknown"
 #: Usual notices of public licences.
@@ -120,7 +131,14 @@ def windows(line: str) -> list[list[str]]:
     found = words(line)
     if len(found) <= WINDOW_WORDS:
         return [found]
-    return [found[at : at + WINDOW_WORDS] for at in range(0, len(found) - WINDOW_STEP, WINDOW_STEP)]
+    return [found[low:high] for low, high in spans(0, len(found))]
+
+
+def spans(low: int, high: int) -> list[tuple[int, int]]:
+    """The places of the windows of the words from ``low`` to ``high``."""
+    if high - low <= WINDOW_WORDS:
+        return [(low, high)]
+    return [(at, min(high, at + WINDOW_WORDS)) for at in range(low, high - WINDOW_STEP, WINDOW_STEP)]
 
 
 def grams(found: list[str]) -> list[str]:
@@ -213,36 +231,131 @@ def train(ordinary: list[str], rounds: int = 300, decay: float = 3e-4) -> Model:
     return Model(families, number, w, b, temperature, orders)
 
 
-def scan_texts(texts: list[str], model: Model) -> list[list[tuple[int, str, float, float]]]:
-    """(line, family, probability, overlap) findings of each text."""
-    found: list[list[tuple[int, str, float, float]]] = [[] for _ in texts]
-    get = model.number.get
-    places, pieces = [], []
+def paragraphs(text: str, known: dict[str, int]) -> Iterator[tuple[list[str], list[int]]]:
+    """Words of each run of lines that have words, and the line of each word."""
+    found, lines = [], []
+    for line, content in enumerate(text.split("\n")):
+        here = words(content)
+        if "-" in content and any("-" in w and w not in known for w in here):
+            here = [part for w in here for part in ([w] if w in known else w.split("-"))]
+        if here:
+            found += here
+            lines += [line] * len(here)
+        elif found:
+            yield found, lines
+            found, lines = [], []
+    if found:
+        yield found, lines
+
+
+def _least(own: set[tuple[str, str]]) -> int:
+    """Fewest word pairs of a template that can confirm a finding."""
+    return math.ceil(OVERLAP * min(4, len(own)))
+
+
+class Finder:
+    """Pieces of a paragraph that may be confirmed, by the word pairs of the templates."""
+
+    def __init__(self, model: Model):
+        self.own = [own for orders in model.orders.values() for _, own in orders]
+        self.templates: dict[tuple[str, str], list[int]] = {}
+        for number, own in enumerate(self.own):
+            for pair in own:
+                self.templates.setdefault(pair, []).append(number)
+        self.least = list(map(_least, self.own))
+        # Word pairs of templates that fewer than three pairs confirm.
+        self.short = {pair for own, n in zip(self.own, self.least) if n < 3 for pair in own}
+
+    def stretches(self, found: list[str], at: list[int], number: int) -> Iterator[tuple[int, int]]:
+        """Where most of a template stands, or of a long one most of ``STRETCH_PAIRS`` pairs.
+
+        Once through repeated notices, once from one to the next.
+        """
+        own = self.own[number]
+        least = math.ceil(OVERLAP * min(STRETCH_PAIRS, len(own)))
+        for gap, restart in ((gap, restart) for gap in GAPS for restart in (False, True)):
+            start, seen, last = at[0], set(), at[0]
+            for i in [*at, None]:
+                pair = None if i is None else (found[i], found[i + 1])
+                again = restart and i != start and pair == (found[start], found[start + 1])
+                if i is None or i - last > gap + 1 or again:
+                    share = len(seen) / max(min(len(own), last + 1 - start), min(4, len(own)), 1)
+                    if len(seen) >= least and share >= OVERLAP:
+                        yield start, last + 2
+                    start, seen = i, set()
+                seen.add(pair)
+                last = i
+
+    def pieces(self, found: list[str], lines: list[int]) -> set[tuple[int, int]]:
+        hits = [i for i, pair in enumerate(zip(found, found[1:])) if pair in self.templates]
+        short = [i for i in hits if (found[i], found[i + 1]) in self.short]
+        if len(hits) < 3 and not short:
+            return set()
+
+        def enough(low: int, high: int) -> bool:
+            """Whether three pairs, or one of a short template, lie in the piece."""
+            inside = bisect_left(hits, high - 1) - bisect_left(hits, low)
+            return inside >= 3 or bisect_left(short, high - 1) > bisect_left(short, low)
+
+        ends = [i for i in range(1, len(lines)) if lines[i] != lines[i - 1]]
+        ranges = [*zip([0, *ends], [*ends, len(lines)]), (0, len(lines))]
+        taken = {span for low, high in ranges if enough(low, high) for span in spans(low, high) if enough(*span)}
+        places: dict[int, list[int]] = {}
+        for i in hits:
+            for number in self.templates[found[i], found[i + 1]]:
+                places.setdefault(number, []).append(i)
+        for number, at in places.items():
+            if len(at) >= self.least[number]:
+                taken.update(self.stretches(found, at, number))
+        return taken
+
+
+def _notices(found: list[tuple[int, int, int, str, float, float]]) -> list[tuple[int, int, int, str, float, float]]:
+    """Of overlapping findings (pairs, start, end, family, ...) the one with most pairs, then the shortest.
+
+    Findings of two families overlap if one lies by half in the other.
+    """
+    kept: list[tuple[int, int, int, str, float, float]] = []
+    for f in sorted(set(found), key=lambda f: (-f[0], f[2] - f[1], f[1], f[3])):
+        shared = [(min(f[2], k[2]) - max(f[1], k[1]), k[3]) for k in kept]
+        if not any(n > 0 and (family == f[3] or 2 * n >= f[2] - f[1]) for n, family in shared):
+            kept.append(f)
+    return kept
+
+
+def scan_texts(texts: list[str], model: Model) -> list[list[tuple[int, str, float, float, int]]]:
+    """(first line, family, probability, overlap, last line) of the notices of each text."""
+    result: list[list[tuple[int, str, float, float, int]]] = [[] for _ in texts]
+    finder, get = Finder(model), model.number.get
+    family_pairs = {f: set().union(*(own for _, own in orders)) for f, orders in model.orders.items()}
+    repeats = {f: [Counter(zip(t, t[1:])) for t, _ in orders] for f, orders in model.orders.items()}
     for row, text in enumerate(texts):
-        lowered = text.lower()
-        for line, content in enumerate(lowered.split("\n")):
-            # Two neighbouring template words are the least that a confirmed finding has.
-            for piece in windows(content):
-                if any(f"{a} {b}" in model.number for a, b in zip(piece, piece[1:])):
-                    places.append((row, line))
-                    pieces.append(piece)
-    for at in range(0, len(pieces), 4096):
-        part = pieces[at : at + 4096]
-        scores = np.tile(model.bias.astype(np.float64), (len(part), 1))
-        for i, piece in enumerate(part):
-            known = {n for g in grams(piece) if (n := get(g)) is not None}
-            scores[i] += model.weights[list(known)].sum(axis=0) / np.sqrt(max(1, len(piece)))
-        for i, p in enumerate(model.probabilities(scores)):
-            best = int(p.argmax())
-            family = model.families[best]
-            if family == UNKNOWN or p[best] < SURE:
-                continue
-            share = model.overlap(family, part[i])
-            if share >= OVERLAP:
-                row, line = places[at + i]
-                if not found[row] or found[row][-1][:2] != (line, family):
-                    found[row].append((line, family, float(p[best]), share))
-    return found
+        for found, lines in paragraphs(text.lower(), model.number):
+            places = sorted(finder.pieces(found, lines))
+            confirmed = []
+            for at in range(0, len(places), 4096):
+                part = [found[low:high] for low, high in places[at : at + 4096]]
+                scores = np.tile(model.bias.astype(np.float64), (len(part), 1))
+                for i, piece in enumerate(part):
+                    known = {n for g in grams(piece) if (n := get(g)) is not None}
+                    scores[i] += model.weights[list(known)].sum(axis=0) / np.sqrt(max(1, len(piece)))
+                for i, p in enumerate(model.probabilities(scores)):
+                    best = int(p.argmax())
+                    family = model.families[best]
+                    if family == UNKNOWN or p[best] < SURE:
+                        continue
+                    share = model.overlap(family, part[i])
+                    if share >= OVERLAP:
+                        pairs = list(zip(part[i], part[i][1:]))
+                        inside = [j for j, pair in enumerate(pairs) if pair in family_pairs[family]]
+                        start = places[at + i][0]
+                        here = Counter(pairs)
+                        most = max((here & own).total() for own in repeats[family])
+                        confirmed.append((most, start + inside[0], start + inside[-1] + 2, family, float(p[best]), share))
+            for _, start, end, family, p, share in _notices(confirmed):
+                result[row].append((lines[start], family, p, share, lines[end - 1]))
+        result[row].sort()
+    return result
 
 
 def sample_lines(docs: DataFrame, most: int = SAMPLE_LINES) -> list[str]:
@@ -259,18 +372,18 @@ def sample_lines(docs: DataFrame, most: int = SAMPLE_LINES) -> list[str]:
 
 
 _FINDINGS = pa.list_(
-    pa.struct([("line", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("overlap", pa.float64())])
+    pa.struct([("line", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("overlap", pa.float64()), ("last_line", pa.int64())])
 )
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``n_lines`` and ``findings`` (line, family, probability, overlap) of every document."""
+    """``doc_id``, ``n_lines`` and ``findings`` (line, family, probability, overlap, last_line) of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in text_blocks(batches, BLOCK_CHARS):
             found = [
-                [{"line": line, "family": f, "probability": p, "overlap": o} for line, f, p, o in rows]
+                [{"line": line, "family": f, "probability": p, "overlap": o, "last_line": last} for line, f, p, o, last in rows]
                 for rows in scan_texts(texts, shared.value)
             ]
             yield pa.RecordBatch.from_arrays(
@@ -284,7 +397,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
 
     schema = (
         "doc_id long, n_lines long, "
-        "findings array<struct<line:long,family:string,probability:double,overlap:double>>"
+        "findings array<struct<line:long,family:string,probability:double,overlap:double,last_line:long>>"
     )
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

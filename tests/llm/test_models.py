@@ -177,3 +177,26 @@ def test_licences_of_odd_rows(docs_of, odd):
     assert [(r.doc_id, [(f.line, f.family) for f in r.findings]) for r in got if r.findings] == [(50, [(1, "mit")])]
     assert {r.n_lines for r in got if r.doc_id in (1, 2)} == {1}
     assert licenses.learn_and_scan(docs_of([])).count() == 0
+
+
+def test_wrapped_notices_are_one_finding(scanner):
+    import textwrap
+
+    for family, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            for width in (20, 40, 72):
+                wrapped = "\n".join(" * " + x for x in textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False))
+                rows = licenses.scan_texts([f"some words before it\n\n{wrapped}\n\nand words behind"], scanner)[0]
+                assert [(f[0], f[1], f[4]) for f in rows] == [(2, family, 2 + wrapped.count("\n"))], (text, width, rows)
+    assert [f[:2] for f in licenses.scan_texts(["Released under the\nMIT License."], scanner)[0]] == [(0, "mit")]
+    assert licenses.scan_texts(["Released under the\n\nMIT License."], scanner) == [[]]
+
+
+def test_hyphens_and_repeated_notices(scanner):
+    notice = "our tool is Released  under the MIT-License, enjoy"
+    assert [f[1] for f in licenses.scan_texts([notice], scanner)[0]] == ["mit"]
+    twice = "Released under\nthe MIT License.\nReleased under\nthe MIT License."
+    assert [(f[0], f[1], f[4]) for f in licenses.scan_texts([twice], scanner)[0]] == [(0, "mit", 1), (2, "mit", 3)]
+    prose = "one of the long lines of plain words\n" * 30
+    amid = prose + "Released under the\nMIT License.\n" + prose
+    assert [(f[0], f[1], f[4]) for f in licenses.scan_texts([amid], scanner)[0]] == [(30, "mit", 31)]
