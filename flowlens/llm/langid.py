@@ -5,10 +5,12 @@ neighbouring words are learned. Forward-backward gives each word's distribution
 code-switched text is labelled word by word; a document's language has the largest expected share of
 words.
 
-The model is fitted on the driver from at most ``DOCS_PER_LANGUAGE`` documents of each of at most
-``LANGUAGES`` languages, drawn by a hash of the id; from each document at most ``SEGMENTS`` word
-segments, spread over the whole text, are used. Scoring reads whole texts, needs no shuffle, and
-runs the recursions over all words of a block of documents at once.
+The model is fitted on the driver from about ``DOCS_PER_LANGUAGE`` documents of every language that
+occurs, drawn by a hash of the id; from each document at most ``SEGMENTS`` word segments, spread over
+the whole text, are used, in parts of at most ``TRAINING_CELLS`` words times languages. The weights
+take memory in proportion to the number of languages, and a round takes its square per word. Scoring
+reads whole texts, needs no shuffle, and runs the recursions over all words of a block of documents at
+once, or over all its documents side by side if there are more than ``FEW_LANGUAGES``.
 
 Defined cases: a null text or one without letters is ``und`` with score 0; without any labelled row
 every text is ``und``; repeated rows are scored one by one; other columns are never read.
@@ -16,7 +18,6 @@ every text is ``und``; repeated rows are scored one by one; other columns are ne
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +33,8 @@ from flowlens.llm.chunks import text_blocks
 from flowlens.llm.text import fold
 
 DOCS_PER_LANGUAGE = 150
-LANGUAGES = 64
+FEW_LANGUAGES = 16
+TRAINING_CELLS = 2_000_000
 SEGMENTS = 8
 SEGMENT_WORDS = 16
 LEXICON = 400
@@ -72,6 +74,8 @@ def _chain(potentials: np.ndarray, opens: np.ndarray, step: np.ndarray, prior: n
     carries the state from row to row; all rows then advance together.
     """
     n, k = potentials.shape
+    if k > FEW_LANGUAGES:
+        return _chains_apart(potentials, opens, step, prior)
     rows = -(-n // width)
     pad = rows * width - n
     p = np.concatenate([potentials, np.ones((pad, k))]).reshape(rows, width, k)
@@ -99,6 +103,20 @@ def _chain(potentials: np.ndarray, opens: np.ndarray, step: np.ndarray, prior: n
     return out.reshape(-1, k)[:n]
 
 
+def _chains_apart(potentials: np.ndarray, opens: np.ndarray, step: np.ndarray, prior: np.ndarray):
+    """The same vectors, by advancing all chains together: no matrix products of many languages."""
+    begins = np.flatnonzero(opens)
+    lengths = np.diff(np.concatenate([begins, [len(opens)]]))
+    order = np.argsort(-lengths, kind="stable")
+    begins, lengths = begins[order], lengths[order]
+    out, state = np.empty_like(potentials), None
+    for t in range(lengths[0]):
+        at = begins[: np.searchsorted(-lengths, -t)] + t
+        moved = (prior if state is None else state[: len(at)] @ step) * potentials[at]
+        out[at] = state = moved / moved.sum(axis=1, keepdims=True)
+    return out
+
+
 def marginals(scores: np.ndarray, opens: np.ndarray, transitions: np.ndarray, prior: np.ndarray) -> np.ndarray:
     """Posterior of each word's label. ``scores`` are log potentials; chains lie end to end."""
     potentials = np.exp(scores - scores.max(axis=1, keepdims=True))
@@ -137,6 +155,19 @@ def _segments(rows: list[tuple[str, str]], labels: dict[str, int]) -> list[tuple
     return found
 
 
+def _parts(token: np.ndarray, opens: np.ndarray, vocabulary: list[str], lexicon: dict, most: int) -> list[tuple]:
+    """Whole chains of about ``most`` words: bounds, numbers of their words, and the features of these."""
+    begins = np.flatnonzero(opens)
+    cuts = [*begins[np.unique(begins // most, return_index=True)[1]], len(token)]
+    found = []
+    for low, high in zip(cuts, cuts[1:]):
+        used, local = np.unique(token[low:high], return_inverse=True)
+        flat, starts = _csr([vocabulary[i] for i in used], lexicon)
+        sizes = np.diff(np.concatenate([starts, [len(flat)]]))
+        found.append((low, high, local, flat.astype(np.int32), starts, np.repeat(np.arange(len(used), dtype=np.int32), sizes)))
+    return found
+
+
 def train(rows: list[tuple[str, str]], rounds: int = 40, rate: float = 0.15, decay: float = 1e-3) -> Model | None:
     """Fit the field on (language, text) rows by gradient ascent of the conditional likelihood.
 
@@ -165,35 +196,39 @@ def train(rows: list[tuple[str, str]], rounds: int = 40, rate: float = 0.15, dec
     ends = np.cumsum([len(piece) for _, piece in segments])
     opens = np.zeros(len(token), bool)
     opens[np.concatenate([[0], ends[1:-1:2]])] = True
-    flat, starts = _csr(vocabulary, lexicon)
-    sizes = np.diff(np.concatenate([starts, [len(flat)]]))
-    owner = np.repeat(np.arange(len(vocabulary)), sizes)
+    parts = _parts(token, opens, vocabulary, lexicon, max(1, TRAINING_CELLS // k))
     params = {"w": np.zeros((BUCKETS + k, k)), "t": np.zeros((k, k)), "p": np.zeros(k)}
     first = {n: np.zeros_like(v) for n, v in params.items()}
     second = {n: np.zeros_like(v) for n, v in params.items()}
-    truth = np.eye(k)[gold]
     linked = np.flatnonzero(~opens)
     true_moves = np.zeros((k, k))
     np.add.at(true_moves, (gold[linked - 1], gold[linked]), 1)
     for r in range(1, rounds + 1):
-        scores = np.add.reduceat(params["w"][flat], starts, axis=0)[token]
-        potentials = np.maximum(np.exp(scores - scores.max(axis=1, keepdims=True)), 1e-30)
         step, start = np.exp(params["t"]), np.exp(params["p"])
-        closes = np.concatenate([opens[1:], [True]])
-        forward = _chain(potentials, opens, step, start)
-        backward = _chain(potentials[::-1], closes[::-1], step.T, np.ones(k))[::-1]
-        joint = forward * backward / potentials
-        post = joint / joint.sum(axis=1, keepdims=True)
-        pairs = forward[linked - 1][:, :, None] * step * backward[linked][:, None, :]
-        moves = (pairs / pairs.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-        wrong = truth - post
-        by_word = np.stack([np.bincount(token, wrong[:, c], len(vocabulary)) for c in range(k)], axis=1)
-        by_feature = np.stack([np.bincount(flat, by_word[owner, c], BUCKETS + k) for c in range(k)], axis=1)
+        by_feature, moves, by_start = np.zeros((BUCKETS + k, k)), np.zeros((k, k)), np.zeros(k)
+        for low, high, local, flat, starts, owner in parts:
+            here = opens[low:high]
+            inner = np.flatnonzero(~here)
+            scores = np.add.reduceat(params["w"][flat], starts, axis=0)[local]
+            potentials = np.maximum(np.exp(scores - scores.max(axis=1, keepdims=True)), 1e-30)
+            closes = np.concatenate([here[1:], [True]])
+            forward = _chain(potentials, here, step, start)
+            backward = _chain(potentials[::-1], closes[::-1], step.T, np.ones(k))[::-1]
+            joint = forward * backward / potentials
+            post = joint / joint.sum(axis=1, keepdims=True)
+            left, right = forward[inner - 1], backward[inner]
+            moves += step * ((left / ((left @ step) * right).sum(axis=1, keepdims=True)).T @ right)
+            wrong = -post
+            wrong[np.arange(len(post)), gold[low:high]] += 1
+            by_start += wrong[here].sum(axis=0)
+            for c in range(k):
+                by_word = np.bincount(local, wrong[:, c], len(starts))
+                by_feature[:, c] += np.bincount(flat, by_word[owner], BUCKETS + k)
         scale = 1 / len(token)
         slope = {
             "w": by_feature * scale - decay * scale * params["w"],
             "t": (true_moves - moves) * scale - decay * params["t"],
-            "p": wrong[opens].sum(axis=0) * scale - decay * params["p"],
+            "p": by_start * scale - decay * params["p"],
         }
         for n, g in slope.items():
             first[n] = 0.9 * first[n] + 0.1 * g
@@ -238,14 +273,14 @@ class Tagger:
 def sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> list[tuple[str, str]]:
     """About ``per_language`` (language, text) rows of each language, by a hash of the id."""
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     space = 1 << 30
-    drawn = F.lit(False)
-    for row in counts:
-        limit = min(space, math.ceil(per_language / row["count"] * space))
-        drawn = drawn | ((F.col("lang") == row["lang"]) & (F.pmod(F.xxhash64("doc_id"), F.lit(space)) < limit))
-    most = 2 * per_language * max(1, len(counts))
-    return [tuple(r) for r in labelled.where(drawn).select("lang", "text").limit(most).collect()]
+    limit = F.least(F.lit(space), F.ceil(F.lit(per_language * space) / F.count("*"))).alias("_limit")
+    # One row of each language; nothing of the documents is shuffled.
+    limits = labelled.groupBy("lang").agg(limit)
+    near = F.pmod(F.xxhash64("doc_id"), F.lit(space)) < F.col("_limit")
+    drawn = labelled.select("doc_id", "lang", "text").join(F.broadcast(limits), "lang").where(near)
+    # A row that is repeated without end counts once.
+    return [tuple(r) for r in drawn.dropDuplicates(["doc_id", "lang", "text"]).select("lang", "text").collect()]
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -200,3 +200,28 @@ def test_hyphens_and_repeated_notices(scanner):
     prose = "one of the long lines of plain words\n" * 30
     amid = prose + "Released under the\nMIT License.\n" + prose
     assert [(f[0], f[1], f[4]) for f in licenses.scan_texts([amid], scanner)[0]] == [(30, "mit", 31)]
+
+
+def test_every_language_is_learned(spark):
+    from flowlens.llm import langid
+
+    rows = [(70 * d + n, " ".join(f"{chr(97 + n % 26)}{chr(97 + n // 26)}{w}q{w}" for w in ("ab", "cd", "ef")), f"l{n:02}") for n in range(70) for d in range(1 + (n < 66))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = langid.sample(docs)
+    assert sorted(drawn) == sorted((lang, text) for _, text, lang in rows)
+    model = langid.train(sorted(drawn), rounds=10)
+    assert [x for x, _ in langid.Tagger(model).label([t for _, t, _ in rows])] == [lang for _, _, lang in rows]
+
+
+def test_training_in_parts_and_many_languages_give_the_same(monkeypatch):
+    import numpy as np
+
+    from flowlens.llm import langid
+
+    rows = [(f"l{n}", " ".join(f"w{n}x{d}{i}" for i in range(40))) for n in range(3) for d in "abc"]
+    whole = langid.train(rows, rounds=5)
+    monkeypatch.setattr(langid, "TRAINING_CELLS", 150)
+    monkeypatch.setattr(langid, "FEW_LANGUAGES", 2)
+    parts = langid.train(rows, rounds=5)
+    assert np.allclose(whole.weights, parts.weights, atol=1e-5) and np.allclose(whole.transitions, parts.transitions)
+    assert np.allclose(whole.prior, parts.prior)
