@@ -108,10 +108,80 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+#: CRC-32 of the UTF-8 bytes of a column ``s``: its table from the polynomial, then byte by byte.
+_CRC_TABLE = """
+crc AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY n) AS t FROM range(256) r(n))"""
+
+
+def _crc(column: str) -> str:
+    octets = f"list_transform(range(octet_length(encode({column}))), lambda i: CAST('0x' || substr(hex(encode({column})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+OP11 = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (
+  SELECT doc_id, translate(run, '{_UP}', '{_LOW}') AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+h AS (SELECT run, times, {_crc("doc_id || ':' || run")} AS h FROM r, crc),
+o AS (
+  SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+  FROM h),
+w AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM o WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+c AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM c a JOIN c b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM c JOIN w ON c.cut = w.word
+  UNION SELECT w.word, c.word, c.n FROM c JOIN w ON c.cut = w.word),
+b AS (SELECT word, count(*) AS n_near, max(m) AS m FROM p GROUP BY word),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.m >= 10 * w.n THEN b.m END AS form_n,
+         CASE WHEN b.m >= 10 * w.n THEN (SELECT min(p.other) FROM p WHERE p.word = w.word AND p.m = b.m) END AS form
+  FROM w LEFT JOIN b USING (word)),
+z(word, root, steps) AS (
+  SELECT word, word, 0 FROM f UNION ALL SELECT z.word, f.form, steps + 1 FROM z JOIN f ON f.word = z.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, arg_max(z.root, z.steps) AS root, f.n, f.n_near, f.form_n
+FROM f JOIN z USING (word) GROUP BY ALL
+"""
+
+OP12 = rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_WORDS}') AS w FROM documents),
+dw AS (SELECT doc_id, unnest(w) AS word FROM d),
+bw AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_WORDS}')) AS word FROM benchmark),
+k AS (
+  SELECT word, {_crc("word")} % 10000 AS bucket
+  FROM (SELECT word FROM dw UNION SELECT word FROM bw), crc),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN k USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN k USING (word) GROUP BY bucket),
+g AS (
+  SELECT bucket,
+         CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST((SELECT count(*) FROM dw) + 10000 AS DOUBLE)
+              / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * CAST((SELECT count(*) FROM bw) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM s FULL JOIN t USING (bucket)),
+x AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM dw JOIN k USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+y AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+           (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN x USING (doc_id)),
+z AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+         count(*) OVER (PARTITION BY n_features >= 20) AS eligible FROM y)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * eligible // 100 THEN place END AS rank FROM z
+"""
+
 ORACLES = {
     "op1_decontamination": OP1,
     "op2_ngram_jaccard": OP2,
     "op4_line_dedup": OP4,
     "op9_chat_formatting": OP9,
     "op6_quality_rules": OP6,
+    "op11_spelling_variants": OP11,
+    "op12_importance_resampling": OP12,
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, decontam, jaccard, langid, licenses, lines, quality, tokens, toxicity
+from flowlens.llm import bpe, chat, decontam, jaccard, langid, licenses, lines, quality, resampling, simhash, spelling
+from flowlens.llm import tokens, toxicity
 from flowlens.llm.oracles import ORACLES  # noqa: F401
 from flowlens.llm.text import table
 
@@ -75,6 +76,18 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, near=3)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -86,4 +99,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_license_scans": op10_license_scans,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_simhash": op13_simhash,
 }

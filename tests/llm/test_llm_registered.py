@@ -38,5 +38,5 @@ def test_query_returns_every_document(spark, name):
 
 def test_all_operators_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registered.queries() if n.startswith("op") and n[2].isdigit())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in registered.queries() and set(ORACLES) <= set(registered.oracle_sql())

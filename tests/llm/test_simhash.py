@@ -1,0 +1,136 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from flowlens.llm import simhash
+
+
+def shingle_hashes(text, words):
+    found = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    if not found:
+        return []
+    n = max(1, len(found) - words + 1)
+    return [xxhash.xxh64_intdigest(b" ".join(found[i : i + words]), seed=42) for i in range(n)]
+
+
+def plain_fingerprint(text, words=3):
+    hashes = shingle_hashes(text, words)
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute(pairs, near=3):
+    prints = [plain_fingerprint(t) for _, t in pairs]
+    ids = [i if i is not None else -(2**63) for i, _ in pairs]
+    label = list(range(len(pairs)))
+    for a in range(len(pairs)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= near and label[a] != label[b]:
+                old, new = label[a], label[b]
+                label = [new if x == old else x for x in label]
+    least = {}
+    for i, x in zip(ids, label):
+        least[x] = min(least.get(x, i), i)
+    plain = lambda i: None if i == -(2**63) else i
+    return sorted(((plain(i), f"{p:016x}", plain(least[x])) for i, p, x in zip(ids, prints, label)), key=repr)
+
+
+def rows(found):
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def corpus(rng):
+    texts = []
+    for _ in range(25):
+        base = [f"w{rng.randint(0, 300)}" for _ in range(rng.choice([2, 5, 60, 200, 500]))]
+        for _ in range(rng.randint(1, 7)):
+            words = list(base)
+            for _ in range(rng.randint(0, 2)):
+                words[rng.randrange(len(words))] = f"x{rng.randint(0, 99)}"
+            texts.append(rng.choice([" ", "\n", "\t "]).join(words))
+    texts += ["", None, " \n", texts[0].upper(), texts[1], texts[1]]
+    rng.shuffle(texts)
+    return [(3 * i + 5, t) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_against_brute_force(docs_of, seed):
+    pairs = corpus(random.Random(seed))
+    found = rows(simhash.near_duplicates(docs_of(pairs)))
+    assert found == brute(pairs)
+    assert len({c for _, _, c in found}) < len({p for _, p, _ in found})  # some different texts link
+
+
+def test_odd_rows(docs_of, odd):
+    pairs = [*odd, (None, None), (7, "a b"), (8, "A\tB")]
+    assert rows(simhash.near_duplicates(docs_of(pairs))) == brute(pairs)
+
+
+def test_empty_table(docs_of):
+    assert simhash.near_duplicates(docs_of([])).collect() == []
+
+
+def spread(rng, centres, each, most):
+    """Fingerprints around a few centres, up to ``most`` bits away."""
+    found = set()
+    for _ in range(centres):
+        centre = rng.getrandbits(64)
+        for _ in range(each):
+            value = centre
+            for bit in rng.sample(range(64), rng.randint(0, most)):
+                value ^= 1 << bit
+            found.add(value)
+    return sorted(found)
+
+
+def labels_of(links, values):
+    label = {v: v for v in values}
+
+    def top(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in links:
+        label[max(top(a), top(b))] = min(top(a), top(b))
+    return [top(v) for v in values]
+
+
+@pytest.mark.parametrize("near", [0, 1, 3, 5])
+@pytest.mark.parametrize("group, block", [(4_000, 2_000), (20, 8), (2, 2)])
+def test_split_groups_lose_no_link(spark, near, group, block):
+    values = spread(random.Random(near), 6, 60, 6)
+    signed = [v - 2**64 if v >= 2**63 else v for v in values]
+    links = simhash.find_links(spark.createDataFrame([(v,) for v in signed], "fp long"), near, group, block).collect()
+    for a, b in links:
+        assert a != b
+    all_pairs = [
+        (a, b) for i, a in enumerate(values) for b in values[:i] if (a ^ b).bit_count() <= near
+    ]
+    unsigned = [(a % 2**64, b % 2**64) for a, b in links]
+    assert labels_of(unsigned, values) == labels_of(all_pairs, values)
+
+
+@pytest.mark.parametrize("near", range(0, 8))
+def test_some_chain_keeps_its_budgets(near):
+    rng = random.Random(near)
+    ring = simhash.Ring(near)
+    for _ in range(200):
+        differ = sum(1 << b for b in rng.sample(range(64), rng.randint(0, near)))
+        held = [
+            all((differ & int(mask)).bit_count() <= budget for mask, budget in ring.chain_masks(start))
+            for start in range(ring.segments)
+        ]
+        assert any(held)
+        for start in np.flatnonzero(held):
+            for step in range(ring.segments):
+                parts = ring.parts(int(start), step)
+                assert not parts or any(not differ >> low & ((1 << (high - low)) - 1) for low, high in parts)
+
+
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    text = " ".join(f"w{i % 37}" for i in range(500))
+    whole = simhash.fingerprint(text, 3)
+    monkeypatch.setattr(simhash, "CHUNK", 7)
+    assert simhash.fingerprint(text, 3) == whole == plain_fingerprint(text)
