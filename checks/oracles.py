@@ -43,7 +43,7 @@ def _union(parts: list[str]) -> str:
 
 def _numeric(name: str) -> str:
     return (
-        f"SELECT '{name}' AS \"column\", round(CAST(avg({name}) AS DOUBLE), 6) AS mean, "
+        f"SELECT '{name}' AS \"column\", round(favg({name}), 9) AS mean, "
         f"round(stddev_samp({name}), 4) AS std, CAST(min({name}) AS DOUBLE) AS \"min\", "
         f"CAST(max({name}) AS DOUBLE) AS \"max\", count({name}) AS \"count\" FROM flows"
     )

@@ -75,7 +75,7 @@ def _keyed(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame) -> DataFrame:
-    rounded = {"mean": 6, "std": 4}
+    rounded = {"mean": 9, "std": 4}
     report_ = profile.numeric_profile(df)
     return report_.select(
         *(F.round(c, rounded[c]).alias(c) if c in rounded else c for c in report_.columns)
@@ -348,7 +348,7 @@ def report_of(section: str, name: str) -> Query:
         df = flows_by_class(df) if section == "anomaly" else df
         found = report.analyze(df, FLOW, [section], FLOW_ORDER, rel_error=0)[name]
         if name == "numeric_profile":
-            found = found.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 4)})
+            found = found.withColumns({"mean": F.round("mean", 9), "std": F.round("std", 4)})
         return as_long(found)
 
     return build

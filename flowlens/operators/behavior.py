@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from flowlens.functions.columns import is_attack, is_dos, is_probe, share
 from flowlens.operators.clean import quantiles
 from flowlens.operators.distribution import TOP_HOSTS, top_k
+from flowlens.plans import exact
 from flowlens.plans.measures import Measure, measure
+from flowlens.plans.small import small_table
 from flowlens.roles import Roles
 
 HIGH_FREQUENCY_QUANTILE = 0.95
@@ -29,50 +31,67 @@ def attack_rows(df: DataFrame, roles: Roles) -> DataFrame:
     return df.filter(is_attack(roles))
 
 
-def _family(columns: dict[str, str], where: Column) -> Measure:
-    def mean(name: str):
-        return lambda keep: F.avg(keep(F.col(name)))
+def _family(df: DataFrame, columns: dict[str, str], where: Column) -> Measure:
+    """Exact means of the columns over the rows that ``where`` keeps, and their number."""
+    statistics = (F.count, F.min, F.max)
+    aggregates = {"count": lambda keep: F.count(keep(F.lit(1)))}
 
-    return Measure(
-        {
-            **{f"avg_{role}": mean(name) for role, name in columns.items()},
-            "count": lambda keep: F.count(keep(F.lit(1))),
-        },
-        lambda row: row.filter(F.col("count") > 0),
-        where,
-    )
+    def of(name: str, statistic):
+        return lambda keep: statistic(keep(F.col(name)))
+
+    for role, name in columns.items():
+        aggregates |= {f"{role}__{i}": of(name, statistic) for i, statistic in enumerate(statistics)}
 
+    def shape(row: DataFrame) -> DataFrame:
+        # One row, whatever the size of the table.
+        found = row.first()
+        ranges = {name: tuple(found[f"{role}__{i}"] for i in range(3)) for role, name in columns.items()}
+        means = exact.moments(df.filter(where), ranges, deviation=False)
+        report = [tuple(means[name][0] for name in columns.values()) + (found["count"],)]
+        schema = ", ".join(f"avg_{role} double" for role in columns) + ", count bigint"
+        return small_table(row.sparkSession, report if found["count"] else [], schema)
 
-def dos_measure(roles: Roles) -> Measure:
+    return Measure(aggregates, shape, where)
+
+
+def dos_measure(df: DataFrame, roles: Roles) -> Measure:
     names = ("src_bytes", "dst_bytes", "duration")
-    return _family(dict(zip(names, roles.need(*names))), is_dos(roles))
+    return _family(df, dict(zip(names, roles.need(*names))), is_dos(roles))
 
 
 def dos_profile(df: DataFrame, roles: Roles) -> DataFrame:
     """Mean bytes and duration of denial-of-service rows; no row without any."""
-    return measure(df, dos_measure(roles))
+    return measure(df, dos_measure(df, roles))
 
 
-def probe_measure(roles: Roles) -> Measure:
+def probe_measure(df: DataFrame, roles: Roles) -> Measure:
     names = [n for n in ("count", "srv_count", "dst_host_count") if roles.has(n)]
-    return _family({n: getattr(roles, n) for n in names}, is_probe(roles))
+    return _family(df, {n: getattr(roles, n) for n in names}, is_probe(roles))
 
 
 def probe_profile(df: DataFrame, roles: Roles) -> DataFrame:
     """Mean connection counters of probing rows, for the counters the table has."""
-    return measure(df, probe_measure(roles))
+    return measure(df, probe_measure(df, roles))
+
+
+def _duration_sum(df: DataFrame, duration: str) -> tuple[Column, Column]:
+    """Aggregates: total and number of durations; the total is placed by the range of the column."""
+    kind = dict(df.dtypes)[duration]
+    found = (0, None, None) if kind in exact.WHOLE_TYPES else exact.ranges(df, [duration])[duration]
+    return exact.scaled_sum(duration, kind, found), F.count(duration)
 
 
 def host_pairs(df: DataFrame, roles: Roles) -> DataFrame:
     """Per (source, destination) sums from which all host rankings follow."""
     src, dst, src_bytes, dst_bytes = roles.need("src", "dst", "src_bytes", "dst_bytes")
     (duration,) = roles.need("duration")
+    total, timed = _duration_sum(df, duration)
     return df.groupBy(src, dst).agg(
         F.count("*").alias("connection_count"),
         F.sum(F.col(src_bytes).cast("bigint")).alias("total_src_bytes"),
         F.sum(F.col(dst_bytes).cast("bigint")).alias("total_dst_bytes"),
-        F.sum(F.col(duration).cast("double")).alias("total_duration"),
-        F.count(duration).alias("timed_connections"),
+        total.alias("total_duration"),
+        timed.alias("timed_connections"),
     )
 
 
@@ -117,8 +136,10 @@ def top_pairs(
         mean = F.try_divide("total_duration", "timed_connections")
         pairs = df.select(src, dst, "connection_count", mean.alias("avg_duration"))
     else:
+        total, timed = _duration_sum(df, duration)
         pairs = df.groupBy(src, dst).agg(
-            F.count("*").alias("connection_count"), F.avg(duration).alias("avg_duration")
+            F.count("*").alias("connection_count"),
+            F.try_divide(total, timed.cast("double")).alias("avg_duration"),
         )
     return top_k(pairs, "connection_count", [src, dst], k)
 

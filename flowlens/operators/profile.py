@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import is_attack, share
 from flowlens.operators.distribution import TOP_VALUES, counts, top_k, top_values
+from flowlens.plans import exact
 from flowlens.plans.measures import Measure, measure
+from flowlens.plans.small import small_table
 from flowlens.roles import Roles
 
 NUMERIC_TYPES = ("int", "bigint", "float", "double")
-# Statistic name and the aggregate behind it.
-STATISTICS: dict[str, Callable[[Column], Column]] = {
-    "mean": F.avg,
-    "std": F.stddev_samp,
-    "min": F.min,
-    "max": F.max,
-    "count": F.count,
-}
+# Columns of the profile, after the name of the profiled column.
+PROFILE = "column string, mean double, std double, min double, max double, count bigint"
+RANGE = {"count": F.count, "min": F.min, "max": F.max}
 
 
 def _long_form(row: DataFrame, columns: Sequence[str], stats: dict[str, str]) -> DataFrame:
@@ -53,19 +50,28 @@ def numeric_columns(df: DataFrame, limit: int | None = None) -> list[str]:
 
 def numeric_measure(df: DataFrame, limit: int | None = None) -> Measure:
     columns = numeric_columns(df, limit)
-    kinds = {s: "bigint" if s == "count" else "double" for s in STATISTICS}
 
-    def of(name: str, statistic: Callable[[Column], Column]):
+    def of(name: str, statistic):
         return lambda keep: statistic(keep(F.col(name)))
 
-    return Measure(
-        {f"{name}__{s}": of(name, fn) for name in columns for s, fn in STATISTICS.items()},
-        lambda row: _long_form(row, columns, kinds),
-    )
+    def shape(row: DataFrame) -> DataFrame:
+        # One row, whatever the size of the table.
+        found = row.first()
+        ranges = {name: tuple(found[f"{name}__{s}"] for s in RANGE) for name in columns}
+        moments = exact.moments(df, ranges)
+        plain = lambda x: None if x is None else float(x)
+        profiles = [(c, *moments[c], plain(low), plain(high), n) for c, (n, low, high) in ranges.items()]
+        return small_table(row.sparkSession, profiles, PROFILE)
+
+    return Measure({f"{name}__{s}": of(name, fn) for name in columns for s, fn in RANGE.items()}, shape)
 
 
 def numeric_profile(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Mean, deviation, range and non-null count of the numeric columns, or of the first ``limit``."""
+    """Mean, deviation, range and non-null count of the numeric columns, or of the first ``limit``.
+
+    Sums are exact, so the result does not depend on files, partitions or cores. Two passes over the rows
+    run at once, for ranges and for sums; each brings one row to the driver.
+    """
     return measure(df, numeric_measure(df, limit))
 
 

@@ -189,9 +189,9 @@ def analyze(
     if named and wanted & {"basic", "summary"}:
         scalars["data_stats"] = profile.data_stats_measure(df, roles)
     if named and measured and "attack" in wanted:
-        scalars["dos_profile"] = behavior.dos_measure(roles)
+        scalars["dos_profile"] = behavior.dos_measure(df, roles)
         if any(roles.has(n) for n in ("count", "srv_count", "dst_host_count")):
-            scalars["probe_profile"] = behavior.probe_measure(roles)
+            scalars["probe_profile"] = behavior.probe_measure(df, roles)
     if roles.has("serror_rate", "rerror_rate") and "traffic" in wanted:
         scalars["high_error"] = behavior.high_error_measure([roles.serror_rate, roles.rerror_rate])
     if scalars:

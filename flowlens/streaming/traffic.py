@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.operators.derive import bytes_per_connection
+from flowlens.plans.exact import exact_sum, mean_of
 from flowlens.roles import Roles
 
 LATE_BOUND = "10 seconds"
@@ -28,7 +29,7 @@ def windowed_traffic(
         F.count("*").alias("connection_count"),
         F.sum(F.col(src_bytes).cast("bigint")).alias("total_src_bytes"),
         F.sum(F.col(dst_bytes).cast("bigint")).alias("total_dst_bytes"),
-        F.avg(duration).alias("avg_duration"),
+        mean_of(exact_sum(duration, dict(df.dtypes)[duration]), duration).alias("avg_duration"),
     )
     return bytes_per_connection(sums)
 
