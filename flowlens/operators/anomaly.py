@@ -14,11 +14,9 @@ from flowlens.roles import Roles
 
 CLUSTERS, SEED = 2, 42
 # Layout of the training rows (least number of tasks, most rows of one), ending of the fit.
-PARTITIONS, ROWS_PER_PARTITION, TOLERANCE, ROUNDS = 64, 1_000_000, 1e-9, 100
-# More copies of one row than this are made by several tasks.
-COPIES_PER_TASK = 100_000
+PARTITIONS, ROWS_PER_PARTITION, TOLERANCE, ROUNDS = 16, 100_000, 1e-9, 100
 MIN_FEATURES = 3
-PREDICTION = "prediction"
+PREDICTION, WEIGHT = "prediction", "_weight"
 
 
 def feature_columns(roles: Roles) -> list[str]:
@@ -38,49 +36,31 @@ def feature_vector(df: DataFrame, roles: Roles) -> DataFrame:
     return _assembler(feature_columns(roles)).transform(df)
 
 
+def _means(k: int, seed: int, scale: bool) -> KMeans:
+    source = "scaled" if scale else "features"
+    return KMeans(k=k, seed=seed, featuresCol=source, tol=TOLERANCE, maxIter=ROUNDS)
+
+
+def _scaler() -> StandardScaler:
+    return StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
+
+
 def cluster_pipeline(
     columns: list[str], k: int = CLUSTERS, seed: int = SEED, scale: bool = False
 ) -> Pipeline:
-    stages = [_assembler(columns)]
-    if scale:
-        stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True))
-    source = "scaled" if scale else "features"
-    means = KMeans(k=k, seed=seed, featuresCol=source, tol=TOLERANCE, maxIter=ROUNDS)
-    return Pipeline(stages=[*stages, means])
+    stages = [_assembler(columns), *([_scaler()] if scale else []), _means(k, seed, scale)]
+    return Pipeline(stages=stages)
 
 
-def _numbered(counted: DataFrame, partitions: int, top: int, per_task: int = COPIES_PER_TASK) -> DataFrame:
-    """Each row ``_copies`` times (``top`` at most), numbered by ``_copy`` from 1.
+def _placed(counted: DataFrame, columns: list[str], partitions: int) -> DataFrame:
+    """Distinct rows, dealt out and sorted by value, in ``partitions`` tasks at least.
 
-    No row makes more than ``per_task`` copies in one place: frequent rows are first cut into pieces of so
-    many copies, which are dealt out.
-    """
-    start, end = F.lit(1).cast("bigint"), F.col("_copies")
-    if top > per_task:
-        columns, last = [c for c in counted.columns if c != "_copies"], F.ceil(end / per_task) - 1
-        cut = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        counted = cut.repartition(partitions, *columns, "_piece")
-        start = F.col("_piece") * per_task + 1
-        end = F.least(end, start + per_task - 1)
-    return counted.withColumn("_copy", F.explode(F.sequence(start, end)))
-
-
-def _training_rows(df: DataFrame, partitions: int) -> DataFrame:
-    """A written copy of the feature columns, dealt out and sorted by value.
-
-    Training passes over the rows many times, and starts from rows it picks by
-    place. The copy keeps it from repeating the joins behind ``df``, and gives
-    each row the same place whatever files and cores there are. Equal rows are
-    counted and numbered, so that a frequent one is spread over all tasks, of
-    which there are ``partitions`` at least.
+    Training starts from rows it picks by place. This gives each row the same
+    place whatever files and cores there are. A frequent row is one row with a
+    weight, however often it occurs.
     """
-    columns, copy = df.columns, "_copy"
-    counted = stage(df.groupBy(*columns).agg(F.count("*").alias("_copies")), "feature-counts")
-    total, top = counted.agg(F.coalesce(F.sum("_copies"), F.lit(0)), F.coalesce(F.max("_copies"), F.lit(0))).first()
-    partitions = max(partitions, -(-total // ROWS_PER_PARTITION))
-    numbered = _numbered(counted, partitions, top)
-    placed = numbered.repartition(partitions, *columns, copy).sortWithinPartitions(*columns, copy)
-    return stage(placed.select(*columns), "features")
+    partitions = max(partitions, -(-counted.count() // ROWS_PER_PARTITION))
+    return counted.repartition(partitions, *columns).sortWithinPartitions(*columns)
 
 
 def fit_clusters(
@@ -91,15 +71,27 @@ def fit_clusters(
     scale: bool = False,
     partitions: int = PARTITIONS,
 ) -> PipelineModel:
-    columns = feature_columns(roles)
-    rows = _training_rows(df.select(*columns), partitions)
-    return cluster_pipeline(columns, k, seed, scale).fit(rows)
+    """The fitted pipeline, trained on distinct feature rows weighted by their number."""
+    return _fitted(df, roles, k, seed, scale, partitions)[0]
 
 
-def _by_size(model: PipelineModel) -> list[int]:
-    """Cluster numbers from the largest cluster to the smallest."""
-    sizes = model.stages[-1].summary.clusterSizes
-    return sorted(range(len(sizes)), key=lambda c: (-sizes[c], c))
+def _fitted(df, roles, k, seed, scale, partitions) -> tuple[PipelineModel, list[int]]:
+    """The fitted pipeline, and its cluster numbers from the largest cluster to the smallest."""
+    columns = feature_columns(roles)
+    features = df.select(*columns)
+    stages = [_assembler(columns)]
+    if scale:
+        # The scaler knows no weights: its means and deviations come from the rows themselves.
+        stages.append(_scaler().fit(stages[0].transform(features)))
+    counted = stage(features.groupBy(*columns).agg(F.count("*").cast("double").alias(WEIGHT)), "feature-counts")
+    prepared = PipelineModel(list(stages))
+    means = _means(k, seed, scale).setWeightCol(WEIGHT)
+    # The fit keeps its own copy of the rows while it runs.
+    placed = prepared.transform(_placed(counted, columns, partitions))
+    stages.append(means.fit(placed.select(means.getFeaturesCol(), WEIGHT)))
+    # At most k rows.
+    sizes = dict(stages[-1].transform(prepared.transform(counted)).groupBy(PREDICTION).agg(F.sum(WEIGHT)).collect())
+    return PipelineModel(stages), sorted(range(k), key=lambda c: (-sizes.get(c, 0), c))
 
 
 def cluster(
@@ -111,9 +103,9 @@ def cluster(
     partitions: int = PARTITIONS,
 ) -> DataFrame:
     """Every row with the number of its k-means cluster in ``prediction``, 0 for the largest."""
-    model = fit_clusters(df, roles, k, seed, scale, partitions)
+    model, by_size = _fitted(df, roles, k, seed, scale, partitions)
     found = model.transform(df).drop("features", "scaled")
-    place = {number: rank for rank, number in enumerate(_by_size(model))}
+    place = {number: rank for rank, number in enumerate(by_size)}
     numbers = F.create_map(*(F.lit(x) for pair in place.items() for x in pair))
     return found.withColumn(PREDICTION, numbers[F.col(PREDICTION)])
 

@@ -47,18 +47,32 @@ def test_tie_goes_to_the_lower_cluster(flow, roles):
     assert {r.prediction for r in anomaly.anomalies(halves, roles).collect()} == {0}
 
 
-def test_copies_of_one_row_are_made_in_pieces(spark):
-    # More than an array can hold; only the first copies are made here.
-    flood = spark.createDataFrame([(1, 2, 3_000_000_000)], "a int, b int, _copies long")
-    assert anomaly._numbered(flood, 4, 3_000_000_000).limit(3).count() == 3
-    few = spark.createDataFrame([(1, None, 25), (2, 2, 1), (3, 2, 10)], "a int, b int, _copies long")
-    made = anomaly._numbered(few, 4, 25, per_task=10).collect()
-    assert sorted((r.a, r._copy) for r in made) == [(a, n) for a, most in ((1, 25), (2, 1), (3, 10)) for n in range(1, most + 1)]
+def test_training_tasks_follow_the_distinct_rows(spark, monkeypatch):
+    monkeypatch.setattr(anomaly, "ROWS_PER_PARTITION", 50)
+    counted = spark.range(601).selectExpr("id AS a", "IF(id < 1, NULL, id) AS b", "2.0D AS _weight")
+    placed = anomaly._placed(counted, ["a", "b"], 2)
+    assert placed.rdd.getNumPartitions() == 13 and placed.count() == 601
 
 
-def test_training_tasks_follow_the_rows(spark, monkeypatch):
-    monkeypatch.setattr(anomaly, "ROWS_PER_PARTITION", 50)
-    df = spark.range(1000).selectExpr("IF(id < 400, 0, id) AS a", "IF(id < 400, NULL, id) AS b")
-    rows = anomaly._training_rows(df, 2)
-    assert sorted(map(str, rows.collect())) == sorted(map(str, df.collect()))
-    assert len(rows.inputFiles()) == 20
+@pytest.mark.parametrize("scale", [False, True])
+def test_weights_count_like_rows(spark, scale):
+    """Many copies of one row pull the centres as the rows themselves would."""
+    rows = [(float(x), 0.0, 1.0) for x in [0] * 300 + list(range(1, 40)) + [100] * 3 + [130]]
+    df = spark.createDataFrame(rows, "sbytes double, dbytes double, dur double")
+    roles = Roles.resolve(df)
+    model = anomaly.fit_clusters(df, roles, scale=scale)
+    clustered = anomaly.cluster(df, roles, scale=scale)
+    # The centres are the means over all rows, not over the distinct ones.
+    if not scale:
+        means = sorted(r[0] for r in clustered.groupBy("prediction").avg("sbytes").select("avg(sbytes)").collect())
+        assert sorted(c[0] for c in model.stages[-1].clusterCenters()) == pytest.approx(means)
+    sizes = {r.prediction: r["count"] for r in clustered.groupBy("prediction").count().collect()}
+    assert sizes[0] > sizes[1]
+
+
+def test_clusters_do_not_depend_on_the_layout(flow, roles):
+    found = {
+        tuple(sorted((r.i, r.prediction) for r in anomaly.cluster(flow.repartition(n), roles).collect()))
+        for n in (1, 5, 40)
+    }
+    assert len(found) == 1
