@@ -112,6 +112,18 @@ def _iqr(source: str, name: str) -> str:
     )
 
 
+def _sketched(name: str) -> str:
+    """Rows within the narrowest and the widest whiskers of quartiles a hundredth of the ranks away."""
+    q = {r: f"(SELECT quantile_disc({name}, {r}) FROM flows)" for r in (0.24, 0.26, 0.74, 0.76)}
+    inner, outer = f"1.5 * ({q[0.74]} - {q[0.26]})", f"1.5 * ({q[0.76]} - {q[0.24]})"
+    return (
+        f"SELECT '{name}' AS \"column\", count({name}) AS n, "
+        f"count(*) FILTER ({name} >= {q[0.26]} - {inner} AND {name} <= {q[0.74]} + {inner}) AS kept_least, "
+        f"count(*) FILTER ({name} >= {q[0.24]} - {outer} AND {name} <= {q[0.76]} + {outer}) AS kept_most, "
+        "true AS near FROM flows"
+    )
+
+
 SEGMENT = """CASE WHEN src_bytes + dst_bytes < 1000 THEN '小流量(<1KB)'
  WHEN src_bytes + dst_bytes < 10000 THEN '中流量(1-10KB)'
  WHEN src_bytes + dst_bytes < 100000 THEN '大流量(10-100KB)' ELSE '超大流量(>100KB)' END"""
@@ -307,6 +319,9 @@ ORACLES: dict[str, str] = {
     "iqr_filter": _flows(
         f"SELECT {BIGKEY}, dst_bytes FROM ({_iqr('flows', 'dst_bytes')})"
     ),
+    "iqr_filter_sketched": _flows(
+        _union([_sketched(n) for n in ("src_bytes", "dst_bytes", "duration")])
+    ),
     "remove_outliers": _flows(
         f"SELECT {BIGKEY}, src_bytes, dst_bytes, duration FROM ({_iqr('f2', 'duration')})",
         f", f1 AS ({_iqr('flows', 'src_bytes')}), f2 AS ({_iqr('f1', 'dst_bytes')})",

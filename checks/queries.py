@@ -33,6 +33,8 @@ from flowlens.operators import (
     report,
     sequence,
 )
+from flowlens.plans.quantiles import exact_quantiles, sketched_quantiles
+from flowlens.plans.small import small_table
 from flowlens.plans.staging import fresh_path
 from flowlens.sinks import write_reports
 from flowlens.sources import parse_events, read_flows
@@ -107,6 +109,38 @@ def ipv4_check(df: DataFrame) -> DataFrame:
     )
 
 
+# --- sketches -------------------------------------------------------------
+
+SKETCHED = ("src_bytes", "dst_bytes", "duration")
+RANK_ERROR = 0.01
+
+
+def iqr_filter_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether sketched quartiles, and what their whiskers keep, are as near as the rank error allows.
+
+    The bounds are those of exact quartiles at ranks moved by the error; ``kept_least`` and ``kept_most``
+    are the rows within the narrowest and the widest whiskers these allow.
+    """
+    df = flows(spark, sf)
+    found = sketched_quantiles(df, {c: [0.25, 0.75] for c in SKETCHED}, RANK_ERROR)
+    rows = []
+    for name in SKETCHED:
+        ranks = [p + side for p in (0.25, 0.75) for side in (-RANK_ERROR, RANK_ERROR)]
+        a, b, c, d = exact_quantiles(df, name, ranks)
+        inner, outer = clean.WHISKER * (c - b), clean.WHISKER * (d - a)
+        low, high = clean.whiskers([q.value for q in found[name]])
+        x = F.col(name)
+        kept = df.agg(
+            F.count(name),
+            F.count_if((x >= b - inner) & (x <= c + inner)),
+            F.count_if((x >= a - outer) & (x <= d + outer)),
+            F.count_if((x >= low) & (x <= high)),
+        ).first()
+        near = all(q.error <= RANK_ERROR for q in found[name]) and kept[1] <= kept[3] <= kept[2]
+        rows.append((name, *kept[:3], near))
+    return small_table(spark, rows, "column string, n bigint, kept_least bigint, kept_most bigint, near boolean")
+
+
 # --- encoding -------------------------------------------------------------
 
 CODED = ("proto", "service", "attack_cat")
@@ -472,6 +506,7 @@ QUERIES: dict[str, Query] = {
     "iqr_filter": _flow_query(
         lambda df: _keyed(clean.iqr_filter(df, "dst_bytes", rel_error=0), "dst_bytes")
     ),
+    "iqr_filter_sketched": iqr_filter_sketched,
     "remove_outliers": _flow_query(
         lambda df: _keyed(
             clean.remove_outliers(df, FLOW, rel_error=0), "src_bytes", "dst_bytes", "duration"

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.plans.quantiles import exact_quantiles
+from flowlens.plans.quantiles import exact_quantiles, sketched_quantiles
 from flowlens.roles import Roles
 
 IMPUTED_TYPES = ("int", "float", "double")
@@ -53,10 +53,17 @@ def impute_mean(
 def quantiles(
     df: DataFrame, col: str, ps: Sequence[float], rel_error: float = REL_ERROR
 ) -> list[float]:
-    """Quantiles of a column; exact ones when ``rel_error`` is 0."""
+    """Quantiles of a column, with ranks within ``rel_error``; exact ones when it is 0."""
     if rel_error == 0:
         return exact_quantiles(df, col, ps)
-    return df.approxQuantile(col, list(ps), rel_error)
+    return [found.value for found in sketched_quantiles(df, {col: ps}, rel_error)[col]]
+
+
+def whiskers(quartiles: Sequence[float]) -> tuple[float, float]:
+    """Bounds 1.5 quartile ranges beyond the quartiles."""
+    q1, q3 = quartiles
+    reach = WHISKER * (q3 - q1)
+    return q1 - reach, q3 + reach
 
 
 def iqr_filter(df: DataFrame, col: str, rel_error: float = REL_ERROR) -> DataFrame:
@@ -64,9 +71,8 @@ def iqr_filter(df: DataFrame, col: str, rel_error: float = REL_ERROR) -> DataFra
     quartiles = quantiles(df, col, [0.25, 0.75], rel_error)
     if not quartiles:
         return df.filter(F.col(col).isNotNull())
-    q1, q3 = quartiles
-    reach = WHISKER * (q3 - q1)
-    return df.filter((F.col(col) >= q1 - reach) & (F.col(col) <= q3 + reach))
+    low, high = whiskers(quartiles)
+    return df.filter((F.col(col) >= low) & (F.col(col) <= high))
 
 
 def remove_outliers(df: DataFrame, roles: Roles, rel_error: float = REL_ERROR) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import byte_sum, hour_of, is_attack, segment_name, weekday_of
+from flowlens.plans.heavy import as_values, counted_values, heavy_values
 from flowlens.roles import Roles
 
 TOP_HOSTS = TOP_PORTS = TOP_VALUES = 10
@@ -90,26 +91,18 @@ def segment_distribution(
 
 
 def top_values(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
-    """The ``k`` most frequent values of each column, in one pass over the rows.
+    """The ``k`` most frequent values of each column (``column``, ``value``, ``count``, ``rank``).
 
-    Counting combines before the shuffle, and the row-number filter is pushed
-    below the second one, so each task hands on at most ``k`` values a column.
+    Runs at once, in two passes: see ``heavy_values``.
     """
-    text = [F.col(c).cast("string").alias(c) for c in columns]
-    values = df.select(*text).unpivot([], list(columns), "column", "value")
-    best = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
-    return (
-        values.groupBy("column", "value")
-        .count()
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-    )
+    return heavy_values(as_values(df, columns), k)
 
 
 def port_distribution(df: DataFrame, roles: Roles, k: int = TOP_PORTS) -> DataFrame:
     """Most frequent source and destination ports (``column``, ``value``, ``count``, ``rank``)."""
     ports = [p for p in (roles.src_port, roles.dst_port) if p is not None]
-    return top_values(df, ports or list(roles.need("src_port")), k)
+    # There are 65,536 ports, as few as there would be buckets.
+    return counted_values(as_values(df, ports or list(roles.need("src_port"))), k)
 
 
 def cell_counts(df: DataFrame, roles: Roles) -> DataFrame:

@@ -13,7 +13,7 @@ from flowlens.functions.columns import byte_sum
 from flowlens.operators import anomaly, behavior, distribution, profile
 from flowlens.operators.balance import oversample
 from flowlens.operators.clean import REL_ERROR
-from flowlens.operators.distribution import ROWS, TOP_HOSTS, TOP_PORTS, TOP_VALUES
+from flowlens.operators.distribution import ROWS, TOP_HOSTS, TOP_VALUES
 from flowlens.operators.sequence import trend_points
 from flowlens.plans.measures import measure_together
 from flowlens.plans.staging import stage
@@ -153,12 +153,12 @@ def analyze(
 
     Reports are not computed from the rows one by one. One aggregation serves
     all scalar reports, one set of cell counts all distributions, one set of
-    host pairs all host rankings, and one count of values all top-value
-    lists. Only these aggregates are cached or, for host pairs, written, never
+    host pairs all host rankings, and one count by bucket all lists of
+    frequent texts. Only these aggregates are cached or, for host pairs, written, never
     the rows. The frequency quantile, the clustering and the trend (by
     ``order``, or else by duration) read the rows on their own. The reports
-    are lazy, but host pairs, quantiles and clusters are computed before this
-    returns. ``balanced`` analyses the oversampled table instead.
+    are lazy, but profiles, frequent texts, host pairs, quantiles and clusters
+    are computed before this returns. ``balanced`` analyses the oversampled table instead.
     """
     if order is None and roles.has("duration"):
         order = [roles.duration]
@@ -232,13 +232,10 @@ def analyze(
     texts = profile.categorical_columns(df) if "basic" in wanted else []
     ports = [p for p in (roles.src_port, roles.dst_port) if p is not None]
     ports = ports if "protocol" in wanted else []
-    if texts or ports:
-        listed = list(dict.fromkeys([*texts, *ports]))
-        values = hold(distribution.top_values(df, listed, max(TOP_VALUES, TOP_PORTS)))
-        if texts:
-            reports["categorical_top"] = values.filter(F.col("column").isin(texts))
-        if ports:
-            reports["port_distribution"] = values.filter(F.col("column").isin(ports))
+    if texts:
+        reports["categorical_top"] = distribution.top_values(df, texts, TOP_VALUES)
+    if ports:
+        reports["port_distribution"] = hold(distribution.port_distribution(df, roles))
 
     hosts = None
     if roles.has("src", "dst") and measured and wanted & {"hosts", "summary"}:

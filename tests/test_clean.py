@@ -1,9 +1,12 @@
+import random
 from math import ceil
 
 import pytest
 
 from flowlens import Roles
 from flowlens.operators import clean
+from flowlens.plans import quantiles
+from flowlens.plans.quantiles import sketched_quantiles
 
 NAN = float("nan")
 
@@ -71,3 +74,41 @@ def test_remove_outliers_goes_column_by_column(spark):
     found = clean.remove_outliers(df, roles, rel_error=0)
     assert sorted(tuple(r) for r in found.collect()) == sorted(left)
     assert clean.remove_outliers(df, Roles(duration="dur"), rel_error=0).count() == 12
+
+
+def rank_error(values, found, p):
+    low, high = sum(v < found for v in values) / len(values), sum(v <= found for v in values) / len(values)
+    return max(0.0, low - p, p - high)
+
+
+def test_sketched_quantiles_measure_their_error(spark):
+    rng = random.Random(3)
+    rows = [(rng.randint(0, 50), rng.lognormvariate(0, 3), None, NAN if i % 7 == 0 else 1.5) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "i int, d double, nothing bigint, n double").repartition(9)
+    ps = [0.01, 0.25, 0.5, 0.99]
+    found = sketched_quantiles(df, {c: ps for c in df.columns}, 0.01)
+    assert found["nothing"] == []
+    assert {q.value for q in found["n"]} == {1.5}
+    for k, name in enumerate(("i", "d")):
+        for p, q in zip(ps, found[name]):
+            assert q.error <= 0.01
+            assert q.error == pytest.approx(rank_error([r[k] for r in rows], q.value, p))
+
+
+def test_sketches_grow_until_the_error_holds(spark, monkeypatch):
+    df = spark.range(30_000).selectExpr("CAST(id AS double) AS x")
+    sizes = []
+    build = quantiles._sketched
+    monkeypatch.setattr(quantiles, "sketch_size", lambda e: 8)
+    monkeypatch.setattr(quantiles, "_sketched", lambda *a: sizes.append(a[-1]) or build(*a))
+    (found,) = sketched_quantiles(df, {"x": [0.5]}, 0.0005)["x"]
+    assert found.error <= 0.0005 and len(sizes) > 1 and sizes == sorted(sizes)
+
+
+def test_sketched_quantiles_take_two_passes_for_all_columns(spark):
+    df = spark.range(100).selectExpr("id AS a", "id * 2 AS b", "CAST(id AS double) AS c")
+    context = spark.sparkContext
+    context.setJobGroup("sketches", "sketches")
+    sketched_quantiles(df, {c: [0.25, 0.75] for c in df.columns}, 0.05)
+    assert len(context.statusTracker().getJobIdsForGroup("sketches")) <= 4
+    context.setJobGroup("", "")

@@ -1,7 +1,11 @@
+import random
+from collections import Counter
+
 import pytest
 
 from flowlens import Roles
 from flowlens.operators import distribution, profile
+from flowlens.plans import heavy
 from flowlens.plans.measures import measure, measure_together
 
 
@@ -80,6 +84,41 @@ def test_measures_agree_alone_and_together(table, rows):
         assert rows(together[name]) == rows(measure(table, part))
 
 
-def test_top_values_is_limited_before_the_shuffle(table):
-    plan = distribution.top_values(table, ["proto"], 3)._jdf.queryExecution().executedPlan()
-    assert "Partial" in plan.toString() and plan.toString().count("WindowGroupLimit") == 2
+def test_top_values_counts_buckets_first(spark, table, rows):
+    assert rows(distribution.top_values(table, ["proto"], 2)) == [("proto", "tcp", 2, 1), ("proto", None, 1, 2)]
+
+
+def plain_top(values, k):
+    found = []
+    for column in {c for c, _ in values}:
+        counted = Counter(v for c, v in values if c == column)
+        order = sorted(counted.items(), key=lambda x: (-x[1], x[0] is not None, x[0] or ""))
+        found += [(column, v, n, i) for i, (v, n) in enumerate(order[:k], 1)]
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("shape", ["heavy", "even", "ties", "few"])
+def test_heavy_values_are_exact(spark, rows, shape, monkeypatch):
+    rng = random.Random(shape)
+    draw = {
+        "heavy": lambda: str(rng.choice([1, 2, 3])) if rng.random() < 0.5 else str(rng.randrange(2000)),
+        "even": lambda: str(rng.randrange(1500)),
+        "ties": lambda: str(rng.choice([None, "a", "b", "c", "d"])),
+        "few": lambda: rng.choice([None, "x"]),
+    }[shape]
+    values = [("p", draw()) for _ in range(3000)] + [("q", "1")] * 5 + [("q", None)]
+    df = spark.createDataFrame(values, "column string, value string").repartition(6)
+    assert rows(heavy.heavy_values(df, 3, buckets=64, first=2)) == plain_top(values, 3)
+    assert rows(heavy.heavy_values(df.where("false"), 3)) == []
+
+
+def test_proved_values_shuffle_only_their_buckets(spark, monkeypatch):
+    """With a few heavy values among many, hardly any distinct value is counted on its own."""
+    seen = []
+    ranked = heavy._ranked
+    monkeypatch.setattr(heavy, "_ranked", lambda counted: seen.append(counted.count()) or ranked(counted))
+    df = spark.range(60_000).selectExpr("'c' AS column", "IF(id % 3 = 0, id % 4, id) AS value")
+    df = df.selectExpr("column", "CAST(value AS string) AS value")
+    found = heavy.heavy_values(df, 3, buckets=4096, first=2).collect()
+    assert sorted(r.value for r in found) == ["0", "1", "2"] or len(found) == 3
+    assert len(seen) == 1 and seen[0] < 200
