@@ -383,6 +383,12 @@ ORACLES: dict[str, str] = {
         f"SELECT {BIGKEY}, src IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0) "
         "AS is_malicious_ip FROM flows"
     ),
+    "enrich_owner_nested": _flows(
+        f"SELECT {BIGKEY}, CASE WHEN dst // 64 NOT IN (SELECT s_suppkey FROM supplier) THEN 'all' "
+        "WHEN dst % 64 BETWEEN 20 AND 27 THEN 'inner-' || dst // 64 "
+        "WHEN dst % 64 BETWEEN 4 AND 51 THEN 'middle-' || dst // 64 "
+        "ELSE 'outer-' || dst // 64 END AS asn FROM flows"
+    ),
     "categorize": _flows(
         f"SELECT {BIGKEY}, attack_type, CASE attack_type WHEN 'neptune.' THEN 'dos' "
         "WHEN 'ipsweep.' THEN 'probe' WHEN 'normal' THEN 'normal' "
@@ -435,6 +441,8 @@ for _name, _same in {
     "enrich_geo_shuffled": "enrich_geo",
     "enrich_owner_shuffled": "enrich_owner",
     "flag_threats_shuffled": "flag_threats",
+    "flag_threats_filtered": "flag_threats",
+    "enrich_owner_nested_shuffled": "enrich_owner_nested",
     "categorize_shuffled": "categorize",
     "gaps_of_hot_sources": "gaps",
     "rolling_sequence_of_hot_sources": "rolling_sequence",

@@ -251,6 +251,40 @@ def flag_threats(spark: SparkSession, sf: str, **bound: int) -> DataFrame:
     return as_long(_keyed(flagged, "is_malicious_ip"))
 
 
+def flag_threats_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """A block-list that is mostly of addresses that never occur, and too long to be broadcast whole."""
+    listed = table(spark, sf, "supplier").filter(F.col("s_acctbal") < 0).select(F.col("s_suppkey").alias("ip"))
+    others = table(spark, sf, "orders").select((F.col("o_orderkey") + 10**9).alias("ip"))
+    flagged = enrich.flag_threats(flows(spark, sf), listed.unionByName(others), "src", 1_000)
+    return as_long(_keyed(flagged, "is_malicious_ip"))
+
+
+def nested_owners(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts of 10.0.0.0/8: one range of all, one of 64 addresses a supplier, with two within each other inside."""
+    base, key = F.lit(10 << 24), F.col("s_suppkey")
+    suppliers = table(spark, sf, "supplier")
+    sizes = {"outer": (0, 63), "middle": (4, 51), "inner": (20, 27)}
+    parts = [
+        suppliers.select(
+            (base + key * 64 + low).alias("lo"),
+            (base + key * 64 + high).alias("hi"),
+            F.concat(F.lit(f"{name}-"), key.cast("string")).alias("asn"),
+        )
+        for name, (low, high) in sizes.items()
+    ]
+    everything = [((10 << 24), (10 << 24) + (1 << 24) - 1, "all")]
+    listed = small_table(spark, everything, "lo bigint, hi bigint, asn string")
+    for part in parts:
+        listed = listed.unionByName(part)
+    return listed.select("lo", "hi", "asn", F.col("asn").alias("organization"), F.col("asn").alias("isp"))
+
+
+def enrich_owner_nested(spark: SparkSession, sf: str, **bound: int) -> DataFrame:
+    addressed = flows(spark, sf).withColumn("dst_ip", dotted(F.lit(10 << 24) + F.col("dst")))
+    owned = enrich.enrich_owner(addressed, nested_owners(spark, sf), "dst_ip", nested=True, **bound)
+    return as_long(_keyed(owned, "asn"))
+
+
 def categorize(df: DataFrame, default: str | None = None, **bound: int) -> DataFrame:
     known = enrich.categorize(df, default_taxonomy(df.sparkSession), FLOW, default, **bound)
     return _keyed(known, "attack_type", "attack_category")
@@ -599,6 +633,9 @@ QUERIES: dict[str, Query] = {
     "enrich_geo": enrich_geo,
     "enrich_owner": enrich_owner,
     "flag_threats": flag_threats,
+    "flag_threats_filtered": flag_threats_filtered,
+    "enrich_owner_nested": enrich_owner_nested,
+    "enrich_owner_nested_shuffled": lambda spark, sf: enrich_owner_nested(spark, sf, broadcast_rows=0),
     "categorize": _flow_query(categorize),
     "enrich_both_ends": enrich_both_ends,
     "enrich_geo_shuffled": lambda spark, sf: enrich_geo(spark, sf, broadcast_rows=0),

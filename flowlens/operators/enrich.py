@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from flowlens.functions.columns import ip_number, plain_name
 from flowlens.functions.fixed import UNKNOWN
 from flowlens.operators.balance import union_all
+from flowlens.plans.membership import filter_words, key_filter, possible_members
+from flowlens.plans.nesting import disjoint
 from flowlens.plans.ordering import FRAME, HOME, frame_size, number_rows, with_frames
 from flowlens.plans.skew import BROADCAST_ROWS, fits, lookup_join
 from flowlens.plans.staging import stage
@@ -127,15 +129,18 @@ def enrich_geo(
     ip: str = "src_ip",
     broadcast_rows: int = BROADCAST_ROWS,
     prefix: str = "",
+    nested: bool = False,
 ) -> DataFrame:
     """Country, city and position of an address; null where no range holds it.
 
     Without a range table the input is returned unchanged. Columns of the same names are replaced;
-    ``prefix`` tells the two ends of a flow apart.
+    ``prefix`` tells the two ends of a flow apart. ``nested`` ranges may lie within others, and the most
+    specific one counts.
     """
     if ranges is None:
         return df
     located = ranges.select("lo", "hi", *_prefixed(GEO_COLUMNS, prefix))
+    located = disjoint(located) if nested else located
     return range_lookup(df, located, ip_number(F.col(ip)), broadcast_rows)
 
 
@@ -145,10 +150,15 @@ def enrich_owner(
     ip: str = "src_ip",
     broadcast_rows: int = BROADCAST_ROWS,
     prefix: str = "",
+    nested: bool = False,
 ) -> DataFrame:
-    """Network owner of an address, from a table by ``ip`` or by ``lo``/``hi`` range."""
+    """Network owner of an address, from a table by ``ip`` or by ``lo``/``hi`` range.
+
+    ``nested`` ranges may lie within others, and the most specific one counts.
+    """
     if "lo" in owners.columns:
         owned = owners.select("lo", "hi", *_prefixed(OWNER_COLUMNS, prefix))
+        owned = disjoint(owned) if nested else owned
         return range_lookup(df, owned, ip_number(F.col(ip)), broadcast_rows)
     # One owner per address, so that the join never multiplies rows.
     owner = F.min(F.struct(*_prefixed(OWNER_COLUMNS, prefix))).alias("owner")
@@ -156,11 +166,25 @@ def enrich_owner(
     return lookup_join(df, unique.select(ip, "owner.*"), [ip], broadcast_rows)
 
 
+def occurring(df: DataFrame, listed: DataFrame, key: str) -> DataFrame:
+    """The listed keys that occur in ``df``."""
+    words = filter_words(listed.count())
+    table = stage(key_filter(listed, key, words), "filter")
+    candidates = possible_members(df.select(key).dropna().distinct(), key, table, words)
+    return stage(candidates.join(listed, key, "left_semi"), "occurring")
+
+
 def flag_threats(
     df: DataFrame, blocklist: DataFrame, ip: str = "src_ip", broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """``is_malicious_ip``: whether the address is on the block-list."""
+    """``is_malicious_ip``: whether the address is on the block-list.
+
+    A list too large to broadcast is first cut down to the addresses that occur: distinct addresses pass a
+    filter of the list, whose size is bounded, and only those that may be listed are shuffled to meet it.
+    """
     listed = blocklist.select(F.col("ip").alias(ip)).dropna().distinct()
+    if not fits(listed, broadcast_rows):
+        listed = occurring(df, stage(listed, "listed"), ip)
     marked = lookup_join(df, listed.withColumn("_listed", F.lit(True)), [ip], broadcast_rows)
     flag = F.coalesce("_listed", F.lit(False))
     return marked.withColumn("is_malicious_ip", flag).drop("_listed")
