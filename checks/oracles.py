@@ -436,6 +436,81 @@ ORACLES: dict[str, str] = {
     "chart_series": _flows(CHARTS, "," + EVENTS_SQL),
 }
 
+_CONNECTIONS = (
+    "SELECT duration, proto AS protocol_type, service, state AS flag, CAST(src_bytes AS DOUBLE) AS src_bytes, "
+    "CAST(dst_bytes AS DOUBLE) AS dst_bytes, CAST(conn_count AS DOUBLE) AS \"count\", serror_rate, "
+    "regexp_replace(attack_type, '[.]$', '') AS attack_type FROM flows WHERE src NOT IN (7, 9)"
+)
+_CLEANED = (
+    f", f1 AS ({_iqr('flows', 'src_bytes')}), f2 AS ({_iqr('f1', 'dst_bytes')}), f3 AS ({_iqr('f2', 'duration')})"
+)
+
+
+def _codes_in(source: str, name: str) -> str:
+    return _codes(name).replace("FROM flows", f"FROM {source}")
+
+
+ORACLES |= {
+    "csv_connections": _flows(
+        "SELECT *, CAST(CASE WHEN attack_type = 'normal' THEN 0 ELSE 1 END AS BIGINT) AS label "
+        f"FROM ({_CONNECTIONS})"
+    ),
+    "rejected_connections": _flows(
+        'SELECT src = 7 AS text_for_number, count(*) AS "count" FROM flows WHERE src IN (7, 9) GROUP BY src'
+    ),
+    "prepare_connections": _flows(
+        "SELECT duration, src_bytes, dst_bytes, \"count\", serror_rate, attack_type, "
+        "CAST(CASE WHEN attack_type = 'normal' THEN 0 ELSE 1 END AS BIGINT) AS label, "
+        f"{_code('protocol_type')} AS protocol_type_indexed, {_code('service')} AS service_indexed, "
+        f"{_code('flag')} AS flag_indexed, CASE attack_type WHEN 'neptune' THEN 'dos' WHEN 'ipsweep' THEN 'probe' "
+        "WHEN 'normal' THEN 'normal' END AS attack_category FROM named",
+        f", named AS (SELECT * FROM ({_CONNECTIONS}) WHERE attack_type IS NOT NULL)"
+        + "".join(_codes_in("named", c) for c in ("protocol_type", "service", "flag")),
+    ),
+    "prepare_flows": _flows(
+        "SELECT src AS srcip, CAST(src_port AS BIGINT) AS sport, dst AS dstip, CAST(dst_port AS BIGINT) AS dsport, "
+        "src_bytes AS sbytes, dst_bytes AS dbytes, duration AS dur, flow_id AS stcpb, price AS load, "
+        "category AS attack_category, CAST(label AS BIGINT) AS label, src_bytes + dst_bytes AS total_bytes, "
+        "CASE WHEN dst_bytes > 0 THEN src_bytes / dst_bytes ELSE 0.0::DOUBLE END AS bytes_ratio, "
+        f"{_code('service')} AS service_index, {_code('label')} AS label_index, "
+        f"{_code('category')} AS attack_category_index FROM f3",
+        _CLEANED + "".join(_codes_in("f3", c) for c in ("service", "label", "category")),
+    ),
+    "taxonomy_file": _flows(
+        f"SELECT {BIGKEY}, attack_type, CASE attack_type WHEN 'neptune.' THEN 'DoS' WHEN 'mystery' THEN 'Exploits' "
+        "WHEN 'ipsweep.' THEN 'Reconnaissance' WHEN 'normal' THEN 'normal' WHEN 'normal.' THEN 'normal' END "
+        "AS attack_category FROM flows"
+    ),
+    "blocklist_file": _flows(
+        f"SELECT {BIGKEY}, src IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0 AND s_suppkey % 3 < 2) "
+        "AS is_malicious_ip FROM flows"
+    ),
+    "two_sinks": _events(f"SELECT sink, a.* FROM ({ALERTS}) a, (SELECT unnest(['json', 'table']) AS sink)", WINDOWED),
+    "windowed_traffic_hot_source": _events(
+        "SELECT window_start, window_end, attack_type, connection_count, total_src_bytes, "
+        "total_dst_bytes, round(avg_duration, 9) AS avg_duration, "
+        "round(bytes_per_connection, 9) AS bytes_per_connection FROM windowed",
+        WINDOWED.replace(
+            "attack_type, src_bytes, dst_bytes, duration FROM evt",
+            "CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE attack_type END AS attack_type, "
+            "src_bytes, dst_bytes, duration FROM evt",
+        ),
+    ),
+    "late_rows": _events(
+        "SELECT part, event_id, part = 0 OR time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR > "
+        "date_trunc('milliseconds', (SELECT max(p.ts) FROM parts p WHERE p.part < parts.part)) - INTERVAL 10 SECONDS "
+        "AS counted FROM parts",
+        ", ends AS (SELECT min(ts) AS low, max(ts) AS high FROM evt), parts AS (SELECT event_id, ts, "
+        "CAST(CASE WHEN event_id % 10 = 0 THEN 2 WHEN ts >= low + (high - low) / 2 THEN 1 ELSE 0 END AS BIGINT) AS part "
+        "FROM evt, ends)",
+    ),
+    "score_stream_apart": _events(
+        "SELECT window_start, window_end, attack_type, connection_count, attack_type = 'error' AS far FROM windowed",
+        WINDOWED,
+    ),
+    "report_moving_average": ORACLES["moving_average"],
+}
+
 # Other plans, or another form, of queries above.
 for _name, _same in {
     "enrich_geo_shuffled": "enrich_geo",

@@ -29,18 +29,26 @@ from flowlens.operators import (
     distribution,
     encode,
     enrich,
+    prepare,
     profile,
     report,
     sequence,
 )
 from flowlens.plans.quantiles import exact_quantiles, sketched_quantiles
 from flowlens.plans.small import small_table
-from flowlens.plans.staging import fresh_path
-from flowlens.sinks import write_reports
-from flowlens.sources import parse_events, read_flows
+from flowlens.plans.staging import fresh_path, stage
+from flowlens.sinks import publish_reports, read_reports
+from flowlens.sources import (
+    parse_events,
+    read_blocklist,
+    read_connections,
+    read_flows,
+    read_taxonomy,
+    rejected_connections,
+)
 from flowlens.sources.flows import FLOW_TYPES
 from flowlens.sources.reference import default_taxonomy
-from flowlens.streaming import alerts, traffic
+from flowlens.streaming import alerts, progress, traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -371,6 +379,83 @@ def score_stream(spark: SparkSession, sf: str) -> DataFrame:
     return as_long(_bounds(run_stream(scored, "scored")))
 
 
+def two_sinks(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of one query in two sinks."""
+    raised = alerts.alert_rules(_windows(event_stream(spark, sf)), EVENT_RULES).drop("alert_time")
+    raised = traffic.window_bounds(raised)
+    out = fresh_path(spark, "two-sinks")
+    sinks = {"json": "json", "table": "parquet"}
+    writers = {name: alerts.file_sink(kind, f"{out}/{name}") for name, kind in sinks.items()}
+    alerts.write_to_all(raised, writers, f"{out}/state", available_now=True).awaitTermination()
+    parts = [
+        alerts.read_batches(raised, kind, f"{out}/{name}").select(F.lit(name).alias("sink"), "*")
+        for name, kind in sinks.items()
+    ]
+    return _bounds(parts[0].unionByName(parts[1])).select(
+        "sink", "window_start", "window_end", "attack_type", "connection_count", "alert_level", "alert_reason"
+    )
+
+
+def hot_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of a stream of which one source has a third and more, each source summed in eight parts."""
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(F.col("attack_type"))
+    stream = event_stream(spark, sf).withColumn("attack_type", hot)
+    found = traffic.windowed_traffic(stream, TYPED_EVENT, EVENT_WINDOW, EVENT_SLIDE, spread=8)
+    out = _bounds(run_stream(found, "hot-windows"))
+    return out.withColumns({c: F.round(c, 9) for c in ("avg_duration", "bytes_per_connection")})
+
+
+def late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream in three parts, the last of them rows held back: what it counts, and the rows it drops.
+
+    Rows (``part``, ``event_id``, ``counted``): counted if their window was open when the part came. The
+    windows the stream wrote must hold exactly the counted rows of closed windows, and it must report
+    drops if any row is late; else the query fails.
+    """
+    everything = events(spark, sf)
+    low, high = everything.agg(F.min("ts"), F.max("ts")).first()
+    held_back, second = F.col("event_id") % 10 == 0, F.col("ts") >= F.lit(low + (high - low) / 2)
+    part = F.when(held_back, 2).when(second, 1).otherwise(0)
+    folder, out = fresh_path(spark, "parts"), fresh_path(spark, "late")
+    columns = ["event_id", "ts", "category"]
+    found, drops = None, 0
+    for number in range(3):
+        rows = everything.where(part == number).select(*columns)
+        rows.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        counted = traffic.windowed_counts(
+            traffic.with_late_bound(stream, "ts"), "ts", F.col("category") != "normal", EVENT_WINDOW
+        )
+        query = alerts.write_alerts(counted, "parquet", f"{out}-state", available_now=True, path=out)
+        query.awaitTermination()
+        (mark,) = progress.watermarks(query).values()
+        drops += progress.dropped(query)
+        late = progress.late_rows(rows, "ts", EVENT_WINDOW, mark).select("event_id", F.lit(False).alias("in_time"))
+        told = rows.join(late, "event_id", "left").select(
+            F.lit(number).cast("bigint").alias("part"), "event_id", "ts", F.coalesce("in_time", F.lit(True)).alias("counted")
+        )
+        found = told if found is None else found.unionByName(told)
+    found = stage(found, "told")
+    written = spark.read.schema(counted.schema).parquet(out).agg(F.coalesce(F.sum("count"), F.lit(0)), F.max("window.end")).first()
+    expected = found.where(F.col("counted") & (F.window("ts", EVENT_WINDOW).getField("end") <= F.lit(written[1]))).count()
+    if written[0] != expected or (drops > 0) != (not found.where("NOT counted").isEmpty()):
+        raise AssertionError(f"{written[0]} rows counted, {expected} expected, {drops} drops reported")
+    return found.drop("ts")
+
+
+def score_stream_apart(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream windows scored by a model of windows whose two kinds lie far apart: which kind each is of."""
+    far = F.when(F.col("attack_type") == "error", 10**9).otherwise(0)
+    apart = lambda df: _windows(df.withColumn("src_bytes", F.col("src_bytes") + far))
+    model = anomaly.cluster_pipeline(["bytes_per_connection", "connection_count", "avg_duration"]).fit(apart(events(spark, sf)))
+    path = fresh_path(spark, "model")
+    model.save(path)
+    centres = [c[0] for c in model.stages[-1].clusterCenters()]
+    scored = alerts.score_stream(apart(event_stream(spark, sf)), path).drop("features")
+    kind = (F.col("prediction") == centres.index(max(centres))).alias("far")
+    return _bounds(run_stream(scored, "scored")).select("window_start", "window_end", "attack_type", "connection_count", kind)
+
+
 # --- summary --------------------------------------------------------------
 
 
@@ -392,7 +477,7 @@ def chart_series(spark: SparkSession, sf: str) -> DataFrame:
 # Reports of the full set, by the section that holds them.
 REPORTS = {
     "basic": ("overview", "numeric_profile", "missing_counts", "data_stats", "categorical_top"),
-    "temporal": ("trend_points",),
+    "temporal": ("trend_points", "moving_average"),
     "protocol": (
         "protocol_distribution", "protocol_attack_relation", "service_distribution",
         "port_distribution",
@@ -414,7 +499,7 @@ def report_of(section: str, name: str) -> Query:
     def build(spark: SparkSession, sf: str) -> DataFrame:
         df = flows(spark, sf)
         df = flows_by_class(df) if section == "anomaly" else df
-        found = report.analyze(df, FLOW, [section], FLOW_ORDER, rel_error=0)[name]
+        found = report.analyze(df, FLOW, [section], FLOW_ORDER, rel_error=0, total_order=True)[name]
         if name == "numeric_profile":
             found = found.withColumns({"mean": F.round("mean", 9), "std": F.round("std", 4)})
         return as_long(found)
@@ -455,12 +540,89 @@ def csv_flows(spark: SparkSession, sf: str, header: bool = False) -> DataFrame:
 
 
 def written_reports(spark: SparkSession, sf: str) -> DataFrame:
-    """Reports written to files and read back."""
+    """Reports published as a set and read back through its manifest."""
     flow = flows(spark, sf)
-    found = {"services": distribution.service_distribution(flow, FLOW, None)}
-    path = write_reports(found, fresh_path(spark, "reports"), formats={"services": "csv"})
-    schema = "service string, count bigint"
-    return spark.read.schema(schema).csv(f"{path}/services", header=True)
+    found = {
+        "services": distribution.service_distribution(flow, FLOW, None),
+        "overview": profile.overview(flow),
+    }
+    folder = fresh_path(spark, "reports")
+    publish_reports(found, folder, formats={"services": "csv"})
+    return read_reports(spark, folder)["services"]
+
+
+def write_lines(lines: DataFrame, name: str) -> str:
+    """Text files with one line a row, in the column ``line``."""
+    path = fresh_path(lines.sparkSession, name)
+    lines.select("line").write.text(path)
+    return path
+
+
+CONNECTION_COLUMNS = {
+    "duration": "duration", "protocol_type": "proto", "service": "service", "flag": "state",
+    "src_bytes": "src_bytes", "dst_bytes": "dst_bytes", "count": "conn_count", "serror_rate": "serror_rate",
+}
+SYMBOLIC = ("protocol_type", "service", "flag")
+
+
+def connection_files(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Flows as connection CSV with a names file; lines of source 7 have a text for a number, those of 9 lack columns."""
+    listed = [f"{c}: {'symbolic' if c in SYMBOLIC else 'continuous'}." for c in CONNECTION_COLUMNS]
+    header = small_table(spark, [("back,neptune,normal.\n" + "\n".join(listed),)], "line string")
+    fields = [F.col(c).cast("string") for c in CONNECTION_COLUMNS.values()]
+    duration = F.when(F.col("src") == 7, F.lit("long")).otherwise(fields[0])
+    known = F.coalesce("attack_type", F.lit(""))
+    whole = F.concat_ws(",", duration, *fields[1:], known)
+    lines = F.when(F.col("src") == 9, F.concat_ws(",", *fields[:3])).otherwise(whole)
+    return write_lines(flows(spark, sf).select(lines.alias("line")), "connections"), write_lines(header, "names")
+
+
+def csv_connections(spark: SparkSession, sf: str) -> DataFrame:
+    return as_long(read_connections(spark, *connection_files(spark, sf)))
+
+
+def rejected_lines(spark: SparkSession, sf: str) -> DataFrame:
+    lines = rejected_connections(spark, *connection_files(spark, sf))
+    return lines.groupBy(F.col("line").startswith("long,").alias("text_for_number")).count()
+
+
+def prepared_connections(spark: SparkSession, sf: str) -> DataFrame:
+    """Connections from file to codes and categories."""
+    path, names = connection_files(spark, sf)
+    prepared = prepare.prepare_connections(read_connections(spark, path, names), default_taxonomy(spark))
+    return as_long(prepared)
+
+
+def prepared_flows(spark: SparkSession, sf: str) -> DataFrame:
+    """Flows through the usual chain, under the names of flow files."""
+    columns = {
+        "srcip": "src", "sport": "src_port", "dstip": "dst", "dsport": "dst_port", "proto": "proto",
+        "service": "service", "sbytes": "src_bytes", "dbytes": "dst_bytes", "dur": "duration",
+        "stcpb": "flow_id", "load": "price", "attack_category": "category", "label": "label",
+    }
+    renamed = flows(spark, sf).select(*(F.col(c).alias(n) for n, c in columns.items()))
+    prepared = prepare.prepare_flows(renamed, rel_error=0)
+    return as_long(prepared.drop("service_encoded", "proto", "service"))
+
+
+def taxonomy_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Attack names of the flows categorized by a taxonomy file made of them."""
+    named = flows(spark, sf).where("attack_type IS NOT NULL AND NOT attack_type LIKE 'normal%'")
+    lines = named.select(F.concat_ws(" ", "attack_type", "category").alias("line")).distinct()
+    taxonomy = read_taxonomy(spark, write_lines(lines, "taxonomy"))
+    found = enrich.categorize(flows(spark, sf), taxonomy, FLOW)
+    return as_long(_keyed(found, "attack_type", "attack_category"))
+
+
+def blocklist_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Flows from listed addresses, by a feed with comments, notes and lines that are no address."""
+    address = dotted(F.lit(10 << 24) + F.col("s_suppkey"))
+    negative, shape = F.col("s_acctbal") < 0, F.col("s_suppkey") % 3
+    line = F.when(~negative, F.concat(F.lit("# "), address)).when(shape == 0, F.concat(F.lit("  "), address, F.lit(" seen twice")))
+    line = line.when(shape == 1, address).otherwise(F.concat(F.lit("host-"), address))
+    feed = write_lines(table(spark, sf, "supplier").select(line.alias("line")), "feed")
+    addressed = flows(spark, sf).withColumn("src_ip", dotted(F.lit(10 << 24) + F.col("src")))
+    return as_long(_keyed(enrich.flag_threats(addressed, read_blocklist(spark, feed)), "is_malicious_ip"))
 
 
 QUERIES: dict[str, Query] = {
@@ -646,6 +808,12 @@ QUERIES: dict[str, Query] = {
     "csv_flows": csv_flows,
     "csv_flows_header": lambda spark, sf: csv_flows(spark, sf, True),
     "written_reports": written_reports,
+    "csv_connections": csv_connections,
+    "rejected_connections": rejected_lines,
+    "prepare_connections": prepared_connections,
+    "prepare_flows": prepared_flows,
+    "taxonomy_file": taxonomy_file,
+    "blocklist_file": blocklist_file,
     "categorize_default": _flow_query(lambda df: categorize(df, "unknown")),
     # streams
     "windowed_traffic": windowed_traffic,
@@ -653,6 +821,10 @@ QUERIES: dict[str, Query] = {
     "alert_rules": alert_rules,
     "alert_json": alert_json,
     "score_stream": score_stream,
+    "score_stream_apart": score_stream_apart,
+    "two_sinks": two_sinks,
+    "windowed_traffic_hot_source": hot_windows,
+    "late_rows": late_rows,
     # summary
     **{f"report_{name}": report_of(s, name) for s, names in REPORTS.items() for name in names},
     "key_findings": _findings,

@@ -14,7 +14,7 @@ from flowlens.operators import anomaly, behavior, distribution, profile
 from flowlens.operators.balance import oversample
 from flowlens.operators.clean import REL_ERROR
 from flowlens.operators.distribution import ROWS, TOP_HOSTS, TOP_VALUES
-from flowlens.operators.sequence import trend_points
+from flowlens.operators.sequence import moving_average, trend_points
 from flowlens.plans.measures import measure_together
 from flowlens.plans.staging import stage
 from flowlens.roles import Roles
@@ -148,6 +148,7 @@ def analyze(
     order: Sequence[str] | None = None,
     rel_error: float = REL_ERROR,
     balanced: bool = False,
+    total_order: bool = False,
 ) -> ReportSet:
     """Every report the table has the columns for, by name.
 
@@ -158,7 +159,8 @@ def analyze(
     the rows. The frequency quantile, the clustering and the trend (by
     ``order``, or else by duration) read the rows on their own. The reports
     are lazy, but profiles, frequent texts, host pairs, quantiles and clusters
-    are computed before this returns. ``balanced`` analyses the oversampled table instead.
+    are computed, and rows are numbered for the moving average, before this
+    returns. ``total_order`` states that no two rows tie on ``order``. ``balanced`` analyses the oversampled table instead.
     """
     if order is None and roles.has("duration"):
         order = [roles.duration]
@@ -257,9 +259,10 @@ def analyze(
         reports["anomaly_report"] = anomaly.anomaly_report_of(sums)
         reports["anomalies"] = anomaly.anomalies(clustered, roles)
     if order and bytes_known and "temporal" in wanted:
-        reports["trend_points"] = trend_points(
-            df.withColumn("_total", byte_sum(roles)), "_total", order
-        )
+        totals = df.withColumn("_total", byte_sum(roles))
+        reports["trend_points"] = trend_points(totals, "_total", order)
+        averaged = moving_average(totals.select(*order, "_total"), "_total", order, total_order=total_order)
+        reports["moving_average"] = averaged.select("time_index", F.col("_total").alias("total_bytes"), "bytes_moving_avg")
 
     if "summary" in wanted:
         if roles.has("label"):

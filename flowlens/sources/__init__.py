@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlens.sources.connections import read_connections, schema_from_names
+from flowlens.sources.connections import read_connections, rejected_connections, schema_from_names
 from flowlens.sources.events import EVENT_SCHEMA, parse_events, read_event_stream
 from flowlens.sources.flows import FLOW_SCHEMA, normalize_columns, read_flows
 from flowlens.sources.reference import default_taxonomy, read_blocklist, read_taxonomy
@@ -21,6 +21,7 @@ __all__ = [
     "read_event_stream",
     "read_flows",
     "read_taxonomy",
+    "rejected_connections",
     "schema_from_names",
 ]
 

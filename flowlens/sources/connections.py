@@ -9,6 +9,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from flowlens.functions.columns import plain_name
 from flowlens.operators.derive import binary_label
 
+_BAD_LINE = "_bad_line"
+
 
 def schema_from_names(spark: SparkSession, path: str) -> StructType:
     """Schema from lines ``name: continuous.`` or ``name: symbolic.``.
@@ -26,8 +28,30 @@ def schema_from_names(spark: SparkSession, path: str) -> StructType:
     return StructType([*columns, StructField("attack_type", StringType())])
 
 
+def _lines(spark: SparkSession, path: str, names: str) -> DataFrame:
+    """Every line (``line``) that is not blank, with its columns (``row``); a line that does not fit them is in ``_BAD_LINE``.
+
+    A line is judged by all its columns, whichever of them a query reads; a CSV scan looks only at those.
+    """
+    schema = schema_from_names(spark, names)
+    checked = StructType([*schema.fields, StructField(_BAD_LINE, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD_LINE}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in checked.fields)
+    return lines.select(F.col("value").alias("line"), F.from_csv("value", ddl, options).alias("row"))
+
+
 def read_connections(spark: SparkSession, path: str, names: str) -> DataFrame:
-    """Connection CSV with plain attack names and a 0/1 ``label``."""
-    df = spark.read.schema(schema_from_names(spark, names)).csv(path)
+    """Connection CSV with plain attack names and a 0/1 ``label``.
+
+    Lines with too few or too many columns, or with a text where a number belongs, are left out:
+    ``rejected_connections`` has them.
+    """
+    df = _lines(spark, path, names).where(F.col(f"row.{_BAD_LINE}").isNull()).select("row.*").drop(_BAD_LINE)
     named = df.withColumn("attack_type", plain_name(F.col("attack_type")))
     return binary_label(named, "attack_type")
+
+
+def rejected_connections(spark: SparkSession, path: str, names: str) -> DataFrame:
+    """The lines (``line``) that ``read_connections`` leaves out."""
+    return _lines(spark, path, names).where(F.col(f"row.{_BAD_LINE}").isNotNull()).select("line")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,3 +95,45 @@ def start_alerts(
         write_alerts(df, sink, f"{checkpoint_dir}/{sink}", available_now, **options)
         for sink, options in sinks.items()
     ]
+
+
+#: Writes one batch to one sink; called again with the same batch id after a failure.
+BatchSink = Callable[[DataFrame, int], None]
+
+
+def file_sink(kind: str, path: str) -> BatchSink:
+    """Rows of a batch in a folder of its own, which a repeated batch replaces; read with ``read_batches``."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").format(kind).save(f"{path}/batch={number}")
+
+    return write
+
+
+def read_batches(df: DataFrame, kind: str, path: str) -> DataFrame:
+    """All batches that a ``file_sink`` has written of the stream ``df``."""
+    return df.sparkSession.read.format(kind).schema(df.schema).load(f"{path}/batch=*")
+
+
+def write_to_all(
+    df: DataFrame, sinks: Mapping[str, BatchSink], checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """One query, one state and one checkpoint for several sinks.
+
+    Each batch is computed once and handed to every sink. If a sink fails, the batch is repeated for all of
+    them under the same number after a restart: sinks that replace what they have of a batch, as ``file_sink``
+    does, end with every row once.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for sink in sinks.values():
+                sink(batch, number)
+        finally:
+            batch.unpersist()
+
+    writer = df.writeStream.outputMode("append").foreachBatch(write)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.option("checkpointLocation", checkpoint).start()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.operators.derive import bytes_per_connection
-from flowlens.plans.exact import exact_sum, mean_of
+from flowlens.plans.exact import exact_sum
 from flowlens.roles import Roles
 
 LATE_BOUND = "10 seconds"
@@ -18,20 +18,39 @@ def with_late_bound(df: DataFrame, ts: str, bound: str = LATE_BOUND) -> DataFram
     return df.withWatermark(ts, bound)
 
 
+def _window_sums(df: DataFrame, keys: list, sums: dict[str, str], duration: str, rows: Column, timed: Column) -> DataFrame:
+    return df.groupBy(*keys).agg(
+        rows.alias("connection_count"),
+        *(F.sum(F.col(c).cast("bigint")).alias(total) for total, c in sums.items()),
+        exact_sum(duration, dict(df.dtypes)[duration]).alias("total_duration"),
+        timed.alias("timed_connections"),
+    )
+
+
 def windowed_traffic(
-    df: DataFrame, roles: Roles, size: str = WINDOW, slide: str | None = SLIDE
+    df: DataFrame, roles: Roles, size: str = WINDOW, slide: str | None = SLIDE, spread: int = 1
 ) -> DataFrame:
-    """Connections, bytes and mean duration per sliding window and source."""
+    """Connections, bytes and mean duration per sliding window and source.
+
+    With ``spread`` above 1 the rows of a source are first summed in so many parts, placed by their
+    content, and the parts of each window in a second step: a source with much of the traffic then
+    occupies several tasks and state stores. Results are the same.
+    """
     src, ts, src_bytes, dst_bytes, duration = roles.need(
         "src", "ts", "src_bytes", "dst_bytes", "duration"
     )
-    sums = df.groupBy(F.window(ts, size, slide), src).agg(
-        F.count("*").alias("connection_count"),
-        F.sum(F.col(src_bytes).cast("bigint")).alias("total_src_bytes"),
-        F.sum(F.col(dst_bytes).cast("bigint")).alias("total_dst_bytes"),
-        mean_of(exact_sum(duration, dict(df.dtypes)[duration]), duration).alias("avg_duration"),
-    )
-    return bytes_per_connection(sums)
+    sums = {"total_src_bytes": src_bytes, "total_dst_bytes": dst_bytes}
+    keys = [F.window(ts, size, slide).alias("window"), F.col(src)]
+    if spread > 1:
+        part = F.pmod(F.xxhash64(*(c for c in df.columns if c != src)), F.lit(spread)).alias("_part")
+        parts = _window_sums(df, [*keys, part], sums, duration, F.count("*"), F.count(duration))
+        keys, sums, duration = ["window", src], {name: name for name in sums}, "total_duration"
+        found = _window_sums(parts, keys, sums, duration, F.sum("connection_count"), F.sum("timed_connections"))
+    else:
+        found = _window_sums(df, keys, sums, duration, F.count("*"), F.count(duration))
+    mean = F.try_divide("total_duration", F.col("timed_connections").cast("double"))
+    columns = ["window", src, "connection_count", *sums, mean.alias("avg_duration")]
+    return bytes_per_connection(found.select(*columns))
 
 
 def windowed_counts(

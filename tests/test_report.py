@@ -6,7 +6,7 @@ import pytest
 
 from flowlens import Roles
 from flowlens.operators import anomaly, behavior, distribution, prepare, profile, report
-from flowlens.sinks import write_reports
+from flowlens.sinks import publish_reports, read_reports, write_reports
 from flowlens.sources import default_taxonomy
 
 
@@ -68,7 +68,9 @@ def test_every_report_equals_its_operator(flow, roles, reports, rows):
         "summary": report.summary(flow, roles),
         "key_findings": report.key_findings(flow, roles),
     }
-    later = {"trend_points", "kpis", "chart_series"}
+    later = {"trend_points", "moving_average", "kpis", "chart_series"}
+    assert reports["moving_average"].columns == ["time_index", "total_bytes", "bytes_moving_avg"]
+    assert reports["moving_average"].count() == flow.count()
     assert set(reports) == set(alone) | later
     for name, expected in alone.items():
         assert rows(reports[name]) == rows(expected), name
@@ -124,6 +126,26 @@ def test_write_reports(reports, tmp_path):
     assert len(records) == 6 and {r["attack_category"] for r in records} == {"DoS"}
 
 
+def test_readers_see_whole_sets_only(spark, tmp_path):
+    folder = str(tmp_path)
+    one, two = (spark.range(n).withColumnRenamed("id", "n") for n in (3, 5))
+    publish_reports({"a": one, "b": two}, folder, "first", {"b": "csv"})
+    assert {name: report.count() for name, report in read_reports(spark, folder).items()} == {"a": 3, "b": 5}
+
+    bad = spark.range(4).selectExpr("raise_error('stopped') AS n")
+    with pytest.raises(Exception, match="stopped"):
+        publish_reports({"a": two, "b": bad}, folder, "second")
+    assert {name: report.count() for name, report in read_reports(spark, folder).items()} == {"a": 3, "b": 5}
+    assert read_reports(spark, folder, "second") == {}
+
+    publish_reports({"a": two}, folder, "second")
+    assert {name: report.count() for name, report in read_reports(spark, folder).items()} == {"a": 5}
+    publish_reports({"a": one}, folder, "second")
+    assert read_reports(spark, folder, "second")["a"].dtypes == [("n", "bigint")]
+    assert read_reports(spark, folder, "second")["a"].count() == 3
+    assert read_reports(spark, folder, "first")["b"].count() == 5
+
+
 def test_prepare_flows(flow):
     table = flow.selectExpr("*", "if(sport = 1030, null, 'FIN') AS flag")
     found = prepare.prepare_flows(table, rel_error=0)

@@ -12,6 +12,7 @@ from flowlens.sources import (
     read_event_stream,
     read_flows,
     read_taxonomy,
+    rejected_connections,
     schema_from_names,
 )
 
@@ -109,6 +110,18 @@ def test_connections(spark, connections, rows):
     ]
 
 
+def test_rejected_connections(spark, connections, rows):
+    data, names = connections
+    with open(data, "a") as file:
+        file.write("4,tcp,many,normal.\n5,udp\n\n6,tcp,1,back.,more\n7,\"a,b\",2,back.\n")
+    kept = read_connections(spark, data, names)
+    assert kept.count() == 5 and kept.select("protocol_type").count() == 5
+    assert rows(kept.where("duration = 7"), "protocol_type", "src_bytes", "attack_type") == [("a,b", 2.0, "back")]
+    lost = rejected_connections(spark, data, names)
+    assert rows(lost) == [("4,tcp,many,normal.",), ("5,udp",), ("6,tcp,1,back.,more",)]
+    assert lost.count() == 3
+
+
 def test_reader_by_name(spark, connections, headerless):
     assert read_dataset(spark, "KDDCUP99", connections[0], connections[1]).count() == 4
     assert read_dataset(spark, "unsw_nb15", headerless).count() == 3

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flowlens import Roles
 from flowlens.sources import parse_events, read_event_stream
-from flowlens.streaming import alerts, traffic
+from flowlens.streaming import alerts, progress, traffic
 
 ROLES = Roles(
     src="src_ip", ts="timestamp", src_bytes="src_bytes", dst_bytes="dst_bytes", duration="duration"
@@ -158,6 +158,65 @@ def test_two_sinks_with_their_own_checkpoints(spark, folders):
     }
 
 
+def test_one_state_for_several_sinks(spark, folders, rows):
+    """A sink that fails after another has written: after a restart both have every row once."""
+    source, state, out = folders
+    files = [[event(s, f"h{s % 3}") for s in range(k * 100, k * 100 + 100, 10)] for k in range(3)]
+    stream = traffic.with_late_bound(as_stream(spark, source, *files), "timestamp")
+    found = traffic.windowed_traffic(stream, ROLES)
+    calls = []
+    second = alerts.file_sink("json", f"{out}/two")
+
+    def failing(batch, number):
+        calls.append(number)
+        if len(calls) == 2:
+            raise RuntimeError("stopped between the sinks")
+        second(batch, number)
+
+    sinks = {"one": alerts.file_sink("parquet", f"{out}/one"), "two": failing}
+    with pytest.raises(Exception, match="stopped between"):
+        alerts.write_to_all(found, sinks, state, available_now=True).awaitTermination()
+    alerts.write_to_all(found, sinks, state, available_now=True).awaitTermination()
+    assert calls[1] == calls[2]  # the same batch again
+    one, two = (
+        rows(traffic.window_bounds(alerts.read_batches(found, kind, f"{out}/{name}")))
+        for kind, name in (("parquet", "one"), ("json", "two"))
+    )
+    lines = spark.createDataFrame([(line,) for lines in files for line in lines], "value string")
+    batch = traffic.window_bounds(traffic.windowed_traffic(parse_events(lines), ROLES))
+    closed = batch.filter(F.col("window_end") <= F.lit(START + dt.timedelta(seconds=280)))
+    assert one == two == rows(closed) and len(one) > 10
+
+
+@pytest.mark.parametrize("spread", [2, 16])
+def test_spread_sources_have_the_same_windows(spark, folders, rows, spread):
+    source, state, out = folders
+    lines = [event(s / 3, "hot" if s % 3 else f"h{s % 5}", duration=0.1 * (s % 7)) for s in range(900)]
+    stream = traffic.with_late_bound(as_stream(spark, source, lines[:400], lines[400:], [event(900)]), "timestamp")
+    run(traffic.windowed_traffic(stream, ROLES, spread=spread), state, out)
+    got = traffic.window_bounds(spark.read.parquet(out))
+    whole = parse_events(spark.createDataFrame([(line,) for line in [*lines, event(900)]], "value string"))
+    batch = traffic.window_bounds(traffic.windowed_traffic(whole, ROLES))
+    closed = batch.filter(F.col("window_end") <= F.lit(START + dt.timedelta(seconds=890)))
+    near = [(*r[:-2], pytest.approx(r[-2]), r[-1]) for r in rows(closed)]
+    assert rows(got) == near and len(near) > 50
+
+
+def test_late_rows_are_told_from_progress(spark, folders):
+    source, state, out = folders
+    stream = traffic.with_late_bound(as_stream(spark, source, [event(5), event(200)], [event(201)], [event(30), event(190)]), "timestamp")
+    query = alerts.write_alerts(
+        traffic.windowed_traffic(stream, ROLES, "1 minute", None), "parquet", state, available_now=True, path=out
+    )
+    query.awaitTermination()
+    marks = progress.watermarks(query)
+    assert len(marks) == 3 and progress.dropped(query) == 1
+    last = parse_events(spark.createDataFrame([(event(30),), (event(190),)], "value string"))
+    late = progress.late_rows(last, "timestamp", "1 minute", marks[max(marks)]).collect()
+    assert [r.timestamp for r in late] == [START + dt.timedelta(seconds=30)]
+    assert progress.late_rows(last, "timestamp", "1 minute", progress.EPOCH).count() == 0
+
+
 def test_scoring_with_a_saved_model(spark, folders, rows):
     source, state, out = folders
     lines = [event(s, src_bytes=10 if s % 2 else 9000, src=f"h{s % 2}") for s in range(0, 400, 7)]
