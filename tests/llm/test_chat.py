@@ -74,13 +74,13 @@ def test_rewriting_templates_are_detected(spark):
     assert {r.conv_id: r.rewrites for r in blocks} == {1: False, 2: True}
 
 
-def test_long_conversations_of_templates_with_a_preamble_are_marked(spark):
+def test_a_preamble_in_a_long_conversation_is_no_rewrite(spark):
     def with_preamble(messages):
         return "BEGIN " + chat.marked_turns(messages)
 
     rows = [(1, n, "user", f"t{n}", "x") for n in range(40)] + [(2, 0, "user", "t", "x")]
     blocks = chat.format_conversations(spark.createDataFrame(rows, SCHEMA), with_preamble).collect()
-    assert {(r.conv_id, r.block): r.rewrites for r in blocks} == {(1, 0): False, (1, 1): True, (2, 0): False}
+    assert {(r.conv_id, r.block): r.rewrites for r in blocks} == {(1, 0): False, (1, 1): False, (2, 0): False}
 
 
 def test_long_conversations_are_rendered_whole(spark):
