@@ -10,7 +10,7 @@ probability by Platt's logistic fit.
 The model is fitted on the driver from at most ``SAMPLE`` labelled documents per class, drawn by a
 hash of the id, never from held-out folds. The labels are of documents: the toxic sentence of a
 toxic document is chosen anew after each fit. Scoring reads whole texts and needs no shuffle; the
-kernel values of distinct words are computed once per block.
+kernel values of known words are kept by each worker process, up to ``KNOWN_WORDS``.
 
 Defined cases: null and empty texts get the score of a text without sentences (near 0); without labelled rows
 of both classes all scores are 0; a document labelled twice counts as toxic if one label says so;
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -296,7 +297,7 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.number: dict[str, int] = {}
-        self.values = np.zeros((0, len(model.landmarks)), np.float32)
+        self.values = np.zeros((1 << 12, len(model.landmarks)), np.float32)
 
     def margins(self, texts: list[str]) -> np.ndarray:
         """The largest decision value over the sentences of each text; -inf without sentences."""
@@ -306,11 +307,16 @@ class Scorer:
         if not flat:
             return out
         if len(self.number) > KNOWN_WORDS:
-            self.number, self.values = {}, self.values[:0]
+            self.number = {}
         new = sorted(set(flat) - self.number.keys())
         if new:
-            self.number.update(zip(new, range(len(self.values), len(self.values) + len(new))))
-            self.values = np.concatenate([self.values, kernel(new, self.model.landmarks)])
+            start, end = len(self.number), len(self.number) + len(new)
+            self.number.update(zip(new, range(start, end)))
+            if end > len(self.values):
+                larger = np.zeros((2 * end, self.values.shape[1]), np.float32)
+                larger[:start] = self.values[:start]
+                self.values = larger
+            self.values[start:end] = kernel(new, self.model.landmarks)
         sizes = np.array([len(s) for doc in docs for s in doc])
         counts = np.array([len(doc) for doc in docs])
         found = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
@@ -324,6 +330,18 @@ class Scorer:
         return self.model.probability(self.margins(texts))
 
 
+#: The scorer of the last model a worker process has seen, with its known words.
+_current: dict[str, Scorer] = {}
+
+
+def scorer_of(token: str, model: Model) -> Scorer:
+    """One per worker process and model."""
+    if token not in _current:
+        _current.clear()
+        _current[token] = Scorer(model)
+    return _current[token]
+
+
 def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> list[tuple[int, str | None]]:
     """At most ``most`` (toxic, text) rows of each class, by a hash of the id."""
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("y"))
@@ -333,8 +351,9 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> list[tuple
         part = marked.where(F.col("y") == label).orderBy(order, "doc_id").limit(most)
         drawn = part if drawn is None else drawn.unionByName(part)
     # At most 2 * most rows of two integers.
-    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("y", "text")
-    return [(int(r["y"]), r["text"]) for r in found.limit(4 * most).collect()]
+    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    found = found.orderBy(order, "doc_id", F.xxhash64("text")).limit(4 * most)
+    return [(int(r["y"]), r["text"]) for r in found.select("y", "text").collect()]
 
 
 def held_out(modulus: int = 5, remainder: int = 0):
@@ -349,12 +368,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 def score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
     """``docs`` with the score of every row as a further column."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, token = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def start():
         if shared.value is None:
             return lambda texts: [[0.0] * len(texts)]
-        scorer = Scorer(shared.value)
+        scorer = scorer_of(token, shared.value)
         return lambda texts: [scorer.score(texts).tolist()]
 
     return append_columns(docs, {name: ("double", pa.float64())}, start, BLOCK_CHARS)
