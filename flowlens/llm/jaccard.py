@@ -140,6 +140,12 @@ def set_key(values: np.ndarray) -> int:
     return int.from_bytes(xxhash.xxh3_128_digest(values.tobytes())[:8], "little", signed=True)
 
 
+def _text_hash(text: str) -> int:
+    """What Spark's ``xxhash64`` gives for the text."""
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def signatures(values: np.ndarray, space: Space, light: int) -> np.ndarray:
     """Cells of a set, as signed 64-bit numbers."""
     found = []
@@ -162,17 +168,18 @@ def _ids(docs: DataFrame):
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc_id"), "text")
 
 
-_CELLS = "doc_id long, n long, k long, sigs array<long>"
+_CELLS = "doc_id long, h long, n long, k long, sigs array<long>"
 
 
 def _cells_of(docs: DataFrame, space: Space) -> DataFrame:
-    """``doc_id``, set size, set key and cells of every row; a task lists the cells of a set once."""
+    """``doc_id``, text hash, set size, set key and cells of every row; a task lists the cells of a set once."""
     light = space.light()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(space), set()
         nothing = np.zeros(0, np.int64)
         for ids, texts in text_blocks(batches, BLOCK_CHARS):
+            hashes = [_text_hash(t) for t in texts]
             sizes, keys, cells = [], [], []
             for values in shingler.sets(texts):
                 key = set_key(values)
@@ -185,24 +192,30 @@ def _cells_of(docs: DataFrame, space: Space) -> DataFrame:
             offsets = np.concatenate([[0], np.cumsum([len(c) for c in cells])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[pa.array(x, pa.int64()) for x in (ids, sizes, keys)],
+                    *[pa.array(x, pa.int64()) for x in (ids, hashes, sizes, keys)],
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(cells))),
                 ],
-                ["doc_id", "n", "k", "sigs"],
+                ["doc_id", "h", "n", "k", "sigs"],
             )
 
     return _ids(docs).mapInArrow(run, _CELLS)
 
 
+def _with_jobs(docs: DataFrame, per_doc: DataFrame) -> DataFrame:
+    """Documents with what is to be compared of them, by id and text: ids may repeat or be null."""
+    hashed = _ids(docs).withColumn("h", F.xxhash64("text"))
+    return hashed.join(per_doc, ["doc_id", "h"]).select("doc_id", "text", "k", "jobs")
+
+
 def _with_sets(docs: DataFrame, todo: DataFrame, classes: DataFrame, space: Space) -> DataFrame:
     """Rows of ``todo`` (grp, salt, role, k, d) with the shingles of ``k``, placed and sorted by group and role."""
     per_doc = stage(
-        todo.join(classes, "k").groupBy("doc_id", "k").agg(F.collect_list(F.struct("grp", "salt", "role", "d")).alias("jobs")),
+        todo.join(classes, "k").groupBy("doc_id", "h", "k").agg(F.collect_list(F.struct("grp", "salt", "role", "d")).alias("jobs")),
         "todo",
     )
     if per_doc.count() <= BROADCAST_DOCS:
         per_doc = F.broadcast(per_doc)
-    jobs = _ids(docs).join(per_doc, "doc_id").select("doc_id", "text", "k", "jobs")
+    jobs = _with_jobs(docs, per_doc)
     names = ["grp", "salt", "role", "d", "k", "shingles"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +224,7 @@ def _with_sets(docs: DataFrame, todo: DataFrame, classes: DataFrame, space: Spac
             for i in range(batch.num_rows):
                 text, key, listed = (batch.column(c)[i].as_py() for c in (1, 2, 3))
                 values = next(shingler.sets([text or ""]))
-                if set_key(values) != key:  # another row with the same id
+                if set_key(values) != key:  # another text with the same id and hash
                     continue
                 data = values.tobytes()
                 for part in range(0, len(listed), 256):
@@ -460,7 +473,7 @@ def near_duplicates(docs: DataFrame, space: Space = Space()) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     docs = docs.select("doc_id", "text")
     keys = stage(_cells_of(docs, space), "keys")
-    classes = stage(keys.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("doc_id")), "classes")
+    classes = stage(keys.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.min_by("h", "doc_id").alias("h")), "classes")
     roots = stage(components(find_links(docs, keys, classes, space)), "roots")
     labelled = classes.join(roots, "k", "left").select("k", "doc_id", F.coalesce("root", "k").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -104,3 +104,26 @@ def test_components_of_paths_and_stars(spark):
     expected = {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 30)} | {205: 203}
     assert got == expected
     assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_without_an_id_meet_their_own_work_only(spark, docs_of, monkeypatch):
+    rng = random.Random(11)
+    base = [[f"w{rng.randint(0, 10**6)}" for _ in range(60)] for _ in range(100)]
+    pairs = [(None, " ".join(words[i:])) for words in base for i in (0, 1)]
+    seen = []
+    joined = jaccard._with_jobs
+
+    def counted(docs, per_doc):
+        found = joined(docs, per_doc)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "_with_jobs", counted)
+    assert rows(jaccard.near_duplicates(docs_of(pairs), Space(3, 90))) == brute(pairs, Space(3, 90))
+    assert seen and max(seen) <= len(pairs)
+
+
+def test_text_hash_is_that_of_spark(spark):
+    texts = ["", "a", "ünï 😀", "x" * 1000]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "xxhash64(t) AS h").collect()
+    assert [jaccard._text_hash(r.t) for r in found] == [r.h for r in found]
