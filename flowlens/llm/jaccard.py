@@ -7,7 +7,9 @@ minus their Jaccard similarity, a metric. Documents link when the distance is at
 2. *Cells.* The shingle universe is split into more groups than linked sets can differ in shingles,
    so linked sets agree on whole groups; a cell holds the nodes that agree on one. The group count
    depends on the size class; a node whose partner may be of the class below stands in both.
-   Groups with very few shingles are left out while enough others are sure to agree.
+   Groups with very few shingles are left out while enough others are sure to agree. Linked sets
+   share many cells, not one, so each node leaves out its most common cells, one fewer than a link
+   needs. Texts that have no more than a passage in common are told apart here.
 3. *Regions.* Each cell names its smallest node as pivot; the nodes that name a pivot are its
    Voronoi region, whatever cells they came by. Distances to the pivot are measured once per node
    and pivot.
@@ -37,7 +39,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.llm.chunks import text_blocks
@@ -146,9 +148,15 @@ def _text_hash(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def signatures(values: np.ndarray, space: Space, light: int) -> np.ndarray:
-    """Cells of a set, as signed 64-bit numbers."""
-    found = []
+def signatures(values: np.ndarray, space: Space, light: int) -> tuple[np.ndarray, list[int]]:
+    """Cells of a set, as signed 64-bit numbers, and by their lowest bit how many a link needs.
+
+    Linked sets agree on all groups of a class but at most ``spread``. A set leaves out its groups below a
+    threshold, the highest one that leaves fewer out than are sure to agree. Two thresholds meet at the
+    higher one, so only a set at the highest possible threshold knows how many cells it shares with a
+    partner; any other needs one. The two classes of a set differ in the lowest bit.
+    """
+    found, needs = [], [1, 1]
     scrambled = mix(values ^ np.uint64(0x5851F42D4C957F2D))
     for number, groups, spread in space.classes(len(values)):
         group = (values % np.uint64(groups)).astype(np.int64)
@@ -157,22 +165,27 @@ def signatures(values: np.ndarray, space: Space, light: int) -> np.ndarray:
         sums = np.zeros(groups, np.uint64)
         full = np.flatnonzero(sizes)
         sums[full] = np.add.reduceat(scrambled[order], (np.cumsum(sizes) - sizes)[full])
-        few = sizes < light
-        kept = np.arange(groups) if few.sum() >= groups - spread else np.flatnonzero(~few)
+        least = next(t for t in range(light, -1, -1) if (sizes < t).sum() < groups - spread)
+        kept = np.flatnonzero(sizes >= least)
+        if least == light:
+            needs[number & 1] = len(kept) - spread
         place = mix((np.uint64(number) << np.uint64(40)) + kept.astype(np.uint64))
-        found.append(mix(sums[kept] ^ place))
-    return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+        found.append(mix(sums[kept] ^ place) & ~np.uint64(1) | np.uint64(number & 1))
+    return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64), needs
 
 
 def _ids(docs: DataFrame):
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc_id"), "text")
 
 
-_CELLS = "doc_id long, h long, n long, k long, sigs array<long>"
+_CELLS = "doc_id long, h long, n long, k long, even long, odd long, sigs array<long>"
 
 
 def _cells_of(docs: DataFrame, space: Space) -> DataFrame:
-    """``doc_id``, text hash, set size, set key and cells of every row; a task lists the cells of a set once."""
+    """``doc_id``, text hash, set size, set key, needed cells by lowest bit and cells of every row.
+
+    A task lists the cells of a set once.
+    """
     light = space.light()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,22 +193,25 @@ def _cells_of(docs: DataFrame, space: Space) -> DataFrame:
         nothing = np.zeros(0, np.int64)
         for ids, texts in text_blocks(batches, BLOCK_CHARS):
             hashes = [_text_hash(t) for t in texts]
-            sizes, keys, cells = [], [], []
+            sizes, keys, even, odd, cells = [], [], [], [], []
             for values in shingler.sets(texts):
                 key = set_key(values)
                 sizes.append(len(values))
                 keys.append(key)
                 new = len(values) and key not in seen
-                cells.append(signatures(values, space, light) if new else nothing)
+                sigs, needs = signatures(values, space, light) if new else (nothing, (None, None))
+                even.append(needs[0])
+                odd.append(needs[1])
+                cells.append(sigs)
                 if new and len(seen) < KNOWN_SETS:
                     seen.add(key)
             offsets = np.concatenate([[0], np.cumsum([len(c) for c in cells])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[pa.array(x, pa.int64()) for x in (ids, hashes, sizes, keys)],
+                    *[pa.array(x, pa.int64()) for x in (ids, hashes, sizes, keys, even, odd)],
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(cells))),
                 ],
-                ["doc_id", "h", "n", "k", "sigs"],
+                ["doc_id", "h", "n", "k", "even", "odd", "sigs"],
             )
 
     return _ids(docs).mapInArrow(run, _CELLS)
@@ -210,7 +226,7 @@ def _with_jobs(docs: DataFrame, per_doc: DataFrame) -> DataFrame:
 def _with_sets(docs: DataFrame, todo: DataFrame, classes: DataFrame, space: Space) -> DataFrame:
     """Rows of ``todo`` (grp, salt, role, k, d) with the shingles of ``k``, placed and sorted by group and role."""
     per_doc = stage(
-        todo.join(classes, "k").groupBy("doc_id", "h", "k").agg(F.collect_list(F.struct("grp", "salt", "role", "d")).alias("jobs")),
+        todo.join(classes.select("k", "doc_id", "h"), "k").groupBy("doc_id", "h", "k").agg(F.collect_list(F.struct("grp", "salt", "role", "d")).alias("jobs")),
         "todo",
     )
     if per_doc.count() <= BROADCAST_DOCS:
@@ -371,6 +387,20 @@ def _no_d():
     return F.lit(None).cast("double").alias("d")
 
 
+def _rare(cells: DataFrame, needs: DataFrame) -> DataFrame:
+    """Each node's shared cells of a class without the most common ones, one fewer than a link needs.
+
+    Both nodes of a link leave out less than what they share, in the same order, so their rarest common
+    cell stays; a node that shares fewer cells with all others together than a link needs keeps none.
+    """
+    shared = cells.groupBy("sig").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    odd = F.col("sig").bitwiseAND(F.lit(1).cast("long"))
+    need = F.when(odd == 1, F.col("need_odd")).otherwise(F.col("need_even"))
+    rows = cells.join(shared, "sig").join(needs, "k").select("sig", "k", "nodes", odd.alias("odd"), need.alias("need"))
+    order = Window.partitionBy("k", "odd").orderBy(F.desc("nodes"), "sig")
+    return rows.withColumn("place", F.row_number().over(order)).where("place >= need").select("sig", "k")
+
+
 def _regions(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Cells with their pivots, and the (p, k) pairs to measure."""
     pivots = cells.groupBy("sig").agg(F.min("k").alias("p"), F.max("k").alias("top")).where("p < top")
@@ -422,6 +452,7 @@ def find_links(docs: DataFrame, keys: DataFrame, classes: DataFrame, space: Spac
     rows = keys.select(F.explode("sigs").alias("sig"), "k")
     shared = rows.groupBy("sig").count().where("count > 1").select("sig")
     cells = stage(rows.join(shared, "sig").distinct(), "shared")
+    cells = stage(_rare(cells, classes.select("k", "need_even", "need_odd")), "rare")
     links = []
     for _ in range(ROUNDS):
         named, pairs = _regions(cells)
@@ -473,7 +504,10 @@ def near_duplicates(docs: DataFrame, space: Space = Space()) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     docs = docs.select("doc_id", "text")
     keys = stage(_cells_of(docs, space), "keys")
-    classes = stage(keys.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.min_by("h", "doc_id").alias("h")), "classes")
+    least = F.min(F.struct("doc_id", "h")).alias("least")
+    needs = [F.max("even").alias("need_even"), F.max("odd").alias("need_odd")]
+    classes = keys.where("n > 0").groupBy("k").agg(least, *needs)
+    classes = stage(classes.select("k", "least.*", "need_even", "need_odd"), "classes")
     roots = stage(components(find_links(docs, keys, classes, space)), "roots")
     labelled = classes.join(roots, "k", "left").select("k", "doc_id", F.coalesce("root", "k").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -83,6 +83,23 @@ def test_odd_rows(docs_of, odd):
     assert rows(jaccard.near_duplicates(docs_of([(1, None), (2, "")]))) == [(1, 0, 1), (2, 0, 2)]
 
 
+def test_texts_with_a_common_passage_leave_before_they_are_compared(docs_of, monkeypatch):
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{passage} " + " ".join(f"q{rng.randint(0, 10**6)}" for _ in range(700)) for _ in range(150)]
+    pairs = list(enumerate([*texts, texts[0].replace("p30", "changed")]))
+    compared = []
+    joined = jaccard._with_jobs
+
+    def counted(docs, per_doc):
+        compared.append(per_doc.count())
+        return joined(docs, per_doc)
+
+    monkeypatch.setattr(jaccard, "_with_jobs", counted)
+    assert rows(jaccard.near_duplicates(docs_of(pairs), Space(5, 80))) == brute(pairs, Space(5, 80))
+    assert max(compared) <= 4
+
+
 @pytest.mark.parametrize("space", [Space(3, 90), Space(5, 80), Space(2, 67), Space(2, 95)], ids=str)
 def test_linked_sets_share_a_cell(space):
     rng = np.random.default_rng(space.near)
@@ -95,7 +112,19 @@ def test_linked_sets_share_a_cell(space):
         a = np.unique(a)
         shared = len(np.intersect1d(a, b))
         if len(b) and shared < max(len(a), len(b)) and space.linked(shared, len(a), len(b)):
-            assert set(jaccard.signatures(a, space, light)) & set(jaccard.signatures(b, space, light))
+            (cells, need), (others, other_need) = (jaccard.signatures(x, space, light) for x in (a, b))
+            common = set(cells.tolist()) & set(others.tolist())
+            per_class = [sum(c & 1 == bit for c in common) for bit in (0, 1)]
+            assert any(n >= max(1, need[bit], other_need[bit]) for bit, n in enumerate(per_class))
+
+
+def test_short_unrelated_sets_share_no_empty_cell():
+    rng = np.random.default_rng(4)
+    space, counts = Space(3, 90), {}
+    for _ in range(5000):
+        for cell in set(jaccard.signatures(np.unique(rng.integers(0, 2**63, 10).astype(np.uint64)), space, space.light())[0].tolist()):
+            counts[cell] = counts.get(cell, 0) + 1
+    assert max(counts.values()) < 25
 
 
 def test_components_of_paths_and_stars(spark):
