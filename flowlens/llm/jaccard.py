@@ -48,8 +48,8 @@ from flowlens.plans.staging import stage
 ROUNDS = 2
 #: Streamed rows of a region, and held rows, in one block.
 STREAMED, HELD = 20_000, 400
-#: Most documents in a broadcast list of what to compare.
-BROADCAST_DOCS = 200_000
+#: Most entries of a broadcast list of what to compare, some 50 bytes each; a document counts as one more.
+BROADCAST_ENTRIES = 1_500_000
 CLASS_RATIO = 1.5
 SPARE_GROUPS = 1.25
 BLOCK_CHARS = 1_000_000
@@ -229,7 +229,8 @@ def _with_sets(docs: DataFrame, todo: DataFrame, classes: DataFrame, space: Spac
         todo.join(classes.select("k", "doc_id", "h"), "k").groupBy("doc_id", "h", "k").agg(F.collect_list(F.struct("grp", "salt", "role", "d")).alias("jobs")),
         "todo",
     )
-    if per_doc.count() <= BROADCAST_DOCS:
+    entries = per_doc.agg(F.sum(F.size("jobs") + 1)).first()[0] or 0
+    if entries <= BROADCAST_ENTRIES:
         per_doc = F.broadcast(per_doc)
     jobs = _with_jobs(docs, per_doc)
     names = ["grp", "salt", "role", "d", "k", "shingles"]
@@ -500,8 +501,12 @@ def components(links: DataFrame) -> DataFrame:
         edges = stage(edges.unionByName(least.select("u", F.col("m").alias("v"))).where("u > v").distinct(), "edges")
 
 
-def near_duplicates(docs: DataFrame, space: Space = Space()) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
+def grouped(docs: DataFrame, space: Space = Space()) -> DataFrame:
+    """Every row's ``doc_id``, text hash ``h``, ``n_shingles``, ``component_id`` and whether it is ``first``.
+
+    First is the row of a component with the smallest id, of several texts with that id the one with the
+    smallest hash; rows that repeat its id and text are first with it. A null text has the hash of an empty one.
+    """
     docs = docs.select("doc_id", "text")
     keys = stage(_cells_of(docs, space), "keys")
     least = F.min(F.struct("doc_id", "h")).alias("least")
@@ -509,11 +514,21 @@ def near_duplicates(docs: DataFrame, space: Space = Space()) -> DataFrame:
     classes = keys.where("n > 0").groupBy("k").agg(least, *needs)
     classes = stage(classes.select("k", "least.*", "need_even", "need_odd"), "classes")
     roots = stage(components(find_links(docs, keys, classes, space)), "roots")
-    labelled = classes.join(roots, "k", "left").select("k", "doc_id", F.coalesce("root", "k").alias("root"))
-    smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_key = labelled.join(smallest, "root").select("k", "component_id")
+    labelled = classes.join(roots, "k", "left").select("k", "doc_id", "h", F.coalesce("root", "k").alias("root"))
+    smallest = labelled.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("least"))
+    by_key = labelled.join(smallest, "root").select("k", "least")
     # Empty sets carry no key to a component; one side has one row per key.
-    full = keys.where("n > 0").join(by_key, "k").select("doc_id", "n", "component_id")
-    alone = keys.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    first = F.struct("doc_id", "h") == F.col("least")
+    full = keys.where("n > 0").join(by_key, "k").select("doc_id", "h", "n", "least.doc_id", first.alias("first"))
+    full = full.toDF("doc_id", "h", "n", "component_id", "first")
+    own = F.col("doc_id").alias("component_id")
+    alone = keys.where("n = 0").select("doc_id", "h", "n", own, F.lit(True).alias("first"))
     null_id = lambda name: F.when(F.col(name) != _NULL_ID, F.col(name)).alias(name)
-    return full.unionByName(alone).select(null_id("doc_id"), F.col("n").alias("n_shingles"), null_id("component_id"))
+    return full.unionByName(alone).select(
+        null_id("doc_id"), "h", F.col("n").alias("n_shingles"), null_id("component_id"), "first"
+    )
+
+
+def near_duplicates(docs: DataFrame, space: Space = Space()) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
+    return grouped(docs, space).select("doc_id", "n_shingles", "component_id")

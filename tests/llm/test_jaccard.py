@@ -64,7 +64,7 @@ def test_one_hot_group_in_small_blocks(docs_of, monkeypatch):
     """Chains through the windows: copies drift step by step, so that no pivot sees all."""
     monkeypatch.setattr(jaccard, "STREAMED", 7)
     monkeypatch.setattr(jaccard, "HELD", 3)
-    monkeypatch.setattr(jaccard, "BROADCAST_DOCS", 0)
+    monkeypatch.setattr(jaccard, "BROADCAST_ENTRIES", 0)
     rng = random.Random(8)
     words = [f"w{i}" for i in range(300)]
     texts = []
@@ -156,3 +156,26 @@ def test_text_hash_is_that_of_spark(spark):
     texts = ["", "a", "ünï 😀", "x" * 1000]
     found = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "xxhash64(t) AS h").collect()
     assert [jaccard._text_hash(r.t) for r in found] == [r.h for r in found]
+
+
+def test_first_rows_of_components(docs_of):
+    """One text of a component is first: smallest id, null below all, then smallest hash."""
+    text = " ".join(f"w{i}" for i in range(80))
+    near = text.replace("w40", "x")
+    pairs = [(None, near), (5, text), (5, text), (6, near), (6, "something else here"), (7, ""), (7, None)]
+    found = jaccard.grouped(docs_of(pairs), Space(3, 90))
+    rows = sorted(((r.doc_id, r.n_shingles, r.component_id, r.first) for r in found.collect()), key=repr)
+    assert rows == sorted(
+        [
+            (None, 78, None, True),
+            (5, 78, None, False),
+            (5, 78, None, False),
+            (6, 78, None, False),
+            (6, 1, 6, True),
+            (7, 0, 7, True),
+            (7, 0, 7, True),
+        ],
+        key=repr,
+    )
+    both = [r.first for r in jaccard.grouped(docs_of([(1, text), (1, near), (2, near)]), Space(3, 90)).collect()]
+    assert sorted(both) == [False, False, True]
