@@ -1,8 +1,10 @@
 """Cleaning of a document corpus in named stages, each written and read again.
 
 toxicity: rejected documents go. line_dedup: lines of earlier documents go, every document stays.
-near_duplicates: of each group linked by five-word shingles at a similarity of 0.8, the document with
-the smallest id stays. decontamination: documents contaminated by the benchmark go. bpe: the others
+near_duplicates: of each group linked by five-word shingles at a similarity of 0.8, one row stays: that
+with the smallest id (a null id is below all others), of several texts with this id the one with the
+smallest hash, of rows that repeat both the one whose other columns are smallest. Texts without words are
+in no group and all stay; a text that only shares its id with a copy stays. decontamination: documents contaminated by the benchmark go. bpe: the others
 are encoded. All but the last return the columns of documents; a null text counts as empty where it
 is rewritten.
 """
@@ -39,11 +41,23 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.near_duplicates(docs, jaccard.Space(words=5, near=80))
-    others = stage(found.where("doc_id > component_id OR component_id IS NULL").select("doc_id").distinct(), "others")
+    found = jaccard.grouped(docs, jaccard.Space(words=5, near=80))
+    id_name, hash_name, kind = (unused(docs, c) for c in ("near_id", "near_hash", "near_kind"))
+    rows = found.groupBy(F.col("doc_id").alias(id_name), F.col("h").alias(hash_name)).agg(
+        F.count("*").alias("n"), F.min("first").alias("first"), F.min("n_shingles").alias("size")
+    )
+    # Rows that go, and rows of which one stays; all others are as they were.
+    marked = F.when(~F.col("first"), "goes").when((F.col("n") > 1) & (F.col("size") > 0), "repeated")
+    others = stage(rows.select(id_name, hash_name, marked.alias(kind)).where(F.col(kind).isNotNull()), "others")
     if others.count() <= BROADCAST_IDS:
         others = F.broadcast(others)
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(id_name))
+    same &= F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(hash_name)
+    joined = docs.join(others, same, "left")
+    single = joined.where(F.col(kind).isNull()).select(docs.columns)
+    whole = F.min(F.struct(*docs.columns)).alias("row")
+    repeated = joined.where(F.col(kind) == "repeated").groupBy(id_name, hash_name).agg(whole)
+    return single.unionByName(repeated.select("row.*"))
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
