@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import xxhash
 
 import corpus_pipeline
 from flowlens.llm import bpe, toxicity
@@ -37,6 +38,19 @@ def corpus():
     return pairs, labels, items
 
 
+def kept_of_groups(pairs, space=Space(5, 80)):
+    """One row of each group: smallest id (null below all), then smallest hash; all rows without words."""
+    hashed = lambda t: (xxhash.xxh64_intdigest((t or "").encode(), 42) + 2**63) % 2**64 - 2**63
+    rank = lambda p: (-(2**63) if p[0] is None else p[0], hashed(p[1]))
+    kept, groups = [], {}
+    for n, size, group in near_groups([(n, t) for n, (_, t) in enumerate(pairs)], space):
+        if size:
+            groups.setdefault(group, []).append(pairs[n])
+        else:
+            kept.append(pairs[n])
+    return kept + [min(group, key=rank) for group in groups.values()]
+
+
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     pairs, labels, items = corpus()
@@ -72,8 +86,8 @@ def test_every_stage_against_brute_force(spark, folder):
         elif name == "line_dedup":
             expected = [(i, t) for i, _, _, t in expected_lines(before)]
         elif name == "near_duplicates":
-            keepers = {i for i, _, c in near_groups(before, Space(5, 80)) if i == c}
-            expected = [p for p in before if p[0] in keepers]
+            expected = kept_of_groups(before)
+            assert (3, pairs[3][1]) in before and before.count((3, pairs[3][1])) == 2
         elif name == "decontamination":
             bad = {r[0] for r in contaminated(before, items) if r[4]}
             expected = [p for p in before if p[0] not in bad]
@@ -102,3 +116,18 @@ def test_stages_of_empty_tables(spark, folder):
     for name, step in corpus_pipeline.STAGES:
         docs = corpus_pipeline.stage(step(spark, docs, folder), name)
         assert docs.count() == 0
+
+
+def test_one_row_of_each_group_stays(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(80))
+    near, other, third = text.replace("w40", "x"), "quite another text that stays", "text of a row without id"
+    rows = [(1, text, "a"), (2, near, "a"), (2, other, "a"), (None, third, "b"), (None, third, "b"), (7, third, "b")]
+    rows += [(9, "seen twice with other columns", "d"), (9, "seen twice with other columns", "c"), (9, "", "e"), (9, "", "e")]
+    rows += [(10, None, "f"), (None, "w1 alone", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, near_id string").repartition(5)
+    expected = [rows[0], rows[2], rows[3], rows[7], *rows[8:]]
+    for most in (corpus_pipeline.BROADCAST_IDS, 0):
+        monkeypatch.setattr(corpus_pipeline, "BROADCAST_IDS", most)
+        kept = corpus_pipeline.remove_near_duplicates(spark, docs, "")
+        assert kept.columns == docs.columns
+        assert sorted(map(tuple, kept.collect()), key=repr) == sorted(expected, key=repr)
