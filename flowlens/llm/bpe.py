@@ -5,8 +5,12 @@ depth-first order. Along each path the last token of every prefix is found from
 shorter prefixes: the token that ends there and fits the one before it. Words with a common prefix
 share these states. An encoding is read back from the end by following the last tokens.
 
-A worker keeps the encodings of about ``KNOWN_WORDS`` words; beyond, it keeps those of the current
-block. This bounds memory and changes no result. No shuffle is needed.
+A worker keeps the encodings of about ``KNOWN_WORDS`` words, beyond that those of the current block, and
+what it knows of at most ``KNOWN_PAIRS`` token pairs. This bounds memory and changes no result. No shuffle
+is needed.
+
+The vocabulary file says how text is cut before encoding. A file that asks for more than byte-level
+cutting and plain merges (normalizers, word ends, dropout, ...) is refused, as its ids would be wrong.
 
 Defined cases: a null text is empty and has no tokens; the special token's string inside a text is
 its one token, as in the tokenizer's own library; repeated rows are encoded one by one.
@@ -29,7 +33,8 @@ from flowlens.llm.chunks import text_blocks
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 BLOCK_CHARS = 2_000_000
 KNOWN_WORDS = 250_000
-#: Fixed value: how the byte-level pre-tokenizer cuts text.
+KNOWN_PAIRS = 1_000_000
+#: Fixed value: how the byte-level pre-tokenizer cuts text if the file names no pattern.
 WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -45,10 +50,33 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def cutting(spec: dict) -> str:
+    """The pattern by which a vocabulary file cuts text; an error if the file asks for anything else."""
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    unusual = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix") if model.get(k)]
+    unusual += [k for k in ("byte_fallback", "ignore_merges") if model.get(k)]
+    unusual += ["normalizer"] if spec.get("normalizer") else []
+    unusual += [k for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip") if t.get(k)]
+    if model.get("type", "BPE") != "BPE" or unusual:
+        raise ValueError(f"not a plain byte-level BPE vocabulary: {model.get('type')} {sorted(set(unusual))}")
+    steps = cut.get("pretokenizers", [cut])
+    last = steps[-1]
+    if last.get("type") == "ByteLevel" and not last.get("add_prefix_space"):
+        if len(steps) == 1 and last.get("use_regex", True):
+            return WORDS
+        pattern = steps[0].get("pattern", {}).get("Regex")
+        isolated = steps[0].get("type") == "Split" and steps[0].get("behavior") == "Isolated"
+        if len(steps) == 2 and pattern and isolated and not steps[0].get("invert") and not last.get("use_regex", True):
+            # White space is that of Unicode there.
+            return pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+    raise ValueError(f"unknown pre-tokenizer: {json.dumps(cut)}")
+
+
 class PrefixEncoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        pattern = cutting(spec)
         byte_of = {letter: b for b, letter in enumerate(byte_letters())}
         as_bytes = lambda token: bytes(byte_of[c] for c in token)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -60,7 +88,8 @@ class PrefixEncoder:
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = map(as_bytes, pair.split(" ") if isinstance(pair, str) else pair)
             self.merged[self.id_of[left], self.id_of[right]] = (rank, self.id_of[left + right])
-        self.pattern = regex.compile(WORDS)
+        self.pattern = regex.compile(pattern)
+        self.whole = pattern == WORDS  # leaves nothing between its matches
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self._fits: dict[int, bool] = {}
         self._known: dict[str, bytes] = {}
@@ -82,6 +111,8 @@ class PrefixEncoder:
         known = self._fits.get(key)
         if known is None:
             whole = self.bytes_of[right] if left < 0 else self.bytes_of[left] + self.bytes_of[right]
+            if len(self._fits) >= KNOWN_PAIRS:
+                self._fits.clear()
             known = self.merge(whole) == ([right] if left < 0 else [left, right])
             self._fits[key] = known
         return known
@@ -121,12 +152,22 @@ class PrefixEncoder:
     def words(self, text: str) -> list[str]:
         """Pieces that are encoded apart; special strings stand alone."""
         if self.cut is None or not any(s in text for s in self.special):
-            return self.pattern.findall(text)
+            return self.pieces(text)
         found = []
         for n, part in enumerate(self.cut.split(text)):
-            found += [part] if n % 2 else self.pattern.findall(part)
+            found += [part] if n % 2 else self.pieces(part)
         return found
 
+    def pieces(self, text: str) -> list[str]:
+        """What the pattern matches, and what lies between."""
+        if self.whole:
+            return self.pattern.findall(text)
+        found, at = [], 0
+        for match in self.pattern.finditer(text):
+            found += [text[at : match.start()], match[0]]
+            at = match.end()
+        return [piece for piece in [*found, text[at:]] if piece]
+
     def encode_block(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [self.words(t) for t in texts]

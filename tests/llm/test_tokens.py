@@ -1,5 +1,7 @@
+import json
 import random
 
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
@@ -79,3 +81,42 @@ def test_limits_between_lengths_and_quantiles(docs_of, library):
 
 def test_no_documents(docs_of):
     assert tokens.suffix_sums(tokens.histogram(docs_of([]))).count() == 0
+
+
+def _odd_texts(n):
+    rng = random.Random(n)
+    letters = "abcde  \n\t019.,'sß漢字😀\u00a0\x1c-"
+    return ["".join(rng.choices(letters, k=rng.randint(0, 300))) + " it's <|endoftext|> x" for _ in range(60)]
+
+
+def test_known_pairs_are_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_PAIRS", 7)
+    encoder, texts = bpe.PrefixEncoder(bpe.VOCABULARY), _odd_texts(1)
+    expected = Tokenizer.from_file(bpe.VOCABULARY).encode_batch(texts, add_special_tokens=False)
+    assert [list(bpe.unpacked(c)) for c in encoder.encode_block(texts)] == [e.ids for e in expected]
+    assert len(encoder._fits) <= 7
+
+
+@pytest.mark.parametrize("pattern", [r"\p{N}{1,3}| ?\p{L}+|\s+(?!\S)|\s+", r"[^\s\p{L}]+|\p{L}{2,}"])
+def test_the_file_says_how_text_is_cut(tmp_path, pattern):
+    with open(bpe.VOCABULARY, encoding="utf-8") as file:
+        spec = json.load(file)
+    split = {"type": "Split", "pattern": {"Regex": pattern}, "behavior": "Isolated", "invert": False}
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [split, plain]}
+    path = str(tmp_path / "cut.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(spec, file)
+    texts = _odd_texts(2)
+    expected = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert [list(bpe.unpacked(c)) for c in bpe.PrefixEncoder(path).encode_block(texts)] == [e.ids for e in expected]
+
+
+def test_other_kinds_of_vocabulary_are_refused(tmp_path):
+    with pytest.raises(ValueError, match="end_of_word_suffix"):
+        bpe.PrefixEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    with open(bpe.VOCABULARY, encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    with pytest.raises(ValueError, match="pre-tokenizer"):
+        bpe.cutting(spec)
