@@ -8,8 +8,9 @@ pairs of a template follow each other. The model is trained on notice templates,
 rule, against a bounded sample of ordinary lines of the corpus and of texts about licences that grant
 none. Probabilities are calibrated by a temperature fitted on held-back examples; a piece that is not
 surely of one family stays unknown. A finding counts when the word sequence of the best template of
-its family confirms it. Of overlapping findings the one with most words of a template stays: a
-finding is a notice, with its first and last line.
+its family confirms it, and when the words that tell related licences apart (Affero, Lesser,
+NonCommercial, ShareAlike, NoDerivatives) are just those of the family. Of overlapping findings the one with most words of a template stays: a
+finding is a notice, with its first and last line, and its version where the family has several.
 
 Training runs on the driver over at most ``SAMPLE_LINES`` lines. Scanning reads whole texts and
 needs no shuffle: word n-grams that no template has do not change a score, so a paragraph costs one
@@ -64,17 +65,31 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "following disclaimer.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Released under the BSD License.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ),
-    "cc-by": (
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY 4.0.",
-        "SPDX-License-Identifier: CC-BY-4.0",
+    "boost": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+        "and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, "
+        "distribute, execute, and transmit the Software",
+        "SPDX-License-Identifier: BSL-1.0",
     ),
-    "cc-by-nc": (
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-        "Licensed under CC BY-NC 4.0.",
-        "SPDX-License-Identifier: CC-BY-NC-4.0",
+    "cc0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work.",
+        "This work is dedicated to the public domain under the CC0 1.0 Universal Public Domain Dedication.",
+        "https://creativecommons.org/publicdomain/zero/1.0/",
+        "SPDX-License-Identifier: CC0-1.0",
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "v2.0 which accompanies this distribution.",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+        "SPDX-License-Identifier: EPL-1.0",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -82,13 +97,30 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "Licensed under the GNU GPL, version 2 or later.",
+    ),
+    "agpl": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "Licensed under the GNU AGPL, version 3 or later.",
     ),
     "lgpl": (
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
         "General Public License as published by the Free Software Foundation.",
         "Licensed under the GNU Lesser General Public License, version 2.1.",
-        "SPDX-License-Identifier: LGPL-2.1-only",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library "
+        "General Public License as published by the Free Software Foundation.",
+        "Licensed under the GNU LGPL, version 2.1 or later.",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
     ),
     "mit": (
         "Released under the MIT License.",
@@ -104,7 +136,64 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
         "SPDX-License-Identifier: MPL-2.0",
     ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code "
+        "form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions",
+        "SPDX-License-Identifier: Zlib",
+    ),
 }
+#: What Creative Commons licences are put together from, and versions that occur.
+CC_PARTS = {"by": "Attribution", "nc": "NonCommercial", "sa": "ShareAlike", "nd": "NoDerivatives"}
+CC_KINDS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
+CC_VERSIONS = ("3.0", "4.0")
+GNU_NAMES = {"gpl": "General", "lgpl": "Lesser General", "agpl": "Affero General"}
+GNU_VERSIONS = {"gpl": ("2.0", "3.0"), "lgpl": ("2.0", "2.1", "3.0"), "agpl": ("3.0",)}
+
+
+def _families() -> dict[str, tuple[str, ...]]:
+    """``TEMPLATES`` above with what follows from the rules of names."""
+    found = dict(TEMPLATES)
+    for family, versions in GNU_VERSIONS.items():
+        number = versions[0].removesuffix(".0")
+        found[family] += (f"This program is distributed under the GNU {GNU_NAMES[family]} Public License, version {number}.",)
+        ids = [f"{family.upper()}-{v}-{more}" for v in versions for more in ("only", "or-later")]
+        found[family] += tuple(f"SPDX-License-Identifier: {name}" for name in ids)
+    for kind in CC_KINDS:
+        name = "-".join(CC_PARTS[part] for part in kind.split("-"))
+        texts = [
+            f"This work is licensed under a Creative Commons {name} 4.0 International License.",
+            f"This work is licensed under the Creative Commons {name} License.",
+            f"Licensed under CC {kind.upper()} 4.0.",
+            f"https://creativecommons.org/licenses/{kind}/4.0/",
+        ]
+        older = name.replace("NoDerivatives", "NoDerivs")
+        texts.append(f"This work is licensed under a Creative Commons {older} 3.0 Unported License.")
+        if kind != "by":  # written with blanks
+            spaced = re.sub("(?<=[a-z])(?=[A-Z])|-", " ", name)
+            texts.append(f"This work is licensed under a Creative Commons {spaced} 4.0 International License.")
+        ids = [f"CC-{kind.upper()}-{v}" for v in CC_VERSIONS]
+        found[f"cc-{kind}"] = (*texts, *(f"SPDX-License-Identifier: {name}" for name in ids))
+    return found
+
+
+TEMPLATES = _families()
+#: Words that tell related families apart, by what they stand for.
+TELLING = {
+    "affero": "affero", "agpl": "affero", "lesser": "lesser", "lgpl": "lesser", "librarygeneral": "lesser",
+    "nc": "nc", "noncommercial": "nc", "sa": "sa", "sharealike": "sa", "nd": "nd", "noderivatives": "nd", "noderivs": "nd",
+}
+#: Words before and behind a piece that may tell its family.
+TELLING_REACH = 2, 4
+VERSIONED = {*GNU_VERSIONS, *(f"cc-{kind}" for kind in CC_KINDS), "epl"}
+_VERSION = re.compile(r"(?:^|-)v?(\d(?:\.\d)?)(?:-|$)")
 #: Texts that use the same words and grant nothing.
 ABOUT_LICENCES = (
     "the driver showed a license and the officer wrote down the version of events",
@@ -120,6 +209,20 @@ ABOUT_LICENCES = (
     "any person may use the file in the project root",
     "all rights reserved by the author of this work",
 )
+#: Texts of other licences, which are of no family.
+FOREIGN = (
+    "all rights reserved no part of this publication may be reproduced or distributed in any form without the prior "
+    "written permission of the publisher",
+    "permission is granted to copy distribute and or modify this document under the terms of the GNU Free Documentation "
+    "License version 1.3 or any later version published by the Free Software Foundation",
+    "this software is licensed under a commercial agreement and may not be copied or modified without written consent",
+    "licensed under the Business Source License version 1.1",
+    "this program is available under the Server Side Public License version 1 as published by the company",
+    "you may use this file for personal and educational purposes only commercial use requires a separate license",
+    "this work is protected by copyright and may not be distributed or sold without permission",
+    "released under a proprietary license",
+    "licensed under the terms of your agreement with the vendor",
+)
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 
 
@@ -145,14 +248,45 @@ def grams(found: list[str]) -> list[str]:
     return found + [f"{a} {b}" for a, b in zip(found, found[1:])]
 
 
+def telling(found: list[str]) -> set[str]:
+    """What the words say of related families."""
+    parts = [part for w in found for part in w.split("-")]
+    both = map("".join, zip(parts, parts[1:]))
+    return {TELLING[w] for w in (*parts, *both) if w in TELLING}
+
+
+def _family_tells(family: str) -> set[str] | None:
+    """What a text of the family has to say; None if it is like no other."""
+    if family in GNU_VERSIONS or family.startswith("cc-"):
+        return set().union(*(telling(words(text)) for text in TEMPLATES[family]))
+    return None
+
+
+def version(found: list[str]) -> str | None:
+    """The first version number among the words."""
+    numbers = (m[1] for w in found if (m := _VERSION.search(w)))
+    number = next(numbers, None)
+    return number if number is None or "." in number else f"{number}.0"
+
+
 def _examples() -> list[tuple[str, list[str]]]:
-    """Templates, long ones also in pieces, and versions with words left out or added."""
+    """Templates, long ones also in pieces, and versions with words left out or added.
+
+    A piece of which each n-gram occurs in another family too says nothing of its own and is no example.
+    """
     found = []
+    owners: dict[str, set[str]] = {}
+    for family, texts in TEMPLATES.items():
+        for text in texts:
+            for g in grams(words(text)):
+                owners.setdefault(g, set()).add(family)
     for family, texts in TEMPLATES.items():
         for text in texts:
             whole = words(text)
             pieces = [whole] + [whole[at : at + 14] for at in range(0, max(0, len(whole) - 8), 5) if len(whole) > 14]
             for piece in pieces:
+                if piece is not whole and all(len(owners[g]) > 1 for g in grams(piece)):
+                    continue
                 found.append((family, piece))
                 for seed in range(4):
                     drop = crc32(f"{seed} {' '.join(piece)}".encode()) % max(1, len(piece))
@@ -197,7 +331,7 @@ def _matrix(texts: list[list[str]], number: dict[str, int]) -> np.ndarray:
 
 def train(ordinary: list[str], rounds: int = 300, decay: float = 3e-4) -> Model:
     examples = _examples()
-    negative = [(UNKNOWN, w) for line in (*ABOUT_LICENCES, *ordinary) for w in windows(line)[:1]]
+    negative = [(UNKNOWN, w) for line in (*ABOUT_LICENCES, *FOREIGN, *ordinary) for w in windows(line)[:1]]
     families = [UNKNOWN, *sorted(TEMPLATES)]
     number = {g: i for i, g in enumerate(sorted({g for _, found in examples for g in grams(found)}))}
     rows = examples + negative + [(UNKNOWN, [])]
@@ -205,19 +339,23 @@ def train(ordinary: list[str], rounds: int = 300, decay: float = 3e-4) -> Model:
     x, y = _matrix([found for _, found in rows], number), np.array([families.index(f) for f, _ in rows])
     weight = 1 / np.bincount(y, minlength=len(families))[y]
     weight[y == 0] *= 2
-    w, b = np.zeros((len(number), len(families)), np.float32), np.zeros(len(families), np.float32)
-    speed_w, speed_b, truth = np.zeros_like(w), np.zeros_like(b), np.eye(len(families), dtype=np.float32)[y]
-
-    def gradient(use):
-        z = x[use] @ w + b
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        wrong = (truth[use] - z / z.sum(axis=1, keepdims=True)) * (weight[use] / weight[use].sum())[:, None]
-        return (x[use].T @ wrong - decay * w).astype(np.float32), wrong.sum(axis=0).astype(np.float32)
-
-    for _ in range(rounds):
-        dw, db = gradient(~held)
-        speed_w, speed_b = 0.9 * speed_w + dw, 0.9 * speed_b + db
-        w, b = w + 6 * speed_w, b + 2 * speed_b
+    truth = np.eye(len(families), dtype=np.float32)[y]
+
+    def fit(use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w, b = np.zeros((len(number), len(families)), np.float32), np.zeros(len(families), np.float32)
+        speed_w, speed_b = np.zeros_like(w), np.zeros_like(b)
+        learned, goal, share = x[use], truth[use], (weight[use] / weight[use].sum())[:, None].astype(np.float32)
+        for _ in range(rounds):
+            z = learned @ w + b
+            z = np.exp(z - z.max(axis=1, keepdims=True))
+            wrong = (goal - z / z.sum(axis=1, keepdims=True)) * share
+            speed_w = 0.9 * speed_w + learned.T @ wrong - np.float32(decay) * w
+            speed_b = 0.9 * speed_b + wrong.sum(axis=0)
+            w, b = w + 6 * speed_w, b + 2 * speed_b
+        return w, b
+
+    # Calibrated on examples that the first fit has not seen; the model itself learns from all.
+    w, b = fit(~held)
     scores = x[held] @ w + b
 
     def loss(t):
@@ -227,6 +365,7 @@ def train(ordinary: list[str], rounds: int = 300, decay: float = 3e-4) -> Model:
         return -(logs[np.arange(len(z)), y[held]] * weight[held]).sum()
 
     temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0), key=loss) if held.any() else 1.0
+    w, b = fit(np.ones(len(rows), bool))
     orders = {f: [(t, set(zip(t, t[1:]))) for t in map(words, texts)] for f, texts in TEMPLATES.items()}
     return Model(families, number, w, b, temperature, orders)
 
@@ -323,9 +462,10 @@ def _notices(found: list[tuple[int, int, int, str, float, float]]) -> list[tuple
     return kept
 
 
-def scan_texts(texts: list[str], model: Model) -> list[list[tuple[int, str, float, float, int]]]:
-    """(first line, family, probability, overlap, last line) of the notices of each text."""
-    result: list[list[tuple[int, str, float, float, int]]] = [[] for _ in texts]
+def scan_texts(texts: list[str], model: Model) -> list[list[tuple[int, str, float, float, int, str | None]]]:
+    """(first line, family, probability, overlap, last line, version) of the notices of each text."""
+    result: list[list[tuple[int, str, float, float, int, str | None]]] = [[] for _ in texts]
+    tells = {family: _family_tells(family) for family in TEMPLATES}
     finder, get = Finder(model), model.number.get
     family_pairs = {f: set().union(*(own for _, own in orders)) for f, orders in model.orders.items()}
     repeats = {f: [Counter(zip(t, t[1:])) for t, _ in orders] for f, orders in model.orders.items()}
@@ -345,7 +485,9 @@ def scan_texts(texts: list[str], model: Model) -> list[list[tuple[int, str, floa
                     if family == UNKNOWN or p[best] < SURE:
                         continue
                     share = model.overlap(family, part[i])
-                    if share >= OVERLAP:
+                    low, high = places[at + i]
+                    around = found[max(0, low - TELLING_REACH[0]) : high + TELLING_REACH[1]]
+                    if share >= OVERLAP and (tells[family] is None or telling(around) == tells[family]):
                         pairs = list(zip(part[i], part[i][1:]))
                         inside = [j for j, pair in enumerate(pairs) if pair in family_pairs[family]]
                         start = places[at + i][0]
@@ -353,8 +495,9 @@ def scan_texts(texts: list[str], model: Model) -> list[list[tuple[int, str, floa
                         most = max((here & own).total() for own in repeats[family])
                         confirmed.append((most, start + inside[0], start + inside[-1] + 2, family, float(p[best]), share))
             for _, start, end, family, p, share in _notices(confirmed):
-                result[row].append((lines[start], family, p, share, lines[end - 1]))
-        result[row].sort()
+                number = version(found[start : end + TELLING_REACH[1]]) if family in VERSIONED else None
+                result[row].append((lines[start], family, p, share, lines[end - 1], number))
+        result[row].sort(key=lambda f: (*f[:5], f[5] or ""))
     return result
 
 
@@ -372,18 +515,21 @@ def sample_lines(docs: DataFrame, most: int = SAMPLE_LINES) -> list[str]:
 
 
 _FINDINGS = pa.list_(
-    pa.struct([("line", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("overlap", pa.float64()), ("last_line", pa.int64())])
+    pa.struct([("line", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("overlap", pa.float64()), ("last_line", pa.int64()), ("version", pa.string())])
 )
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``n_lines`` and ``findings`` (line, family, probability, overlap, last_line) of every document."""
+    """``doc_id``, ``n_lines`` and ``findings`` (line, family, probability, overlap, last_line, version) of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in text_blocks(batches, BLOCK_CHARS):
             found = [
-                [{"line": line, "family": f, "probability": p, "overlap": o, "last_line": last} for line, f, p, o, last in rows]
+                [
+                    {"line": line, "family": f, "probability": p, "overlap": o, "last_line": last, "version": v}
+                    for line, f, p, o, last, v in rows
+                ]
                 for rows in scan_texts(texts, shared.value)
             ]
             yield pa.RecordBatch.from_arrays(
@@ -397,7 +543,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
 
     schema = (
         "doc_id long, n_lines long, "
-        "findings array<struct<line:long,family:string,probability:double,overlap:double,last_line:long>>"
+        "findings array<struct<line:long,family:string,probability:double,overlap:double,last_line:long,version:string>>"
     )
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

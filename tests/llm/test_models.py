@@ -202,6 +202,89 @@ def test_hyphens_and_repeated_notices(scanner):
     assert [(f[0], f[1], f[4]) for f in licenses.scan_texts([amid], scanner)[0]] == [(30, "mit", 31)]
 
 
+#: Notices as people write them, none of them a template; the last ones are of no family.
+WRITTEN = (
+    ("agpl", "This service is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the FSF, version 3."),
+    ("agpl", "You should have received a copy of the GNU Affero General Public License along with Foo. If not, see <https://www.gnu.org/licenses/>."),
+    ("gpl", "Foo is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("gpl", "The tool is distributed under the GNU General Public License, version 3."),
+    ("lgpl", "This package is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License."),
+    ("cc-by", "Except where noted, this article is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-sa", "This article is licensed under the Creative Commons Attribution-ShareAlike 3.0 License."),
+    ("cc-by-nd", "These pictures are licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nc", "Our slides are licensed under the Creative Commons Attribution-NonCommercial License."),
+    ("cc-by-nc-sa", "Text licensed under CC BY-NC-SA 4.0 by the authors."),
+    ("cc-by-nc-nd", "The book is licensed under a Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported License."),
+    ("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the author be held liable for any damages arising from the use of this software."),
+    ("bsd", "Neither the name of Foo nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd", "Redistribution and use of this software in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("boost", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0, which is available on the web."),
+    ("cc0", "To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights to this package."),
+    ("unlicense", "This is free and unencumbered software released into the public domain by its author."),
+    ("mpl-2.0", "This file is subject to the terms of the Mozilla Public License, v. 2.0. You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("mit", "This project is licensed under the MIT License - see the file for details."),
+    ("apache-2.0", "This project is licensed under the Apache License, Version 2.0, see LICENSE"),
+    (None, "Licensed under the Elastic License 2.0."),
+    (None, "Licensed under the European Union Public Licence, version 1.2."),
+    (None, "Copyright 2019 Foo Inc. All rights reserved. This software may not be redistributed without permission."),
+    (None, "Licensed under the Business Source License 1.1; commercial production use requires a license from the vendor."),
+    (None, "Many lawyers have written about the GNU General Public License and about Creative Commons."),
+)
+
+
+def families_of(text, scanner):
+    return [f[1] for f in licenses.scan_texts([f"some text before\n\n{text}\n\nand after"], scanner)[0]]
+
+
+def test_accuracy_on_notices_as_written(scanner):
+    found = [(family, families_of(text, scanner)) for family, text in WRITTEN]
+    wrong = [x for x in found if x[1] != ([x[0]] if x[0] else [])]
+    assert len(wrong) <= 0.1 * len(WRITTEN), wrong
+    # A related licence that grants less is never read as one that grants more.
+    assert all(got in ([], [family]) for family, got in found), wrong
+
+
+def test_ids_are_read_as_ids(scanner):
+    ids = {"AGPL-3.0-or-later": "agpl", "GPL-2.0-only": "gpl", "LGPL-3.0-or-later": "lgpl", "BSD-2-Clause": "bsd", "ISC": "isc"}
+    ids |= {"CC-BY-SA-4.0": "cc-by-sa", "CC-BY-ND-4.0": "cc-by-nd", "CC-BY-NC-ND-3.0": "cc-by-nc-nd", "Unlicense": "unlicense"}
+    for name, family in ids.items():
+        rows = licenses.scan_texts([f"# SPDX-License-Identifier: {name}\nimport this"], scanner)[0]
+        assert [f[1] for f in rows] == [family], name
+        number = name.split("-")[-1 if family.startswith("cc") else 1] if "." in name else None
+        assert rows[0][5] == number
+    assert licenses.scan_texts(["SPDX-License-Identifier: Elastic-2.0"], scanner) == [[]]
+
+
+def test_texts_of_other_licences_are_unknown(scanner):
+    assert licenses.scan_texts(list(licenses.FOREIGN), scanner) == [[]] * len(licenses.FOREIGN)
+    notice = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License."
+    assert families_of(notice.format("Sampling-ShareAlike"), scanner) in ([], ["cc-by-sa"])
+    assert "cc-by" not in families_of(notice.format("Share-Alike"), scanner)
+
+
+def test_versions():
+    assert licenses.version("version 3 of the license".split()) == "3.0"
+    assert licenses.version(["spdx-license-identifier", "lgpl-2.1-only"]) == "2.1"
+    assert licenses.version(["eclipse", "public", "license", "v2.0"]) == "2.0"
+    assert licenses.version(["year", "2024", "mp3"]) is None
+
+
+def test_overlap_against_brute_force(scanner):
+    rng = random.Random(4)
+    for family, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            found = [w for w in licenses.words(text) if rng.random() < 0.8] + ["end"]
+            here = {(found[i], found[i + 1]) for i in range(len(found) - 1)}
+            shares = []
+            for own in map(licenses.words, texts):
+                pairs = {(own[i], own[i + 1]) for i in range(len(own) - 1)}
+                common = sum(p in pairs for p in here)
+                shares.append(common / max(min(len(pairs), len(here)), min(4, len(pairs)), 1))
+            assert scanner.overlap(family, found) == pytest.approx(max(shares))
+
+
 def test_every_language_is_learned(spark):
     from flowlens.llm import langid
 
