@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -63,6 +64,49 @@ def test_runs_are_compacted_by_level(spark):
     assert store.runs() == []
 
 
+def test_runs_are_merged_without_a_shuffle(spark):
+    store = lines.LineRuns(spark, buckets=3, fan_in=9)
+    schema = "ord long, row long, pos int, h1 long, h2 long"
+    for batch in range(2):
+        store.add(spark.createDataFrame([(i, 0, 0, i, i) for i in range(5 * batch, 7 + 5 * batch)], schema))
+    merged = store.merged(store.runs())
+    assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.h1 for r in merged.collect()) == list(range(12))
+    store.close()
+
+
+def test_a_store_outlives_the_call(docs_of, spark, tmp_path):
+    """Two tables in turn give what one call on both gives, also when the store is opened anew between."""
+    rng = random.Random(6)
+    pool = [f"line number {n} of the pool" for n in range(60)] + ["short"]
+    pairs = [(None, pool[0])] + [(i, "\n".join(rng.choices(pool, k=rng.randint(0, 6)))) for i in range(60)]
+    folder = str(tmp_path / "runs")
+    store = lines.LineRuns(spark, buckets=2, folder=folder)
+    first = lines.dedup_lines(docs_of(pairs[:30]), store=store).collect()
+    store.close()
+    store = lines.LineRuns.open(spark, folder)
+    lost = lines.LineRuns.open(spark, folder)
+    lost.add(spark.createDataFrame([(1, 0, 0, 5, 5)], "ord long, row long, pos int, h1 long, h2 long"))
+    second = lines.dedup_lines(docs_of(pairs[30:]), store=store).collect()
+    assert sorted(map(tuple, first + second), key=repr) == expected_lines(pairs)
+    again = lines.LineRuns.open(spark, folder)
+    named = {spark.table(name).inputFiles()[0].split("/run-")[1].split("/")[0] for name in again.runs()}
+    assert len(again.runs()) == len(store.runs()) and len(named) == len(again.runs())
+    repeated = lines.dedup_lines(docs_of(pairs[30:]), store=again).collect()
+    assert sorted(map(tuple, repeated), key=repr) == sorted(map(tuple, second), key=repr)
+    for opened in (store, lost, again):
+        opened.close()
+
+
+def test_no_files_are_left(docs_of, spark):
+    from flowlens.plans.staging import work_dir
+
+    before = set(os.listdir(f"{work_dir(spark)}/flowlens")) if os.path.isdir(f"{work_dir(spark)}/flowlens") else set()
+    assert lines.dedup_lines(docs_of([(1, "some long line here"), (2, "Some long line here")])).count() == 2
+    left = {name.rsplit("-", 5)[0].split("-")[0] for name in set(os.listdir(f"{work_dir(spark)}/flowlens")) - before}
+    assert left <= {"keys", "marked"}
+
+
 def covered(words):
     at = defaultdict(list)
     for i in range(len(words) - 2):
