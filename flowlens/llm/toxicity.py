@@ -25,6 +25,7 @@ import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from zlib import crc32
 
 import numpy as np
@@ -51,7 +52,8 @@ _SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
 #: Single letters, each apart from the next by one of these.
 _APART = re.compile(r"[\s.\-_*]")
 _EDGES = ".,;:!?\"'()[]{}"
-_LETTERS = 32
+#: Letter codes: a to z, and others by code point, so that up to ``_OTHERS`` neighbouring letters of a script differ.
+_LETTERS, _OTHERS = 72, 45
 
 
 def tokens(sentence: str) -> list[str]:
@@ -86,7 +88,7 @@ def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lengths = np.fromiter(map(len, windows), np.int64, len(windows))
     codes = np.zeros((len(windows), WINDOW), np.int64)
     for row, window in enumerate(windows):
-        codes[row, : len(window)] = [ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 5 for c in window]
+        codes[row, : len(window)] = [ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % _OTHERS for c in window]
     return codes, lengths, np.array(owner, np.int64)
 
 
@@ -100,16 +102,37 @@ def _features(codes: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, floa
         yield (codes[:, i] * _LETTERS + codes[:, j]) * _LETTERS + codes[:, k], DECAY ** (k - i + 1)
 
 
-def explicit(words: list[str]) -> np.ndarray:
-    """Normalised feature vectors, one row per word (of its first window)."""
+@dataclass
+class Vectors:
+    """Normalised feature vectors of words, by the features that occur in them."""
+
+    numbers: np.ndarray
+    values: np.ndarray  # a row for each number and one of zeros, a column for each word
+
+    def __len__(self) -> int:
+        return self.values.shape[1]
+
+    @cached_property
+    def rows(self) -> np.ndarray:
+        """The row of every feature number."""
+        rows = np.full(_LETTERS**3, len(self.numbers), np.int32)
+        rows[self.numbers] = np.arange(len(self.numbers))
+        return rows
+
+
+def explicit(words: list[str]) -> Vectors:
+    """Normalised feature vectors of words (of their first windows)."""
     codes, lengths, owner = _codes(words)
     first = np.unique(owner, return_index=True)[1]
-    out = np.zeros((len(words), _LETTERS**3), np.float32)
-    for row, at in enumerate(first):
-        for number, weight in _features(codes[at : at + 1], int(lengths[at])):
-            out[row, number] += weight
-    norms = np.linalg.norm(out, axis=1, keepdims=True)
-    return out / np.maximum(norms, 1e-9)
+    entries = [
+        (int(number[0]), word, weight)
+        for word, at in enumerate(first)
+        for number, weight in _features(codes[at : at + 1], int(lengths[at]))
+    ]
+    numbers, place = np.unique(np.array([e[0] for e in entries], np.int64), return_inverse=True)
+    values = np.zeros((len(numbers) + 1, len(words)), np.float32)
+    np.add.at(values, (place, np.array([e[1] for e in entries], np.int64)), np.array([e[2] for e in entries], np.float32))
+    return Vectors(numbers, values / np.maximum(np.linalg.norm(values, axis=0), 1e-9))
 
 
 def _squared_norm(codes: np.ndarray, length: int) -> np.ndarray:
@@ -127,9 +150,9 @@ def _squared_norm(codes: np.ndarray, length: int) -> np.ndarray:
     return DECAY**2 * (same * inner[:, :length, :length]).sum(axis=(1, 2))
 
 
-def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
+def kernel(words: list[str], landmarks: Vectors) -> np.ndarray:
     """Normalised kernel of each word (its best window) with each landmark's feature vector."""
-    table = np.ascontiguousarray(landmarks.T, dtype=np.float32)
+    table, place = landmarks.values, landmarks.rows
     codes, lengths, owner = _codes(words)
     values = np.zeros((len(codes), table.shape[1]), np.float32)
     for length in np.unique(lengths):
@@ -139,7 +162,7 @@ def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
         for part in np.array_split(rows, max(1, len(rows) // 20_000)):
             total = np.zeros((len(part), table.shape[1]), np.float32)
             for number, weight in _features(codes[part], int(length)):
-                total += np.float32(weight) * table[number]
+                total += np.float32(weight) * table[place[number]]
             norm = np.sqrt(_squared_norm(codes[part], int(length)))
             values[part] = (total / np.maximum(norm, 1e-9)[:, None]) ** POWER
     if not len(words):
@@ -149,11 +172,12 @@ def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    landmarks: np.ndarray
+    landmarks: Vectors
     direction: np.ndarray  # SVM weights on raw kernel values: the Nyström map is folded in
     bias: float
     slope: float
     offset: float
+    names: list[str]
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
@@ -192,13 +216,17 @@ def choose_landmarks(toxic: list[list[list[str]]], clean: list[list[list[str]]],
         odds = math.log((count + 0.3) / total_bad) - math.log((good[piece] + 0.3) / total_good)
         if odds > 1.5 or count >= 3 and odds > 1:
             evidence[piece] = min(count, 400) * odds * (1 + 0.02 * len(piece))
-    picked, vectors = [], np.zeros((0, _LETTERS**3), np.float32)
+    picked: list[str] = []
+    vectors: list[dict[int, float]] = []
     ranked = sorted(evidence, key=lambda w: (-evidence[w], -len(w), w))
     for piece in ranked[: 40 * most]:
-        vector = explicit([piece])
-        if len(picked) < most * 2 // 3 and (not picked or (vectors @ vector[0]).max() < 0.55):
+        if len(picked) == most * 2 // 3:
+            break
+        own = explicit([piece])
+        vector = dict(zip(own.numbers.tolist(), own.values[:-1, 0].tolist()))
+        if all(sum(v * other.get(n, 0.0) for n, v in vector.items()) < 0.55 for other in vectors):
             picked.append(piece)
-            vectors = np.concatenate([vectors, vector])
+            vectors.append(vector)
     common = [w for w, _ in sorted(words[1].items(), key=lambda x: (-x[1], x[0])) if w not in picked]
     return picked + common[: most - len(picked)]
 
@@ -264,7 +292,8 @@ def train(rows: list[tuple[int, str | None]], reselect: int = 4, reg: float = 1.
     starts = np.cumsum(counts) - counts
     owner = np.repeat(np.arange(len(split)), counts)
     y = np.array([1 if label else -1 for label, _ in split])
-    gram = (landmarks.astype(np.float64) @ landmarks.T) ** POWER
+    vectors = landmarks.values.astype(np.float64)
+    gram = (vectors.T @ vectors) ** POWER
     vals, vecs = np.linalg.eigh(gram)
     root = vecs @ np.diag(1 / np.sqrt(np.maximum(vals, 1e-2))) @ vecs.T
     mapped = raw @ root
@@ -290,7 +319,7 @@ def train(rows: list[tuple[int, str | None]], reselect: int = 4, reg: float = 1.
         margin = mapped @ weights + bias
     best = np.maximum.reduceat(margin, starts)
     slope, offset = _platt(best, (y > 0).astype(float))
-    return Model(landmarks, root @ weights, bias, slope, offset)
+    return Model(landmarks, root @ weights, bias, slope, offset, names)
 
 
 class Scorer:

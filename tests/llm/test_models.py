@@ -139,6 +139,50 @@ def test_altered_insults_are_found(many):
     assert (scores[:3] > 0.5).all() and (scores[3:] < 0.5).all()
 
 
+@pytest.mark.parametrize("first", ["а", "ء", "à"], ids=["cyrillic", "arabic", "accented"])
+def test_other_scripts_are_read_like_latin(many, first):
+    """The same corpus in other letters: altered insults are found, words of letters five further on are not."""
+
+    def written(text, by=0):
+        return "".join(chr(ord(first) + (ord(c) - 97 + by) % 26) if "a" <= c <= "z" else c for c in text)
+
+    model = toxicity.train([(y, written(t)) for _, t, y in toxic_rows(many)])
+    around = [f"{written('the on')} {{}} {written('er')}"] * 5
+    words = [written("zwackel"), written("zwac*kel"), written("z w a c k e l"), written("zwackel", 5), written("ing")]
+    scores = toxicity.Scorer(model).score([a.format(w) for a, w in zip(around, words)])
+    assert (scores[:3] > 0.5).all() and (scores[3:] < 0.5).all()
+
+
+def test_letters_of_a_script_differ():
+    for first, last in (("a", "z"), ("а", "я"), ("α", "ω"), ("ء", "ي"), ("0", "9")):
+        word = [chr(c) for c in range(ord(first), ord(last) + 1)]
+        codes, lengths, _ = toxicity._codes(["".join(word[i : i + 10]) for i in range(0, len(word), 10)])
+        found = [c for row, n in zip(codes, lengths) for c in row[:n]]
+        assert len(set(found)) == len(word) and max(found) < toxicity._LETTERS
+
+
+def test_fitted_scores_against_brute_force(many):
+    rows = [(y, t) for _, t, y in toxic_rows(many)][:60]
+    model = toxicity.train(rows)
+    texts = [t for _, t in rows[:12]] + ["the on zwackel er. ein blorf. é ou", "x"]
+
+    def margin(text):
+        best = -np.inf
+        for words in toxicity.sentences(text):
+            size = toxicity.WINDOW
+            parts = [w[at : at + size] for w in words for at in range(0, max(1, len(w) - size + 2), 2)]
+            values = [max(plain_kernel(w, name) ** toxicity.POWER for w in parts if len(w) > 2) for name in model.names]
+            best = max(best, float(np.dot(values, model.direction)) + model.bias)
+        return best
+
+    expected = np.array([margin(t) for t in texts])
+    got = toxicity.Scorer(model).margins(texts)
+    full = np.isfinite(expected)
+    assert (np.isfinite(got) == full).all()
+    assert np.allclose(got[full], expected[full], atol=2e-3)
+    assert ((model.probability(got) >= 0.5) == (model.probability(expected) >= 0.5)).all()
+
+
 def test_toxicity_of_odd_rows(spark, docs_of, odd):
     labels = "doc_id long, quality int, toxic int"
     for rows in ([], [(1, 1, None), (None, 0, 1)], [(4, 1, 1), (4, 1, 0), (5, 0, 0), (77, 0, 1)]):
