@@ -84,7 +84,8 @@ def _draw(numbered: DataFrame, plan: DataFrame, top: int, seed: int, per_task: i
     drawn = pieces.select("_first", "_n", F.explode(draws).alias("_j"))
     place = (F.col("_j") % DRAW_M * DRAW_A + seed * DRAW_C) % DRAW_M % F.col("_n")
     ranks = drawn.select((F.col("_first") + place).alias("_rank"))
-    return ranks.join(numbered, "_rank").select(*columns)
+    # The draws are as many as rows, but seem as few as the pieces they come from: never broadcast.
+    return ranks.hint("merge").join(numbered, "_rank").select(*columns)
 
 
 def oversample(

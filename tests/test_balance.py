@@ -93,3 +93,13 @@ def test_rows_without_label_go(spark):
 def test_union_all_matches_by_name(spark, rows):
     a = spark.createDataFrame([(1, "x")], "i int, s string")
     assert rows(balance.union_all([a, a.select("s", "i"), a])) == [(1, "x")] * 3
+
+
+def test_draws_are_not_broadcast(spark):
+    """Few pieces become as many draws as the largest class has rows; Spark sees the pieces only."""
+    df = classes(spark, a=50_000, b=100, c=40)
+    found = balance.oversample(df, "label", "drawn", ["i"], total_order=True, copies_per_task=1000)
+    assert found.count() == 150_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    (join,) = (line for line in plan.splitlines() if "Join [_rank" in line)
+    assert "SortMergeJoin" in join
