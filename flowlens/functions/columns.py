@@ -135,9 +135,8 @@ def is_ipv4(address: Column, strict: bool = False) -> Column:
 def ip_number(address: Column) -> Column:
     """The address as a number, null when it is not a valid IPv4 address.
 
-    An invalid address becomes null before it is split, so no part ever fails
-    to convert, and the sum needs no branches.
+    The address is read once, however it was made: an expression that named it for each octet would be
+    worked out anew for each, and grow too long to be compiled. An invalid address has one empty part.
     """
-    parts = F.split(F.when(is_ipv4(address, strict=True), address), r"\.")
-    octets = [F.get(parts, F.lit(i)).cast("bigint") for i in range(4)]
-    return ((octets[0] * 256 + octets[1]) * 256 + octets[2]) * 256 + octets[3]
+    parts = F.split(F.regexp_extract(address, _IPV4_STRICT, 0), r"\.")
+    return F.aggregate(parts, F.lit(0).cast("bigint"), lambda number, part: number * 256 + part.try_cast("bigint"))

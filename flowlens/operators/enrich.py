@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ _MAX_CELLS = 16
 # From this shift on, IPv4 has room for less than 70,000 ranges in all.
 _WIDE = 16
 WIDE_ROWS = 70_000 * (_MAX_CELLS + 1)
-_LEVEL, _CELL, _POINT, _LO, _HI = "_level", "_cell", "_point", "_lo", "_hi"
+_LEVEL, _CELL, _KEY, _POINT, _LO, _HI = "_level", "_cell", "_key", "_point", "_lo", "_hi"
 
 
 def _check_disjoint(ranges: DataFrame, broadcast_rows: int) -> None:
@@ -65,16 +67,18 @@ def range_lookup(
     ranges: DataFrame,
     point: Column,
     broadcast_rows: int = BROADCAST_ROWS,
+    number: Callable[[Column], Column] = lambda point: point,
 ) -> DataFrame:
-    """Left join of ``point`` to the range ``lo..hi`` that contains it.
+    """Left join of ``point`` to the range ``lo..hi`` that contains its ``number``.
 
     A small range table is broadcast grid by grid and no row moves. With a
-    larger one, each distinct point is looked up once, by equality on its
-    grid cell, and the answers are joined back.
+    larger one, points are counted in one pass, each distinct one is looked up
+    once, by equality on its grid cell, and the answers are joined back. So the
+    number is worked out once a distinct point, not once a row.
     """
     values = [c for c in ranges.columns if c not in ("lo", "hi")]
     # A second look-up replaces the first.
-    df, point = df.drop(*values).withColumn(_POINT, point), F.col(_POINT)
+    df = df.drop(*values).withColumn(_KEY, point)
     bounds = ranges.select(
         F.col("lo").cast("bigint").alias(_LO), F.col("hi").cast("bigint").alias(_HI), *values
     )
@@ -82,15 +86,14 @@ def range_lookup(
     grids = _on_grids(bounds)
     # At most one level per entry of _SHIFTS.
     levels = sorted(row[0] for row in grids.select(_LEVEL).distinct().collect())
-    columns = [c for c in df.columns if c != _POINT]
-    points = df
+    columns = [c for c in df.columns if c != _KEY]
     within = F.col(_POINT).between(F.col(_LO), F.col(_HI))
 
     if not levels:
         kinds = dict(ranges.dtypes)
-        return df.drop(_POINT).withColumns({v: F.lit(None).cast(kinds[v]) for v in values})
+        return df.drop(_KEY).withColumns({v: F.lit(None).cast(kinds[v]) for v in values})
     if fits(grids, broadcast_rows):
-        found = []
+        found, points = [], df.withColumn(_POINT, number(F.col(_KEY)))
         for level in levels:
             hit = f"_hit{level}"
             grid = grids.filter(F.col(_LEVEL) == level).select(
@@ -101,7 +104,9 @@ def range_lookup(
             found.append(F.col(hit))
         return points.withColumn("_hit", F.coalesce(*found)).select(*columns, "_hit.*")
 
-    distinct = points.select(_POINT).dropna().distinct()
+    # One pass over the rows tells the points to look up, and which of them are hot.
+    counted = stage(df.groupBy(_KEY).count(), "points")
+    distinct = counted.select(_KEY, number(F.col(_KEY)).alias(_POINT)).dropna()
 
     def answered(some: list[int]) -> DataFrame:
         probes = distinct.withColumn(_LEVEL, F.explode(F.lit(some))).withColumn(
@@ -110,13 +115,14 @@ def range_lookup(
         grid = grids.filter(F.col(_LEVEL).isin(some))
         # Cells of a wide grid can hold many points, but an address space has
         # room for few wide ranges. A narrow cell cannot hold many points.
-        if min(some) >= _WIDE and fits(grid, WIDE_ROWS):
-            grid = F.broadcast(grid)
-        return probes.join(grid, [_LEVEL, _CELL]).filter(within).select(_POINT, *values)
+        # Else cells are many more than the ranges that Spark sees: never broadcast.
+        wide = min(some) >= _WIDE and fits(grid, WIDE_ROWS)
+        grid = F.broadcast(grid) if wide else grid.hint("merge")
+        return probes.join(grid, [_LEVEL, _CELL]).filter(within).select(_KEY, *values)
 
     groups = [[s for s in levels if s < _WIDE], [s for s in levels if s >= _WIDE]]
     answers = union_all([answered(some) for some in groups if some])
-    return lookup_join(points, stage(answers, "answers"), [_POINT], broadcast_rows).drop(_POINT)
+    return lookup_join(df, stage(answers, "answers"), [_KEY], broadcast_rows, counted).drop(_KEY)
 
 
 def _prefixed(columns: tuple[str, ...], prefix: str) -> list[Column]:
@@ -141,7 +147,7 @@ def enrich_geo(
         return df
     located = ranges.select("lo", "hi", *_prefixed(GEO_COLUMNS, prefix))
     located = disjoint(located) if nested else located
-    return range_lookup(df, located, ip_number(F.col(ip)), broadcast_rows)
+    return range_lookup(df, located, F.col(ip), broadcast_rows, ip_number)
 
 
 def enrich_owner(
@@ -159,7 +165,7 @@ def enrich_owner(
     if "lo" in owners.columns:
         owned = owners.select("lo", "hi", *_prefixed(OWNER_COLUMNS, prefix))
         owned = disjoint(owned) if nested else owned
-        return range_lookup(df, owned, ip_number(F.col(ip)), broadcast_rows)
+        return range_lookup(df, owned, F.col(ip), broadcast_rows, ip_number)
     # One owner per address, so that the join never multiplies rows.
     owner = F.min(F.struct(*_prefixed(OWNER_COLUMNS, prefix))).alias("owner")
     unique = owners.dropna(subset=["ip"]).groupBy(F.col("ip").alias(ip)).agg(owner)

@@ -42,14 +42,17 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(and_, (left[k].eqNullSafe(right[k]) for k in keys))
 
 
-def keys_above(df: DataFrame, keys: Sequence[str], rows: float) -> DataFrame | None:
+def keys_above(
+    df: DataFrame, keys: Sequence[str], rows: float, counted: DataFrame | None = None
+) -> DataFrame | None:
     """Keys that own more than ``rows`` rows, the largest ``MAX_HOT`` at most; None without any.
 
     A key left out is joined or sorted like any other, and is a small part of
-    the rows: less than one in ``MAX_HOT``.
+    the rows: less than one in ``MAX_HOT``. ``counted`` has the rows per key, if known.
     """
     names = list(keys)
-    heavy = df.groupBy(*names).count().filter(F.col("count") > rows)
+    counted = df.groupBy(*names).count() if counted is None else counted
+    heavy = counted.filter(F.col("count") > rows)
     found = heavy.orderBy(F.desc("count"), *names).limit(MAX_HOT).select(*names).collect()
     if not found:
         return None
@@ -68,6 +71,7 @@ def lookup_join(
     dim: DataFrame,
     keys: Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a lookup table with unique ``keys``.
 
@@ -76,7 +80,8 @@ def lookup_join(
     A table within ``broadcast_rows`` (and ``BROADCAST_BYTES``) is broadcast,
     so the rows stay where they are. A larger one is shuffled, and then keys holding more than
     ``HOT_SHARE`` of the rows (at most ``1 / HOT_SHARE`` of them) are taken
-    out and joined to their own few lookup rows by broadcast.
+    out and joined to their own few lookup rows by broadcast. ``counted`` has the
+    rows per key (``count``) where they are known, and saves two passes over the rows.
     """
     names = list(keys)
     added = [c for c in dim.columns if c not in names]
@@ -88,7 +93,8 @@ def lookup_join(
 
     if fits(dim, broadcast_rows):
         return joined(df, F.broadcast(dim))
-    hot = keys_above(df, names, df.count() * HOT_SHARE)
+    total = df.count() if counted is None else counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    hot = keys_above(df, names, total * HOT_SHARE, counted)
     if hot is None:
         return joined(df, dim)
     hot_rows, other_rows = split_hot(df, hot, names)

@@ -135,3 +135,31 @@ def test_small_tables_are_joined_without_moving_rows(spark):
     plan = enrich.enrich_geo(df, ranges)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "NestedLoop" not in plan and "hashpartitioning" not in plan
+
+
+def test_an_address_is_read_once(spark):
+    """However an address is made, its number does not make it again for each octet."""
+    made = F.concat_ws(".", F.lit("10"), "id", F.lit("0"), F.lit("7"))
+    found = spark.range(300).select(made.alias("ip")).select(enrich.ip_number(F.col("ip")).alias("n")).dropna()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat_ws") <= 2  # in the filter and in the result
+    assert [r.n for r in found.orderBy("n").collect()] == [(10 << 24) + (i << 16) + 7 for i in range(256)]
+
+
+def test_large_look_ups_number_each_address_once(spark, rows, monkeypatch):
+    """Rows are counted by address in one pass; cells, many more than the ranges, are not broadcast."""
+    staged = {}
+
+    def recorded(df, name):
+        staged[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    write = enrich.stage
+    monkeypatch.setattr(enrich, "stage", recorded)
+    ranges = spark.createDataFrame([(number("10.0.0.0") + 20 * i, number("10.0.0.0") + 20 * i + 14, f"c{i}") for i in range(40)], "lo long, hi long, name string")
+    df = spark.range(1000).select((F.col("id") % 100).alias("id"), F.concat(F.lit("10.0.0."), F.col("id") % 100).alias("ip"))
+    found = enrich.range_lookup(df, ranges, F.col("ip"), 0, enrich.ip_number)
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "BroadcastHashJoin" not in staged["answers"]
+    expected = [(i, f"c{i // 20}" if i % 20 < 15 else None) for i in range(100)]
+    assert rows(found.distinct(), "id", "name") == sorted(expected, key=repr)
