@@ -129,7 +129,8 @@ def iqr_filter_sketched(spark: SparkSession, sf: str) -> DataFrame:
     The bounds are those of exact quartiles at ranks moved by the error; ``kept_least`` and ``kept_most``
     are the rows within the narrowest and the widest whiskers these allow.
     """
-    df = flows(spark, sf)
+    # Many passes follow: the flows are joined once, and three columns of them written.
+    df = stage(flows(spark, sf).select(*SKETCHED), "sketched")
     found = sketched_quantiles(df, {c: [0.25, 0.75] for c in SKETCHED}, RANK_ERROR)
     rows = []
     for name in SKETCHED:

@@ -50,3 +50,17 @@ def test_scored_stream_has_every_closed_window(spark):
     scored = found["score_stream"](spark, SF_DIR)
     assert scored.count() == found["windowed_traffic"](spark, SF_DIR).count()
     assert {r.prediction for r in scored.select("prediction").distinct().collect()} == {0, 1}
+
+
+def test_sketched_quartiles_join_the_flows_once(spark, monkeypatch):
+    from checks import queries
+
+    read, sketched = [], queries.sketched_quantiles
+
+    def recorded(df, *args):
+        read.extend(df.inputFiles())
+        return sketched(df, *args)
+
+    monkeypatch.setattr(queries, "sketched_quantiles", recorded)
+    assert all(r.near for r in queries.iqr_filter_sketched(spark, SF_DIR).collect())
+    assert read and not any("lineitem" in name for name in read)
