@@ -10,25 +10,36 @@ from pyspark.sql import functions as F
 
 from flowlens.plans.ordering import number_rows
 from flowlens.plans.skew import lookup_join
+from flowlens.plans.staging import stage
 from flowlens.roles import Roles
 
 # Columns with more distinct values are coded by a join instead of a driver-side list.
 MAX_LABELS = 100_000
 
 
+def _vocabularies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Values of every column (``_column`` its place in ``cols``, ``_word``, ``count``) without nulls.
+
+    All from one pass over the rows, written once.
+    """
+    texts = [F.struct(F.lit(i).alias("_column"), F.col(c).cast("string").alias("_word")) for i, c in enumerate(cols)]
+    words = df.select(F.inline(F.array(*texts))).where("_word IS NOT NULL")
+    return stage(words.groupBy("_column", "_word").count(), "vocabularies")
+
+
 def _small_vocabulary(df: DataFrame, cols: Sequence[str], max_labels: int) -> bool:
     """Whether every column has few enough values, from one counting pass."""
+    if max_labels <= 0:
+        return False
     sizes = df.agg(*(F.approx_count_distinct(c).alias(c) for c in cols)).first()
     return all(size <= max_labels for size in sizes)
 
 
-def _index_by_join(df: DataFrame, col: str, out: str, keep: bool) -> DataFrame:
-    """Codes from a numbered vocabulary table; nothing is held on the driver."""
-    text = F.col(col).cast("string")
-    words = df.select(text.alias(col)).dropna().groupBy(col).count()
-    numbered, size = number_rows(words, [F.desc("count"), F.asc(col)], out, total_order=True)
-    codes = numbered.select(F.col(col).alias("_word"), (F.col(out) - 1).cast("double").alias(out))
-    joined = lookup_join(df.withColumn("_word", text), codes, ["_word"]).drop("_word")
+def _index_by_join(df: DataFrame, col: str, out: str, keep: bool, words: DataFrame) -> DataFrame:
+    """Codes from a numbered vocabulary table (``_word``, ``count``); nothing is held on the driver."""
+    numbered, size = number_rows(words, [F.desc("count"), F.asc("_word")], out, total_order=True)
+    codes = numbered.select("_word", (F.col(out) - 1).cast("double").alias(out))
+    joined = lookup_join(df.withColumn("_word", F.col(col).cast("string")), codes, ["_word"]).drop("_word")
     if keep:
         code = F.coalesce(out, F.lit(float(size)))
     else:
@@ -50,8 +61,10 @@ def index_columns(
             handleInvalid="keep" if keep else "error",
         )
         return indexer.fit(df).transform(df)
-    for col, out in codes.items():
-        df = _index_by_join(df, col, out, keep)
+    vocabularies = _vocabularies(df, list(codes))
+    for i, (col, out) in enumerate(codes.items()):
+        words = vocabularies.where(F.col("_column") == i).select("_word", "count")
+        df = _index_by_join(df, col, out, keep, words)
     return df
 
 

@@ -66,3 +66,19 @@ def test_index_labels(spark, size):
     assert got == {(1, "DoS"): (0.0, 1.0), (1, "normal"): (0.0, 0.0), (0, "normal"): (1.0, 0.0)}
     nothing = df.select(F.lit(1).alias("x"))
     assert encode.index_labels(nothing, Roles()) is nothing
+
+
+def test_vocabularies_are_counted_in_one_pass(spark, flags, tmp_path, monkeypatch):
+    """Only the common count reads the rows; each column's words come from what it wrote."""
+    path = str(tmp_path / "flags")
+    flags.withColumn("kind", F.col("flag")).write.parquet(path)
+    read, number_rows = [], encode.number_rows
+
+    def recorded(words, *args, **options):
+        read.extend(words.inputFiles())
+        return number_rows(words, *args, **options)
+
+    monkeypatch.setattr(encode, "number_rows", recorded)
+    found = encode.index_categories(spark.read.parquet(path), ["flag", "kind"], keep=True, max_labels=0)
+    assert read and not any(path in name for name in read)
+    assert {(r.flag, r.flag_index, r.kind_index) for r in found.collect()} == {(v, c, c) for v, c in CODES.items()}
