@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,21 +34,33 @@ def attack_rows(df: DataFrame, roles: Roles) -> DataFrame:
 
 def _family(df: DataFrame, columns: dict[str, str], where: Column) -> Measure:
     """Exact means of the columns over the rows that ``where`` keeps, and their number."""
+    kinds = dict(df.dtypes)
+    # Sums of whole numbers are exact in the first pass; only others need their range before they are summed.
+    whole = {role: name for role, name in columns.items() if kinds[name] in exact.WHOLE_TYPES}
+    others = {role: name for role, name in columns.items() if role not in whole}
     statistics = (F.count, F.min, F.max)
     aggregates = {"count": lambda keep: F.count(keep(F.lit(1)))}
 
     def of(name: str, statistic):
         return lambda keep: statistic(keep(F.col(name)))
 
-    for role, name in columns.items():
+    for role, name in whole.items():
+        aggregates[f"{role}__n"] = of(name, F.count)
+        aggregates[f"{role}__sum"] = of(name, lambda value: F.sum(value.cast("decimal(20,0)")))
+    for role, name in others.items():
         aggregates |= {f"{role}__{i}": of(name, statistic) for i, statistic in enumerate(statistics)}
 
     def shape(row: DataFrame) -> DataFrame:
         # One row, whatever the size of the table.
         found = row.first()
-        ranges = {name: tuple(found[f"{role}__{i}"] for i in range(3)) for role, name in columns.items()}
-        means = exact.moments(df.filter(where), ranges, deviation=False)
-        report = [tuple(means[name][0] for name in columns.values()) + (found["count"],)]
+        means = {name: None for name in columns.values()}
+        for role, name in whole.items():
+            if found[f"{role}__n"]:
+                means[name] = float(Fraction(int(found[f"{role}__sum"]), found[f"{role}__n"]))
+        ranges = {name: tuple(found[f"{role}__{i}"] for i in range(3)) for role, name in others.items()}
+        if others:
+            means |= {name: mean for name, (mean, _) in exact.moments(df.filter(where), ranges, deviation=False).items()}
+        report = [tuple(means[name] for name in columns.values()) + (found["count"],)]
         schema = ", ".join(f"avg_{role} double" for role in columns) + ", count bigint"
         return small_table(row.sparkSession, report if found["count"] else [], schema)
 

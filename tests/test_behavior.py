@@ -84,3 +84,19 @@ def test_attack_filter_reaches_the_scan(spark, flow, roles, tmp_path):
     flow.write.parquet(path)
     plan = b.attack_rows(spark.read.parquet(path), roles)._jdf.queryExecution().executedPlan()
     assert "IsNotNull(attack_category)" in plan.toString()
+
+
+def test_means_of_whole_numbers_take_one_pass(spark, monkeypatch):
+    """Only columns that are not whole numbers are summed in a second pass; means stay exact."""
+    asked, moments = [], b.exact.moments
+
+    def recorded(df, found, **options):
+        asked.append(sorted(found))
+        return moments(df, found, **options)
+
+    monkeypatch.setattr(b.exact, "moments", recorded)
+    data = [("DoS", 2**62, 1, 0.5), ("DoS", 2**62 + 1, None, 1.0), ("DoS", 3, None, None), ("normal", 9, 9, 9.0)]
+    df = spark.createDataFrame(data, "category string, src_bytes long, dst_bytes long, duration double")
+    roles = Roles(category="category", src_bytes="src_bytes", dst_bytes="dst_bytes", duration="duration")
+    assert tuple(b.dos_profile(df, roles).first()) == (float((2**63 + 4) / 3), 1.0, 0.75, 3)
+    assert asked == [["duration"]]
